@@ -202,6 +202,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs without those that near_duplicates does not keep, with all their columns; of rows that repeat an id one stays. Rows without an id stay."""
+    verdicts = near_duplicates(docs, shingle_words, percent)
+    gone = small_side(verdicts.where(~F.col("kept")).select("doc_id").distinct(), MOST_BROADCAST)
+    rest = docs.join(gone, "doc_id", "left_anti")
+    twice = rest.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if twice.isEmpty():
+        return rest
+    return rest.join(twice, "doc_id", "left_anti").unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, links from 80 percent on."""
     return near_duplicates(read(spark, sf_dir, "documents"), shingle_words=2, percent=80)

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .common import read, small_side, staged, text_batches
 
@@ -65,7 +65,11 @@ def measure(docs: DataFrame, stratum: str = "lang") -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(run, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS))
-    return out.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words")))
+    return with_base(out)
+
+
+def with_base(measured: DataFrame) -> DataFrame:
+    return measured.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEAT_PERCENT * F.col("n_words")))
 
 
 def _rates() -> dict:
@@ -124,6 +128,19 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, risk: float = RISK, con
     return judge(measured, staged(fit_cutoffs(measured, labels, risk, confidence_miss), "quality-cutoffs"))
 
 
+@F.pandas_udf(StructType([StructField(c, LongType()) for c in COUNTS]))
+def _measured(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([measure_text(t) for t in text], columns=list(COUNTS), dtype="int64")
+
+
+def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence_miss: float = CONFIDENCE_MISS, stratum: str = "lang") -> DataFrame:
+    """The rows of docs that quality_verdicts would keep, with all their columns, whatever these are called."""
+    text_batches(docs.sparkSession)
+    chosen = staged(fit_cutoffs(measure(docs, stratum), labels, risk, confidence_miss), "quality-cutoffs")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), _measured(F.col("text").cast("string")).alias("m"))
+    return judge(with_base(rows.select("doc", "stratum", "m.*")), chosen).where("kept").select("doc.*")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return out.select("doc_id", *COUNTS, "base_failed", "kept")
