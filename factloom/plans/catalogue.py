@@ -1,4 +1,303 @@
-"""All registered queries and their SQL."""
+"""All registered queries over the filing model, and the SQL that must give the same rows."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from factloom.functions import scalars as S
+from factloom.operators import facts as fx
+from factloom.operators import integrity as ix
+from factloom.operators import ledger as lx
+from factloom.operators import quality as qx
+from factloom.sources.bridge import text, view
+
+COLUMNS = {}
+
+
+class Model:
+    """The views of one data folder, by name."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return view(*self._at, f"b_{name}")
+
+    def scan(self) -> DataFrame:
+        filing = self.filing.select("accession", "cik", "form")
+        return fx.fact_scan(self.fact, self.concept, self.context, self.unit_measure, self.dimension).join(filing, "accession")
+
+    def periods(self) -> DataFrame:
+        return fx.reporting_periods(self.filing, self.dei)
+
+    def observations(self) -> DataFrame:
+        return fx.select_observations(self.filing, self.metric, self.decision, self.periods(), self.scan())
+
+    def slots(self) -> DataFrame:
+        """Undimensioned, valid, pure-USD facts of the reporting period, whatever their metric."""
+        kinds = self.scan().withColumn("metric", F.when(F.col("period_kind") == "instant", "i").otherwise("d"))
+        types = kinds.select("metric", F.col("period_kind").alias("period_type")).distinct()
+        return fx.qualify_slot(kinds, self.periods(), types)
+
+    def identities(self) -> DataFrame:
+        return fx.identity_checks(self.filing, fx.operand_intervals(self.slots()))
+
+    def frame(self) -> DataFrame:
+        return qx.filing_frame(self.filing.select("accession", "cik", "form"), self.scan().select("accession", "namespace_uri", "end_lexical"), self.issuer)
+
+    def cells(self) -> DataFrame:
+        return qx.quality_cells(self.observations(), self.frame(), self.identities())
+
+    def dated_facts(self) -> DataFrame:
+        f = self.fact_wide
+        period = F.when(F.col("filing_id") % 6 != 0, F.make_date("fiscal_year", F.lit(12), F.lit(31)))
+        return f.select("fact_id", "accession", "cik", S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("concept"), period.alias("period"))
+
+    def gold(self) -> DataFrame:
+        """Every 50th filing's slots, asserted as values of 20000, some wrongly."""
+        grid = fx.slot_grid(self.filing.where("filing_id % 50 = 0"), self.metric)
+        return grid.select("accession", "metric", F.lit("value").alias("status"), F.lit("20000").cast("decimal(28,10)").alias("numeric"))
+
+
+def _scalars(m: Model) -> DataFrame:
+    f = m.fact_wide
+    ns, local, d, v = F.col("namespace_uri"), F.col("local_name"), F.col("decimals"), F.col("resolved_numeric")
+    return f.select(
+        "fact_id", S.normalize_cik(F.col("cik").cast("long").cast("string")).alias("cik10"), S.is_valid_accession(F.col("accession")).alias("valid_accession"), S.accession_to_cik(F.col("accession")).alias("submitter"),
+        S.accession_dashless(F.col("accession")).alias("dashless"), S.clark_name(ns, local).alias("clark"), S.concept_key(ns, local).alias("concept_key"), S.namespace_family(ns).alias("family"), S.namespace_origin(ns).alias("origin"),
+        S.release_token(ns).alias("release"), S.taxonomy_year(ns).alias("taxonomy_year"), S.parse_decimals(d)["rank"].alias("decimals_rank"), S.half_width(d).cast("string").alias("half_width"), S.fact_lo(v, d).cast("decimal(28,10)").alias("lo"), S.fact_hi(v, d).cast("decimal(28,10)").alias("hi"),
+    )
+
+
+def _paths(m: Model) -> DataFrame:
+    url = view(*m._at, "b_filing").sparkSession.read.parquet(f"{m._at[1]}/pages.parquet").select("page_id", "url")
+    return url.select("page_id", S.url_host(F.col("url")).alias("host"), S.sanitize_basename(F.col("url")).alias("basename"), S.is_safe_logical_path(F.regexp_replace("url", "^[a-z]+://", "")).alias("safe_path"))
+
+
+def _text_rules(m: Model) -> DataFrame:
+    spark, sf = m._at
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    t = F.concat(F.lit(" Item "), (F.col("doc_id") % 18).cast("string"), F.lit(". "), F.col("text"))
+    item = S.item_token(t)
+    return docs.select("doc_id", item.alias("item"), S.default_part_for_item(item).alias("part"), F.length(S.normalize_whitespace(F.col("text"))).cast("long").alias("clean_chars"))
+
+
+Q = {
+    "filing_metadata": lambda m: fx.filing_metadata(m.filing).select("filing_id", "accession", "cik", "form"),
+    "scalar_functions": _scalars,
+    "path_functions": _paths,
+    "text_functions": _text_rules,
+    "fact_scan": lambda m: m.scan().select("fact_id", "accession", "source_qname", "family", "origin", "has_dimensions", "period_kind", "entity_scheme", fx.is_pure_usd(F.col("measures")).alias("pure_usd")),
+    "undimensioned": lambda m: fx.undimensioned(m.fact, m.dimension).select("fact_id", "context_id"),
+    "reporting_periods": lambda m: m.periods(),
+    "resolve_supports": lambda m: fx.resolve_supports(m.scan(), m.decision),
+    "qualify_slot": lambda m: m.slots().select("fact_id", "accession", "local_name"),
+    "oim_reduce": lambda m: fx.oim_reduce(m.fact, "accession", "namespace_uri", "local_name").select("accession", "namespace_uri", "local_name", "conflict", F.when(~F.col("conflict"), F.col("value")).alias("value"), F.col("rank")["f"].alias("survivor"), "n"),
+    "select_observations": lambda m: m.observations(),
+    "operand_intervals": lambda m: fx.operand_intervals(m.slots()).select("accession", "local_name", F.col("lo").cast("decimal(28,10)").alias("lo"), F.col("hi").cast("decimal(28,10)").alias("hi"), "bad"),
+    "identity_checks": lambda m: m.identities(),
+    "filing_frame": lambda m: m.frame(),
+    "quality_cells": lambda m: m.cells(),
+    "partition_assertions": lambda m: qx.partition_faults(m.cells()),
+    "qname_census": lambda m: qx.qname_census(m.fact),
+    "name_reuse_aggregate": lambda m: qx.name_reuse(m.fact),
+    "gold_join": lambda m: qx.gold_join(m.gold(), m.observations()),
+    "current_heads": lambda m: lx.current_heads(m.mapping).select("id", "concept", "metric", "status"),
+    "revision_position": lambda m: lx.revision_positions(m.mapping),
+    "mapping_history": lambda m: lx.mapping_history(m.mapping),
+    "mapping_conflicts": lambda m: lx.mapping_conflicts(m.mapping),
+    "affected_facts": lambda m: lx.affected_facts(m.mapping, m.dated_facts()),
+    "affected_summary": lambda m: lx.affected_summary(lx.affected_facts(m.mapping, m.dated_facts())),
+    "sync_counts": lambda m: lx.sync_counts(ix.ordered_digest(m.fact.where("fact_id % 5 <> 0"), "accession", "fact_id", "resolved_numeric"), ix.ordered_digest(m.fact.where("fact_id % 10 <> 0"), "accession", "fact_id", "resolved_numeric"), "accession", "digest"),
+    "orphan_checks": lambda m: ix.orphan_checks(m.fact, m.concept, m.context, m.unit_measure),
+    "duplicate_keys": lambda m: ix.duplicate_keys(m.line, "l_orderkey", "l_linenumber"),
+    "source_order": lambda m: ix.source_order(m.fact),
+    "ordered_digest": lambda m: ix.ordered_digest(m.fact, "accession", "fact_id", "local_name", "decimals"),
+    "snapshot_counts": lambda m: ix.snapshot_counts(m.filing, {"fact": m.fact, "context": m.context, "dei": m.dei}),
+    "fact_completeness": lambda m: ix.fact_completeness(m.filing, m.fact_wide, m.fact),
+    "union_concept_uses": lambda m: ix.union_concept_uses(m.fact, m.concept, m.dimension),
+    "dimension_members": lambda m: ix.dimension_members(m.context, m.dimension),
+}
+QUERIES = {k: (lambda f: lambda spark, sf_dir: f(Model(spark, sf_dir)))(f) for k, f in Q.items()}
+
+# --- the same in SQL, written from the rules and not from the code above ---
+_FAMILY = "case when regexp_matches({0}, '^http://(fasb.org|xbrl.us)/us-gaap/') then 'us-gaap' when regexp_matches({0}, '^http://xbrl.(sec.gov|us)/dei/') then 'dei' when regexp_matches({0}, '^http://(fasb.org|xbrl.us)/srt/') then 'srt' else 'other' end"
+_HALF = "case when try_cast({0} as int) is null then 0 else 0.5 * power(10::double, -try_cast({0} as int)) end::decimal(28,10)"
+_SCAN = f"""
+s as (
+  select f.*, fl.cik, fl.form, c.entity_scheme, c.entity_identifier, c.period_kind, c.instant_lexical, c.start_lexical, c.end_lexical, '{{' || f.namespace_uri || '}}' || f.local_name qname,
+    {_FAMILY.format('f.namespace_uri')} family, c.context_id in (select context_id from b_dimension) has_dimensions,
+    (select count(*) = 1 and bool_and(side = 'numerator' and name = 'USD' and ns = 'http://www.xbrl.org/2003/iso4217') from b_unit_measure u where u.unit_id = f.unit_id) usd
+  from b_fact f join b_concept k using (namespace_uri, local_name) join b_context c on c.context_id = f.context_id join b_filing fl on fl.accession = f.accession)"""
+_PERIOD = """
+pc as (select *, trim(value) v, entity_scheme = 'http://www.sec.gov/CIK' and lpad(entity_identifier, 10, '0') = cik sec from b_dei),
+pg as (
+  select accession, count(*) n, count_if(sec) ns, count(distinct case when sec and v = end_lexical then {'i': entity_identifier, 'k': period_kind, 's': start_lexical, 'e': end_lexical, 'v': v} end) + count_if(sec and v <> end_lexical) g,
+    arg_max({'k': period_kind, 's': start_lexical, 'e': end_lexical, 'y': year_focus, 'f': period_focus}, fact_id) filter (sec) p from pc group by accession),
+per as (
+  select accession, case when n is null then 'no_candidate' when ns = 0 then 'no_sec_entity' when g > 1 then 'conflict' when p.k <> 'duration' then 'not_duration' when p.s is null then 'missing_start' else 'ok' end period_status, p
+  from b_filing left join pg using (accession)),
+period as (
+  select accession, period_status, case when period_status = 'ok' then p.s end period_start, case when period_status = 'ok' then p.e end period_end,
+    case when period_status = 'ok' then p.y end year_focus, case when period_status = 'ok' then p.f end period_focus from per)"""
+_GOOD = "not has_dimensions and value_status = 'valid' and not is_nil and resolved_numeric is not null and usd and entity_scheme = 'http://www.sec.gov/CIK' and lpad(entity_identifier, 10, '0') = s.cik"
+_SUPPORT = f"""
+sup as (
+  select s.fact_id, s.accession, d.metric, d.decision_id, d.relation, case d.relation when 'exact' then 1 else 2 end tier, s.qname source_qname
+  from s join b_decision d on d.local_name = s.local_name and d.status = 'accepted' and not d.stale and d.family = case when s.family = 'other' then 'issuer' else s.family end
+  where not list_contains(string_split(d.exclude_qnames, ','), s.qname) and not list_contains(string_split(d.exclude_ciks, ','), s.cik) and (d.family <> 'issuer' or d.issuer_cik = s.cik))"""
+_SLOT = f"""
+slot as (
+  select s.* from s join period p on p.accession = s.accession and p.period_status = 'ok' where {_GOOD}
+    and case s.period_kind when 'instant' then s.instant_lexical = p.period_end else s.start_lexical = p.period_start and s.end_lexical = p.period_end end)"""
+
+
+def _oim(source: str, keys: str) -> str:
+    half = _HALF.format("decimals")
+    return f"""
+    select {keys}, max(resolved_numeric - {half}) lo, min(resolved_numeric + {half}) hi,
+      max(resolved_numeric - {half}) > min(resolved_numeric + {half}) or max(places_differ) conflict,
+      arg_min(resolved_numeric, (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) val, min((rk, -coalesce(try_cast(decimals as int), 0), fact_id)) rnk,
+      arg_min(fact_id, (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) survivor, arg_min(coalesce(decimals, '~'), (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) dec, count(*) n, list_sort(list(fact_id)) ids
+    from (
+      select *, case when decimals = 'INF' then 0 when try_cast(decimals as int) is not null then 1 else 2 end rk,
+        min(resolved_numeric) over (partition by {keys}, decimals) <> max(resolved_numeric) over (partition by {keys}, decimals) places_differ from {source}) x
+    group by {keys}"""
+
+
+_OBS = f"""
+ms as (
+  select s.*, m.metric, m.relation, m.decision_id from s join sup m on m.fact_id = s.fact_id join b_metric t on t.metric = m.metric join period p on p.accession = s.accession and p.period_status = 'ok'
+  where {_GOOD} and case t.period_type when 'instant' then s.period_kind = 'instant' and s.instant_lexical = p.period_end
+    else s.period_kind = 'duration' and s.start_lexical = p.period_start and s.end_lexical = p.period_end end),
+ex as (select distinct on (fact_id, metric) * from ms where relation = 'exact'),
+nm as ({_oim('ex', 'accession, metric, qname')}),
+ov as (select accession, metric, bool_or(conflict) or min(val) <> max(val) conflict, arg_min(val, rnk) val, arg_min(dec, rnk) dec, list_sort(flatten(list(ids))) ids from nm group by all),
+di as (select accession, metric, string_agg(distinct decision_id, ',' order by decision_id) ids from ms where relation = 'exact' group by all),
+obs0 as (
+  select f.accession, f.cik, m.metric, m.position, m.period_type, case
+      when f.form not in ('10-K', '10-K/A') then 'wrong_form'
+      when not exists (select 1 from b_decision d where d.metric = m.metric and d.relation = 'exact' and d.status = 'accepted' and not d.stale
+        and not list_contains(string_split(d.exclude_ciks, ','), f.cik) and (d.family <> 'issuer' or d.issuer_cik = f.cik)) then 'decision_scope'
+      when ov.val is null then case when exists (select 1 from ms b where b.accession = f.accession and b.metric = m.metric and b.relation <> 'exact') then 'broader_only' else 'none' end end why,
+    ov.conflict, ov.val, ov.dec, ov.ids fids, di.ids dids, p.period_start ps, p.period_end pe
+  from b_filing f cross join b_metric m left join ov on ov.accession = f.accession and ov.metric = m.metric left join di on di.accession = f.accession and di.metric = m.metric join period p on p.accession = f.accession),
+obs1 as (select *, case when why in ('wrong_form', 'decision_scope') then 'unsupported' when why is not null then 'missing' when conflict then 'conflict' else 'value' end status from obs0),
+obs as (
+  select accession, cik, metric, position, status, nullif(why, 'none') reason, case when status = 'value' then val end "numeric", case when status = 'value' then nullif(dec, '~') end decimals, case when status = 'value' then 'USD' end unit,
+    case when period_type = 'duration' then ps end period_start, pe period_end, case when status in ('value', 'conflict') then array_to_string(fids, ',') end fact_ids, case when status in ('value', 'conflict') then dids end decision_ids,
+    case when status = 'value' then 'exact' end relation, case when status = 'value' then 1 end tier from obs1)"""
+_OPERAND = f"""
+on1 as ({_oim('slot', 'accession, local_name, qname')}),
+opi as (select accession, local_name, max(lo)::decimal(28,10) lo, min(hi)::decimal(28,10) hi, bool_or(conflict) or min(val) <> max(val) or max(lo) > min(hi) bad from on1 group by all)"""
+_IDENT = """
+idn as (
+  select f.accession, n.name, case
+    when n.name = 'balance_sheet' then case when a.bad is null or l.bad is null or e.bad is null then 'not_applicable' when a.bad or l.bad or e.bad or a.lo > l.hi + e.hi or l.lo + e.lo > a.hi then 'fail' else 'pass' end
+    else case when p.bad is null or i.bad is null then 'not_applicable' when p.bad or i.bad or p.lo > i.hi or i.lo > p.hi then 'fail' else 'pass' end end status
+  from b_filing f cross join (values ('balance_sheet'), ('nci_split')) n(name)
+  left join opi a on a.accession = f.accession and a.local_name = 'Assets' left join opi l on l.accession = f.accession and l.local_name = 'Liabilities'
+  left join opi e on e.accession = f.accession and e.local_name = 'StockholdersEquity' left join opi p on p.accession = f.accession and p.local_name = 'ProfitLoss'
+  left join opi i on i.accession = f.accession and i.local_name = 'NetIncomeLoss')"""
+_FRAME = """
+ff as (
+  select f.accession, f.cik, f.form,
+    coalesce((select case when count(distinct left(end_lexical, 4)) > 1 then 'mixed' else min(left(end_lexical, 4)) end from s where s.accession = f.accession), 'unknown') fiscal_year, coalesce(i.industry, 'unknown') industry,
+    coalesce((select case when count(distinct split_part(namespace_uri, '/', 5)) > 1 then 'mixed' else min(split_part(namespace_uri, '/', 5)) end from s where s.accession = f.accession and s.family = 'us-gaap'), 'unknown') release
+  from b_filing f left join b_issuer i on i.cik = f.cik)"""
+_CELLS = """
+ic as (select accession, count_if(status = 'pass') ip, count_if(status = 'fail') if_, count_if(status = 'not_applicable') ina from idn group by accession),
+cells as (
+  select metric, fiscal_year, release, industry, count(*) slots, count_if(reason is not distinct from 'wrong_form') wrong_form, count_if(reason is distinct from 'wrong_form') eligible,
+    count_if(status = 'value') "value", count_if(status = 'missing') missing, count_if(status = 'conflict') conflict, count_if(status = 'unsupported' and reason is distinct from 'wrong_form') unsupported,
+    sum(ip)::bigint identity_pass, sum(if_)::bigint identity_fail, sum(ina)::bigint identity_not_applicable
+  from obs join ff using (accession) join ic using (accession) group by all)"""
+_HEADS = "heads as (select * from b_mapping m where not exists (select 1 from b_mapping n where n.supersedes_id = m.id))"
+_AFFECTED = f"""{_HEADS},
+df as (select fact_id, accession, cik, '{{' || namespace_uri || '}}' || local_name concept, case when filing_id % 6 <> 0 then make_date(fiscal_year, 12, 31) end period from b_fact_wide),
+af as (
+  select h.id mapping_id, fact_id, accession, df.cik from df join heads h on h.concept = df.concept and h.status = 'accepted' and (h.scope_kind = 'global' or h.issuer_cik = df.cik)
+  where (valid_from is null and valid_to is null) or (period is not null and (valid_from is null or period >= valid_from) and (valid_to is null or period <= valid_to)))"""
+_ALL = ("b_fact", "b_concept", "b_context", "b_unit_measure", "b_dimension", "b_filing")
+
+
+def _sql(views: tuple[str, ...], select: str, *ctes: str, recursive: bool = False) -> str:
+    head = text(*views)
+    if recursive:
+        head = head.replace("with ", "with recursive ", 1)
+    return head + "".join(f",\n{c.strip()}" for c in ctes) + "\n" + select
+
+
+def _digest(cols: str, where: str = "true") -> str:
+    return f"select accession, sha256(string_agg(line, chr(10) order by line)) digest, count(*) n from (select accession, {cols} line from b_fact where {where}) group by accession"
+
+
+ORACLES = {
+    "filing_metadata": _sql(("b_filing",), "select filing_id, accession, cik, form from b_filing"),
+    "scalar_functions": _sql(
+        ("b_fact_wide",),
+        f"""select fact_id, lpad((cik::bigint)::varchar, 10, '0') cik10, regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') valid_accession, case when regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') then left(accession, 10) end submitter,
+          case when regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') then replace(accession, '-', '') end dashless, '{{' || namespace_uri || '}}' || local_name clark, sha256('{{' || namespace_uri || '}}' || local_name) concept_key,
+          {_FAMILY.format('namespace_uri')} family, case when namespace_uri like 'http://fasb.org/%' then 'standard' else 'issuer' end origin, string_split(namespace_uri, '/')[-1] release, string_split(namespace_uri, '/')[-1]::int taxonomy_year,
+          case when decimals = 'INF' then 0 when decimals is null then 2 else 1 end decimals_rank, ({_HALF.format('decimals')})::varchar half_width,
+          (resolved_numeric - {_HALF.format('decimals')})::decimal(28,10) lo, (resolved_numeric + {_HALF.format('decimals')})::decimal(28,10) hi from b_fact_wide""",
+    ),
+    "path_functions": """select page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1) host, regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9._-]', '_', 'g') basename,
+          coalesce(p <> '' and not starts_with(p, '/') and not regexp_matches(p, '(^|/)[.][.]?(/|$)') and not contains(p, '\\') and not contains(p, '//'), false) safe_path
+        from (select *, regexp_replace(url, '^[a-z]+://', '') p from pages)""",
+    "text_functions": r"""select doc_id, (doc_id % 18)::varchar item, case when doc_id % 18 between 1 and 4 then 1 when doc_id % 18 between 5 and 9 then 2 when doc_id % 18 between 10 and 14 then 3 when doc_id % 18 between 15 and 16 then 4 end part,
+          length(trim(regexp_replace(text, '[\s\x{00A0}\x{2007}\x{202F}\x0B]+', ' ', 'g'))) clean_chars from documents""",
+    "fact_scan": _sql(_ALL, "select fact_id, accession, qname source_qname, family, case when namespace_uri like 'http://fasb.org/%' then 'standard' else 'issuer' end origin, has_dimensions, period_kind, entity_scheme, usd pure_usd from s", _SCAN),
+    "undimensioned": _sql(("b_fact", "b_dimension"), "select fact_id, context_id from b_fact where context_id not in (select context_id from b_dimension)"),
+    "reporting_periods": _sql(("b_filing", "b_dei"), "select * from period", _PERIOD),
+    "resolve_supports": _sql((*_ALL, "b_decision"), "select * from sup", _SCAN, _SUPPORT),
+    "qualify_slot": _sql((*_ALL, "b_dei"), "select fact_id, accession, local_name from slot", _SCAN, _PERIOD, _SLOT),
+    "oim_reduce": _sql(("b_fact",), "select accession, namespace_uri, local_name, conflict, case when not conflict then val end \"value\", survivor, n from o", f"o as ({_oim('b_fact', 'accession, namespace_uri, local_name')})"),
+    "select_observations": _sql((*_ALL, "b_dei", "b_decision", "b_metric"), "select * from obs", _SCAN, _PERIOD, _SUPPORT, _OBS),
+    "operand_intervals": _sql((*_ALL, "b_dei"), "select * from opi", _SCAN, _PERIOD, _SLOT, _OPERAND),
+    "identity_checks": _sql((*_ALL, "b_dei"), "select * from idn", _SCAN, _PERIOD, _SLOT, _OPERAND, _IDENT),
+    "filing_frame": _sql((*_ALL, "b_issuer"), "select * from ff", _SCAN, _FRAME),
+    "quality_cells": _sql((*_ALL, "b_dei", "b_decision", "b_metric", "b_issuer"), "select *, round(\"value\"::double / nullif(eligible, 0), 6) publication_rate from cells", _SCAN, _PERIOD, _SUPPORT, _OBS, _SLOT, _OPERAND, _IDENT, _FRAME, _CELLS),
+    "partition_assertions": _sql((*_ALL, "b_dei", "b_decision", "b_metric", "b_issuer"), "select *, round(\"value\"::double / nullif(eligible, 0), 6) publication_rate from cells where eligible <> \"value\" + missing + conflict + unsupported", _SCAN, _PERIOD, _SUPPORT, _OBS, _SLOT, _OPERAND, _IDENT, _FRAME, _CELLS),
+    "qname_census": _sql(("b_fact",), "select '{' || namespace_uri || '}' || local_name qname, count(distinct accession) accessions from b_fact group by 1"),
+    "name_reuse_aggregate": _sql(("b_fact",), f"select {_FAMILY.format('namespace_uri')} family, string_split(namespace_uri, '/')[-1] release, local_name, count(distinct accession) accessions from b_fact group by all"),
+    "gold_join": _sql(
+        (*_ALL, "b_dei", "b_decision", "b_metric"),
+        "select f.accession, m.metric, case when o.status <> 'value' then 'status' when o.\"numeric\" <> 20000 then 'numeric' else 'ok' end outcome from b_filing f cross join b_metric m join obs o on o.accession = f.accession and o.metric = m.metric where f.filing_id % 50 = 0",
+        _SCAN, _PERIOD, _SUPPORT, _OBS,
+    ),
+    "current_heads": _sql(("b_mapping",), "select id, concept, metric, status from heads", _HEADS),
+    "revision_position": _sql(
+        ("b_mapping",), "select id, root, revision, not exists (select 1 from b_mapping n where n.supersedes_id = c.id) is_current from c",
+        "c(id, root, revision) as (select id, id, 1 from b_mapping where supersedes_id is null union all select m.id, c.root, c.revision + 1 from b_mapping m join c on m.supersedes_id = c.id)", recursive=True,
+    ),
+    "mapping_history": _sql(
+        ("b_mapping",), "select max(id) head, root, count(*) revisions, string_agg(id || ':' || status, ',' order by revision) history from c group by root",
+        "c(id, root, revision, status) as (select id, id, 1, status from b_mapping where supersedes_id is null union all select m.id, c.root, c.revision + 1, m.status from b_mapping m join c on m.supersedes_id = c.id)", recursive=True,
+    ),
+    "mapping_conflicts": _sql(
+        ("b_mapping",),
+        """select a.concept, a.id, b.id other_id from heads a join heads b on a.concept = b.concept and a.id < b.id and a.status = 'accepted' and b.status = 'accepted' and a.relation = 'exact' and b.relation = 'exact'
+          where coalesce(a.valid_from, date '0001-01-01') <= coalesce(b.valid_to, date '9999-12-31') and coalesce(b.valid_from, date '0001-01-01') <= coalesce(a.valid_to, date '9999-12-31')
+            and not (a.scope_kind = 'issuer' and b.scope_kind = 'issuer' and a.issuer_cik <> b.issuer_cik)""",
+        _HEADS,
+    ),
+    "affected_facts": _sql(("b_mapping", "b_fact_wide"), "select * from af", _AFFECTED),
+    "affected_summary": _sql(("b_mapping", "b_fact_wide"), "select mapping_id, count(*) facts, least(count(*), 25) shown, count(*) > 25 truncated, count(distinct accession) accessions, count(distinct cik) issuers from af group by 1", _AFFECTED),
+    "sync_counts": _sql(
+        ("b_fact",), f"""select case when m.accession is null then 'added' when s.accession is null then 'removed' when m.digest = s.digest then 'unchanged' else 'changed' end kind, count(*) n
+          from ({_digest("fact_id || '|' || resolved_numeric", 'fact_id % 5 <> 0')}) m full join ({_digest("fact_id || '|' || resolved_numeric", 'fact_id % 10 <> 0')}) s on m.accession = s.accession group by 1""",
+    ),
+    "orphan_checks": _sql(
+        _ALL, """select 'fact_concept' rule, fact_id::varchar id from b_fact f where not exists (select 1 from b_concept c where c.namespace_uri = f.namespace_uri and c.local_name = f.local_name)
+          union all select 'fact_context', fact_id::varchar from b_fact where context_id not in (select context_id from b_context) union all select 'fact_unit', fact_id::varchar from b_fact where unit_id not in (select unit_id from b_unit_measure)""",
+    ),
+    "duplicate_keys": "select l_orderkey, l_linenumber, count(*) n from lineitem group by all having count(*) > 1",
+    "source_order": _sql(("b_fact",), "select fact_id, accession, row_number() over (partition by accession order by fact_id) - 1 source_order from b_fact"),
+    "ordered_digest": _sql(("b_fact",), _digest("fact_id || '|' || local_name || '|' || coalesce(decimals, '~')")),
+    "snapshot_counts": _sql(("b_fact", "b_context", "b_dei", "b_filing"), "select accession, (select count(*) from b_fact x where x.accession = f.accession) n_fact, (select count(*) from b_context x where x.accession = f.accession) n_context, (select count(*) from b_dei x where x.accession = f.accession) n_dei from b_filing f"),
+    "fact_completeness": _sql(("b_fact", "b_fact_wide", "b_filing"), "select * from (select accession, (select count(*) from b_fact_wide x where x.accession = f.accession) n_raw, (select count(*) from b_fact x where x.accession = f.accession) n_stored from b_filing f) where n_raw <> n_stored"),
+    "union_concept_uses": _sql(("b_fact", "b_concept", "b_dimension"), "select namespace_uri || '#' || local_name \"name\" from b_fact union select namespace_uri || '#' || local_name from b_concept union select dimension from b_dimension union select member from b_dimension"),
+    "dimension_members": _sql(("b_context", "b_dimension"), "select context_id, any_value(accession) accession, string_agg(dimension || '=' || member, ',' order by dimension, member) members from b_context join b_dimension using (context_id) group by context_id"),
+}
