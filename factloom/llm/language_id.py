@@ -65,7 +65,7 @@ class WordBackoff:
     def _forget(self) -> None:
         """Only the known words' rows stay. Row 0 is for what has no letter."""
         self.row = dict(zip(self.known, range(1, len(self.known) + 1), strict=True))
-        self.table = np.concatenate([np.zeros((1, len(self.langs)), dtype=np.float32), self.scores.reshape(-1, len(self.langs))])
+        self.table = np.concatenate([np.zeros((1, len(self.langs)), dtype=np.float32), self.scores.reshape(len(self.known), len(self.langs))])
         self.used = len(self.table)
 
     def places(self, w: str) -> list[int]:

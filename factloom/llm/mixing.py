@@ -18,8 +18,7 @@ SEED = "mix-1"
 #: Where no weights are given, a source's weight is its size to this power.
 TEMPERATURE = 0.5
 EPOCHS = 1.0
-#: exp(-rate) must not vanish.
-MOST_RATE = 500.0
+PLAIN_RATE = 500.0
 MOST_BROADCAST = 100_000
 ROWS_A_PARTITION = 50_000
 
@@ -49,31 +48,38 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epoch
 
 
 def poisson_steps(rate: Column) -> Column:
-    """The distribution's values P(X <= k), k = 0, 1, ... up to where the rest is under 2^-53."""
-    most = F.ceil(rate + 10 * F.sqrt(rate) + 20).cast("int")
-    start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("cdf"))
-
-    def step(s: Column, k: Column) -> Column:
-        p = s["p"] * rate / k
+    """Struct(first, cdf): the distribution's values P(X <= first), P(X <= first + 1), ... up to where the rest is under 2^-53.
+
+    first is 0 for rates up to PLAIN_RATE. For larger ones it lies twelve deviations under the mean, where what is left out is under 2^-53
+    too and exp(-rate) would vanish; the first value then comes from Stirling's series."""
+    wide = rate > PLAIN_RATE
+    first = F.when(wide, F.floor(rate - 12 * F.sqrt(rate))).otherwise(0).cast("int")
+    k = F.greatest(first, F.lit(1)).cast("double")
+    log_factorial = k * F.log(k) - k + 0.5 * F.log(2 * math.pi * k) + 1 / (12 * k) - 1 / (360 * k * k * k)
+    p0 = F.exp(F.when(wide, k * F.log(rate) - rate - log_factorial).otherwise(-rate))
+    most = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
+    start = F.struct(p0.alias("p"), F.array(p0).alias("cdf"))
+
+    def step(s: Column, i: Column) -> Column:
+        p = s["p"] * rate / i
         return F.struct(p.alias("p"), F.concat(s["cdf"], F.array(F.element_at(s["cdf"], -1) + p)).alias("cdf"))
 
-    return F.aggregate(F.sequence(F.lit(1), most), start, step)["cdf"]
+    return F.struct(first.alias("first"), F.aggregate(F.sequence(first + 1, most), start, step)["cdf"].alias("cdf"))
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS, seed: str = SEED, temperature: float = TEMPERATURE, shuffle: bool = True) -> DataFrame:
     """docs with a column copy (from 0), each document as often as it was drawn, in a global random order.
 
     All columns of docs return as they are. A null source is a source of its own, the empty name's. Null text counts as one character. Rows
-    that repeat an id are drawn alike; a null id draws as the empty one. Rates over MOST_RATE are refused.
+    that repeat an id are drawn alike; a null id draws as the empty one. An empty table gives no rows. A column copy of docs gives way.
     """
     if not (math.isfinite(epochs) and epochs >= 0):
         raise ValueError("epochs: a finite number, 0 at least")
     rates = source_rates(docs, weights, epochs, temperature)
-    rates = rates.withColumn("rate", F.when(F.col("rate") <= MOST_RATE, F.col("rate")).otherwise(F.raise_error(F.lit(f"a rate over {MOST_RATE}")).cast("double")))
-    steps = small_side(rates.select("of_source", poisson_steps(F.col("rate")).alias("poisson_cdf")), MOST_BROADCAST)
+    steps = small_side(rates.select("of_source", poisson_steps(F.col("rate")).alias("poisson")), MOST_BROADCAST)
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("of_source"), uniform(F.lit(seed), F.col("doc_id")).alias("u"))
-    drawn = rows.join(steps, "of_source").withColumn("copies", F.size(F.filter("poisson_cdf", lambda c: c < F.col("u")))).where("copies > 0")
+    drawn = rows.join(steps, "of_source").withColumn("copies", F.col("poisson.first") + F.size(F.filter("poisson.cdf", lambda c: c < F.col("u")))).where("copies > 0")
     out = drawn.select("doc", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
     if shuffle:
         # By a hash of id and copy: any partition is a random part of the whole, in random order.
