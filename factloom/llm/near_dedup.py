@@ -1,9 +1,9 @@
 """MinHash near-duplicates with odd sketches.
 
 A document is the set of its distinct word shingles. Documents of equal sets are one class, of which the smallest id goes on.
-MinHash values make bands, which give candidates, and are folded into an odd sketch: a bitmap in which each sample flips one bit.
-The population count of the XOR of two sketches estimates how many samples differ, precisely so at high similarity, and
-a candidate pair goes on if that estimate is near the limit or over it. Full sets then confirm each link.
+MinHash values make bands, which give candidates. One-permutation MinHash samples, the least hash of each of many bins, are folded into an
+odd sketch: a bitmap in which each sample flips one bit. The population count of the XOR of two sketches estimates how many samples
+differ, precisely so at high similarity, and a candidate pair goes on if that estimate is near the limit or over it. Full sets then confirm each link.
 
 No bucket is expanded into all its pairs. First each document is held against one leader, the one it shares most bands
 with; the links found make components. Then, within each bucket, only documents of different components are compared, and
@@ -26,8 +26,9 @@ from .components import components
 
 #: Bands and rows: two sets of similarity 0.8 share no band with probability 1e-7.
 BANDS, ROWS = 40, 5
-#: Bits of an odd sketch, and by how much the estimate may miss the limit: over five standard errors of so many samples.
-SKETCH_BITS, MARGIN = 1024, 0.15
+#: Bins of samples (a power of two), bits of an odd sketch, and the standard errors by which an estimate may miss the limit.
+BIN_BITS, SKETCH_BITS, MARGIN = 12, 4096, 5.0
+BINS = 1 << BIN_BITS
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT, SHINGLE_WORDS = 80, 5
 CACHE_WORDS = 300_000
@@ -81,17 +82,39 @@ def band_keys(mins: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndar
     return key.view(np.int64)
 
 
-def odd_sketch(mins: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Parity bitmap: sample i with value v flips the bit that (i, v) hashes to."""
-    at = _mixed(mins * _STEP + np.arange(len(mins), dtype=np.uint64)) % np.uint64(bits)
+def bin_samples(shingles: np.ndarray) -> np.ndarray:
+    """The least hash of each bin; shingles are sorted, and their leading bits name the bin."""
+    bins = shingles >> np.uint64(64 - BIN_BITS)
+    return shingles[np.append(True, bins[1:] != bins[:-1])] if len(shingles) else shingles
+
+
+def odd_sketch(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Parity bitmap: each sample flips the bit that it hashes to."""
+    at = _mixed(samples * _STEP) % np.uint64(bits)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).view(np.int64)
 
 
-def sketch_similarity(a: Column, b: Column, samples: int = BANDS * ROWS, bits: int = SKETCH_BITS) -> Column:
-    """Jaccard similarity estimated from two odd sketches; null where too many bits differ to tell."""
-    odd = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    left = 1 - 2 * odd / F.lit(float(bits))
-    return F.when(left > 0, 1 + bits / 2 * F.log(left) / (2 * samples))
+SKETCH = "struct<n:long,samples:long,bits:array<long>>"
+_SKETCH = pa.struct([("n", pa.int64()), ("samples", pa.int64()), ("bits", pa.list_(pa.int64()))])
+
+
+def likely_linked(a: Column, b: Column, limit: float, margin: float = MARGIN) -> Column:
+    """True if two sketches do not rule out that the sets' similarity is limit.
+
+    The samples that differ follow from the odd bits, the common ones from those and the two numbers of samples. At similarity limit
+    the union has (n + n') / (1 + limit) shingles, which fill an expected number of bins, of which the share limit has a common sample."""
+    odd = F.aggregate(F.zip_with(a["bits"], b["bits"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    left = 1 - 2 * odd / F.lit(float(SKETCH_BITS))
+    differ = -SKETCH_BITS / 2 * F.log(left)
+    common = (a["samples"] + b["samples"] - differ) / 2
+    union = (a["n"] + b["n"]) / F.lit(1.0 + limit)
+    expected = lambda n: BINS * (1 - F.exp(-n / F.lit(float(BINS))))
+    filled = expected(union) * (a["samples"] + b["samples"]) / (expected(a["n"]) + expected(b["n"]))
+    # Errors: of drawing a sample from each bin that several shingles share, and of bits that several samples share.
+    drawn = 0.4 * filled * F.greatest(1 - expected(union) / union, F.lit(0.0))
+    folded = differ * differ / F.lit(2.0 * SKETCH_BITS)
+    size = F.least(a["n"], b["n"]) >= F.floor(F.greatest(a["n"], b["n"]) * limit)
+    return size & (left > 0) & (common >= limit * filled - margin * F.sqrt(drawn + folded) - 1)
 
 
 def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -113,11 +136,12 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
                 mins = min_hashes(s, multipliers)
                 classes.append(xxhash.xxh3_128_digest(s.tobytes()))
                 bands.append(band_keys(mins))
-                sketches.append(odd_sketch(mins))
-            cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
+                samples = bin_samples(s)
+                sketches.append({"n": len(s), "samples": len(samples), "bits": odd_sketch(samples)})
+            cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, _SKETCH)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "class", "bands", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, class binary, bands array<long>, sketch array<long>")
+    return docs.mapInArrow(run, f"doc_id long, n_shingles long, class binary, bands array<long>, sketch {SKETCH}")
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -176,7 +200,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     busy = small_side(members.select("doc_id").distinct(), MOST_BROADCAST)
     sets = staged(shingle_sets(docs.join(busy, "doc_id", "left_semi"), shingle_words).distinct(), "near-sets")
     sketches = first.select("doc_id", "sketch")
-    likely = lambda x, y: sketch_similarity(x, y) >= percent / 100 - MARGIN
+    likely = lambda x, y: likely_linked(x, y, percent / 100)
     pairs = led.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
     links = staged(confirmed(pairs.where(likely(F.col("x"), F.col("y"))).select("a", "b"), sets, percent), "near-links")
     label = components(links)

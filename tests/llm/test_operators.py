@@ -237,15 +237,25 @@ def test_components(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 7: 7, 8: 7, 9: 7, 20: 20, 21: 20} | {30 + i: 30 for i in range(41)}
 
 
-def test_odd_sketch_estimates_high_similarity():
+def test_odd_sketch_keeps_links_and_drops_most_others(spark):
     r = np.random.RandomState(0)
-    m = near_dedup._multipliers(near_dedup.BANDS * near_dedup.ROWS)
-    for share in (0.7, 0.8, 0.9, 1.0):
-        a = r.randint(1, 1 << 62, 2000).astype(np.uint64)
-        b = np.concatenate([a[: int(2000 * 2 * share / (1 + share))], r.randint(1, 1 << 62, 2000 - int(2000 * 2 * share / (1 + share))).astype(np.uint64)])
-        x, y = (near_dedup.odd_sketch(near_dedup.min_hashes(s, m)) for s in (a, b))
-        odd = sum(bin(int(v) & (2**64 - 1)).count("1") for v in x ^ y)
-        assert abs(1 + 512 * np.log(1 - 2 * odd / 1024) / (2 * len(m)) - share) < near_dedup.MARGIN
+    rows = []
+    for n in (5, 40, 400, 3000, 30000):
+        for share in (0.6, 0.8, 0.8, 0.9):
+            both = -(-int(2 * n * share) // 1)
+            common = -(-both // (1 + share) // 1)
+            a = r.randint(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)
+            b = np.concatenate([a[: int(np.ceil(common))], r.randint(0, 1 << 63, n - int(np.ceil(common))).astype(np.uint64) * np.uint64(2)])
+            j = len(set(a.tolist()) & set(b.tolist())) / len(set(a.tolist()) | set(b.tolist()))
+            sketch = []
+            for s in (np.unique(a), np.unique(b)):
+                x = near_dedup.bin_samples(s)
+                sketch.append((len(s), len(x), [int(v) for v in near_dedup.odd_sketch(x)]))
+            rows.append((n, j, *sketch))
+    df = spark.createDataFrame(rows, f"n long, j double, a {near_dedup.SKETCH}, b {near_dedup.SKETCH}")
+    for x in df.select("n", "j", near_dedup.likely_linked(F.col("a"), F.col("b"), 0.8).alias("ok")).collect():
+        assert x.ok or x.j < 0.8, x
+        assert not x.ok or x.n < 10 or x.j > 0.7, x
 
 
 def test_merkle(spark):
