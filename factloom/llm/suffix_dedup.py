@@ -25,7 +25,7 @@ from .induced_sort import END, FIRST, GAP, suffix_order
 
 LENGTH, GRAM = 400, 128
 #: Bytes of segments that a shard gets on the mean; a larger one keeps its arrays in files.
-SHARD_BYTES, IN_MEMORY_BYTES = 8 << 20, 64 << 20
+SHARD_BYTES, IN_MEMORY_BYTES = 4 << 20, 64 << 20
 BLOCK = 1 << 20
 #: Bits of a gram's place in its block.
 _PLACE = np.uint64((1 << 22) - 1)
