@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     first = staged(first.select("doc_id", "bands", "sketch"), "near-representatives")
 
     # A band's key holds its number, so keys of different bands do not meet.
-    members = first.select(F.explode("bands").alias("key"), "doc_id")
+    members = first.select(F.posexplode("bands").alias("band", "key"), "doc_id")
     shared = members.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("leader")).where("n > 1").drop("n")
     members = staged(members.join(shared, "key"), "near-buckets")
     votes = members.where("doc_id != leader").groupBy("doc_id", "leader").agg(F.count("*").alias("bands"))
@@ -205,14 +205,15 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     links = staged(confirmed(pairs.where(likely(F.col("x"), F.col("y"))).select("a", "b"), sets, percent), "near-links")
     label = components(links)
 
-    in_part = members.select("key", "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    in_part = members.select("key", "band", "doc_id").join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     parts = in_part.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_ = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", "n").alias("largest")).where("parts > 1").drop("parts")
-    rows = in_part.join(open_, "key").join(sketches, "doc_id")
+    rows = in_part.join(open_, "key").join(first, "doc_id").withColumn("before", F.slice("bands", F.lit(1), F.col("band"))).drop("bands", "band")
     rows = staged(rows, "near-open-buckets")
-    probe = rows.where("component != largest").select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("x"))
-    home = rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("y"), (F.col("component") == F.col("largest")).alias("of_largest"))
-    across = (F.col("ca") != F.col("cb")) & (F.col("of_largest") | (F.col("a") < F.col("b"))) & likely(F.col("x"), F.col("y"))
+    probe = rows.where("component != largest").select("key", F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("before").alias("xs"), F.col("sketch").alias("x"))
+    home = rows.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("before").alias("ys"), F.col("sketch").alias("y"), (F.col("component") == F.col("largest")).alias("of_largest"))
+    # A pair meets in all bands that it shares, and is compared in the first alone.
+    across = (F.col("ca") != F.col("cb")) & (F.col("of_largest") | (F.col("a") < F.col("b"))) & ~F.arrays_overlap("xs", "ys") & likely(F.col("x"), F.col("y"))
     crossed = probe.alias("p").join(home.alias("h"), (F.col("p.key") == F.col("h.key")) & across).select("a", "b").distinct()
     more = staged(confirmed(crossed, sets, percent), "near-more-links")
     name = label.select(F.col("node").alias("id"), "component")
