@@ -16,6 +16,8 @@ from .common import read, text_batches
 
 #: The bound of the sample that the model is fitted on: labelled documents of each language, languages, and characters of a document's words.
 DOCS_PER_LANG, MOST_LANGS = 600, 64
+#: Parts of a language's documents among which the sample is chosen first.
+PARTS = 32
 #: Longest n-gram that an unseen word is looked up by, and what a step to a shorter one costs (log).
 LONGEST, BACKOFF = 4, math.log(0.4)
 #: Log score of a place without any known n-gram.
@@ -139,8 +141,11 @@ def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_la
     """(lang, word, n) of the documents with the smallest id hashes of each language, for the most_langs most frequent languages."""
     known = docs.where("lang is not null and text is not null")
     langs = F.broadcast(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).select("lang"))
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "lang").join(langs, "lang").withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang).select("doc_id", "lang")
+    ids = known.select("doc_id", "lang").join(langs, "lang").withColumn("part", F.spark_partition_id() % PARTS)
+    for group in (["lang", "part"], ["lang"]):  # the first of each part, then of those, so that no task reads a language whole
+        w = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
+    ids = ids.select("doc_id", "lang")
     chosen = known.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
