@@ -5,6 +5,10 @@ that pick the same one make a segment. Equal windows pick equal anchors, so an a
 to shards by anchor. Segments of anchors that occur once are done. Segments that are equal as a whole are one class: a class of two or more repeats in
 all its windows, whatever the number of copies. Where an anchor has several classes, one segment of each goes to a shard,
 whose suffixes are ordered with their common prefixes by induced sorting; a window repeats if the suffix before or after it shares `length` bytes.
+
+An anchor whose classes are too large for a shard is split on Spark first, in rounds. Equal windows have the same place relative to their anchor, so a
+round halves the range of places and deals a segment's windows of a half by the bytes that all windows of that half cover. With each round
+these bytes are more; where only one place is left they are the whole window, and a group is then a single class.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from .common import read, staged, text_batches
 from .induced_sort import END, FIRST, GAP, suffix_order
 
 LENGTH, GRAM = 400, 128
-#: Bytes of segments that a shard gets on the mean; a larger one keeps its arrays in files.
+#: Bytes at which a shard is closed, and the most that a group of segments may have (a shard holds twice that at most); a text over the other bound is kept in a file.
 SHARD_BYTES, IN_MEMORY_BYTES = 4 << 20, 64 << 20
 BLOCK = 1 << 20
 #: Bits of a gram's place in its block.
@@ -50,8 +54,8 @@ def new_tables() -> dict:
     return {"byte": byte, "power": np.empty(0, dtype=np.uint64), "inverse": np.empty(0, dtype=np.uint64)}
 
 
-def segments(text: bytes, length: int, gram: int, tables: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of a whole text, in order. Long texts are taken in overlapping blocks."""
+def segments(text: bytes, length: int, gram: int, tables: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, its place, first window, number of windows) of a whole text, in order. Long texts are taken in overlapping blocks."""
     anchors, places, firsts = [], [], []
     windows = len(text) - length + 1
     width = length - gram + 1
@@ -71,35 +75,63 @@ def segments(text: bytes, length: int, gram: int, tables: dict) -> tuple[np.ndar
         places.append(place + at)
         firsts.append(start + at)
     if not anchors:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     anchor, place, first = np.concatenate(anchors), np.concatenate(places), np.concatenate(firsts)
     whole = np.append(True, place[1:] != place[:-1])  # a segment across two blocks is one
-    anchor, first = anchor[whole], first[whole]
-    return anchor.view(np.int64), first, np.diff(np.append(first, windows))
+    anchor, place, first = anchor[whole], place[whole], first[whole]
+    return anchor.view(np.int64), place, first, np.diff(np.append(first, windows))
 
 
-SEGMENTS = "doc_id long, text_key long, anchor long, print long, first int, windows int"
+SEGMENTS = "doc_id long, text_key long, anchor long, print long, place int, first int, windows int"
 
 
 def find_segments(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = new_tables()
         for b in batches:
-            ids, keys, cols = b.column("doc_id").to_pylist(), b.column("text_key").to_pylist(), [[], [], [], [], [], []]
+            ids, keys, cols = b.column("doc_id").to_pylist(), b.column("text_key").to_pylist(), [[], [], [], [], [], [], []]
             for doc, key, text in zip(ids, keys, b.column("text").to_pylist(), strict=True):
                 data = text.encode()
-                anchor, first, windows = segments(data, length, gram, tables)
+                anchor, place, first, windows = segments(data, length, gram, tables)
                 ends = (first + windows + length - 1).tolist()
                 prints = [xxhash.xxh3_64_intdigest(data[a:e]) for a, e in zip(first.tolist(), ends, strict=True)]
-                for c, x in zip(cols, ([doc] * len(first), [key] * len(first), anchor, np.array(prints, dtype=np.uint64).view(np.int64), first, windows), strict=True):
+                for c, x in zip(cols, ([doc] * len(first), [key] * len(first), anchor, np.array(prints, dtype=np.uint64).view(np.int64), place, first, windows), strict=True):
                     c.append(x)
             flat = [[x for part in cols[0] for x in part], [x for part in cols[1] for x in part], *(np.concatenate(c) if c else [] for c in cols[2:])]
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(flat, types, strict=True)], ["doc_id", "text_key", "anchor", "print", "first", "windows"])
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(flat, types, strict=True)], ["doc_id", "text_key", "anchor", "print", "place", "first", "windows"])
 
     return docs.mapInArrow(run, SEGMENTS)
 
 
+def _halved(length: int, gram: int, level: int):
+    """Each cut's windows by the range of their place relative to the anchor, halved level times; the group is named by the bytes that all windows of a range cover."""
+    most = length - gram
+    shift = most.bit_length() - level
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for doc, key, text, cuts in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "cuts")), strict=True):
+                data = text.encode()
+                for c in cuts:
+                    place, first, last = c["place"], c["first"], c["first"] + c["windows"] - 1
+                    for part in range(place - last >> shift, (place - first >> shift) + 1):
+                        near, far = part << shift, min((part + 1 << shift) - 1, most)
+                        a, z = max(first, place - far), min(last, place - near)
+                        group = xxhash.xxh3_64_intdigest(b"%d %d %d " % (c["anchor"], level, part) + data[place - near : place - far + length])
+                        rows.append((doc, key, _signed(group), _signed(xxhash.xxh3_64_intdigest(data[a : z + length])), place, a, z - a + 1, c["copies"]))
+            cols = list(zip(*rows, strict=True)) or [()] * 8
+            types = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "text_key", "anchor", "print", "place", "first", "windows", "copies"])
+
+    return run
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
@@ -140,39 +172,80 @@ def repeated_windows(parts: list[bytes], length: int, in_memory: int = IN_MEMORY
     return [(p, a - s, b - s) for p, a, b, s in zip(of.tolist(), first.tolist(), last.tolist(), starts[of].tolist(), strict=True)]
 
 
-def _sort_shards(length: int):
+def _sort_shards(length: int, shard_bytes: int):
+    def sort(rows: list[tuple]) -> pa.RecordBatch:
+        docs, keys, firsts, many, parts = zip(*rows, strict=True)
+        found = [x for x in repeated_windows(list(parts), length) if not many[x[0]]]
+        cols = [[docs[p] for p, _, _ in found], [keys[p] for p, _, _ in found], [firsts[p] + a for p, a, _ in found], [firsts[p] + z for p, _, z in found]]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], ["doc_id", "text_key", "first", "last"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """All of a partition is one shard."""
-        docs, keys, firsts, many, parts = [], [], [], [], []
+        """A partition comes sorted by anchor; a shard is closed at the first new anchor after shard_bytes."""
+        rows, size, last = [], 0, None
         for b in batches:
-            for c, name in zip((docs, keys, firsts, many, parts), ("doc_id", "text_key", "first", "many", "bytes"), strict=True):
-                c += b.column(name).to_pylist()
-        found = [x for x in repeated_windows(parts, length) if not many[x[0]]] if parts else []
-        cols = [[docs[p] for p, _, _ in found], [keys[p] for p, _, _ in found], [firsts[p] + a for p, a, _ in found], [firsts[p] + z for p, _, z in found]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], ["doc_id", "text_key", "first", "last"])
+            for anchor, *row in zip(*(b.column(c).to_pylist() for c in ("anchor", "doc_id", "text_key", "first", "many", "bytes")), strict=True):
+                if size >= shard_bytes and anchor != last:
+                    yield sort(rows)
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[-1])
+                last = anchor
+        if rows:
+            yield sort(rows)
 
     return run
 
 
+def _by_document(cuts: DataFrame, length: int) -> DataFrame:
+    cut = F.struct("anchor", "place", "first", "windows", "copies", (F.col("first") + F.col("windows") + length - 1).alias("end"))
+    return cuts.groupBy("doc_id", "text_key").agg(F.collect_list(cut).alias("cuts"), F.sum(F.col("windows") + length).alias("size"))
+
+
+def bounded_cuts(long: DataFrame, classes: DataFrame, length: int, gram: int, most_bytes: int) -> tuple[DataFrame, list[DataFrame]]:
+    """classes(anchor, copies, doc_id, text_key, place, first, windows), one row a class -> what is left to be sorted, as the same columns, in groups (anchor) of
+    most_bytes at most; and the runs of windows (doc_id, text_key, first, last) that were found to repeat on the way."""
+    done, found = None, []
+    names = ["anchor", "copies", "doc_id", "text_key", "place", "first", "windows"]
+    for level in range(1, (length - gram).bit_length() + 2):
+        size = F.sum(F.col("windows") + length).alias("bytes")
+        groups = classes.groupBy("anchor").agg(F.min("copies").alias("fewest"), F.count("*").alias("n"), size).where("fewest = 1 and n > 1")
+        groups = staged(groups.select("anchor", "bytes"), "suffix-groups")
+        hot = groups.where(F.col("bytes") > most_bytes).select("anchor")
+        split = level <= (length - gram).bit_length() and not hot.isEmpty()
+        small = classes.join(groups.where(F.col("bytes") <= most_bytes).select("anchor") if split else groups.select("anchor"), "anchor").select(*names)
+        done = small if done is None else done.unionByName(small)
+        if not split:
+            break
+        cuts = staged(_by_document(classes.join(hot, "anchor"), length).drop("size"), "suffix-hot")
+        halves = _with(long, cuts).select("doc_id", "text_key", "text", "cuts").mapInArrow(_halved(length, gram, level), f"{SEGMENTS}, copies long")
+        halves = staged(halves, "suffix-halves")
+        one = F.struct("doc_id", "text_key", "place", "first", "windows")
+        merged = staged(halves.groupBy("anchor", "print").agg(F.sum("copies").alias("copies"), F.min(one).alias("one")), "suffix-classes")
+        again = halves.where("copies = 1").join(merged.where("copies > 1").select("anchor", "print"), ["anchor", "print"], "left_semi")
+        found.append(again.select("doc_id", "text_key", "first", (F.col("first") + F.col("windows") - 1).alias("last")))
+        classes = merged.select("anchor", "copies", "one.*")
+    return done, found
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """docs(doc_id, text_key, text) -> doc_id, text_key, first, last: runs of windows, by the byte they start at, that also start elsewhere."""
     long = docs.where(F.octet_length("text") >= length)
     segs = staged(find_segments(long, length, gram), "suffix-segments")
     by_anchor = segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high")).where("n > 1")
     again = staged(segs.join(by_anchor.select("anchor", (F.col("low") != F.col("high")).alias("unlike")), "anchor"), "suffix-repeated-anchors")
-    one = F.struct("doc_id", "text_key", "first", "windows")
+    one = F.struct("doc_id", "text_key", "place", "first", "windows")
     classes = again.groupBy("anchor", "print", "unlike").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
     whole = again.join(classes.where("copies > 1").select("anchor", "print"), ["anchor", "print"], "left_semi").select("doc_id", "text_key", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
 
-    unlike = classes.where("unlike")
-    open_ = unlike.groupBy("anchor").agg(F.min("copies").alias("fewest")).where("fewest = 1").select("anchor")
-    cuts = unlike.join(open_, "anchor").select("one.*", "anchor", "copies")
-    cut = F.struct("anchor", "first", "windows", "copies", (F.col("first") + F.col("windows") + length - 1).alias("end"))
-    cuts = staged(cuts.groupBy("doc_id", "text_key").agg(F.collect_list(cut).alias("cuts"), F.sum(F.col("windows") + length).alias("size")), "suffix-cuts")
+    unlike = staged(classes.where("unlike").select("anchor", "copies", "one.*"), "suffix-unlike")
+    left, found = bounded_cuts(long, unlike, length, gram, shard_bytes)
+    cuts = staged(_by_document(left, length), "suffix-cuts")
     total = cuts.agg(F.coalesce(F.sum("size"), F.lit(0))).head()[0]
     pieces = _with(long, cuts.drop("size")).select("doc_id", "text_key", "text", "cuts").mapInArrow(_cut_out, "doc_id long, text_key long, anchor long, first int, windows int, many boolean, bytes binary")
     shards = max(1, math.ceil(total / shard_bytes))
-    parts = pieces.repartition(shards, "anchor").mapInArrow(_sort_shards(length), "doc_id long, text_key long, first int, last int")
+    parts = pieces.repartition(shards, "anchor").sortWithinPartitions("anchor").mapInArrow(_sort_shards(length, shard_bytes), "doc_id long, text_key long, first int, last int")
+    for more in found:
+        whole = whole.unionByName(more)
     return whole.unionByName(parts)
 
 

@@ -330,6 +330,24 @@ def test_suffix_dedup_against_brute_force(spark, docs, empty):
     assert suffix_dedup.suffix_dedup(docs).count() == len(ROWS)
 
 
+def test_suffix_dedup_splits_a_hot_anchor(spark):
+    """A passage that all rows share, with contexts of their own at both ends: one anchor's segments go to several bounded groups."""
+    r = random.Random(11)
+    word = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    passage, length, gram, most = word(45), 60, 20, 1500
+    texts = [word(r.randint(0, 80)) + passage[: r.choice([30, 45, 45])] + word(r.randint(0, 80)) for _ in range(150)]
+    texts += [t[5:] for t in texts[:20]] + texts[20:25]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    segs = suffix_dedup.find_segments(docs.where(F.octet_length("text") >= length), length, gram)
+    classes = segs.groupBy("anchor", "print").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key", "place", "first", "windows")).alias("one")).select("anchor", "copies", "one.*")
+    sizes = lambda df: [x[0] for x in df.groupBy("anchor").agg(F.sum(F.col("windows") + length)).select(F.col(f"sum((windows + {length}))")).collect()]
+    left, found = suffix_dedup.bounded_cuts(docs, classes, length, gram, most)
+    assert max(sizes(classes)) > 3 * most and found and max(sizes(left)) <= most
+    got = Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in suffix_dedup.suffix_dedup(docs.drop("text_key"), length, gram, shard_bytes=most).collect())
+    assert got == Counter((i, *x) for (i, _), x in zip(rows, brute_removed(texts, length), strict=True))
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_suffix_order_against_sorting(seed):
     r = random.Random(seed)
