@@ -2,7 +2,7 @@
 
 The field tags pieces (runs of letters and digits, or single signs) as B, I or O: beginning, inside and outside of a secret. Its features are the
 piece's shape and length, the two pieces before and the one after it, and how code-like the text is. It is fitted by
-maximum likelihood on a bounded sample of documents, in which the fixed patterns give the labels; each labelled window is
+maximum likelihood on a bounded sample of windows, some from all documents that the fixed patterns match and some from all others; the patterns give the labels. Each labelled window is
 also shown with its cue words masked and with random strings of other alphabets and lengths, so that the shape itself is learned. Whole texts are decoded by Viterbi. A piece that stays O under the most favourable
 moves is O on every best path, so Viterbi runs only over the stretches between such pieces.
 """
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, text_batches
+from .common import read, staged, text_batches
 
 #: The fixed patterns, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "crf")
@@ -26,8 +26,10 @@ CUES = ("passw", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
-#: Bound of the sample: documents read, and of so many without a label one gives one window.
-SAMPLE_DOCS, WINDOW, PLAIN_EVERY = 6000, 64, 4
+#: All that the fixed patterns match, and a little more, in one pattern that Java reads alike.
+LIKELY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{8,}|AKIA[A-Z0-9]{12}|[0-9a-f]{32}"""
+#: Bounds of the sample: windows with a label, and windows of documents without one, each from another document.
+SAMPLE_LABELLED, SAMPLE_PLAIN, WINDOW, PLAIN_EVERY = 300, 3000, 64, 4
 LEAST_FOUND = 8
 #: Pieces whose features a worker keeps; a full table starts anew.
 CACHE_PIECES = 300_000
@@ -178,12 +180,9 @@ class ChainField:
         return out
 
 
-def _windows(text: str, spread: int) -> list[tuple[bytes, bytes]]:
-    """(features, tags) of the windows with a label; else of one window, chosen by spread."""
+def _tagged(text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Pieces and their tags by the labels."""
     found = [(m.start(), m.end()) for m in PIECE.finditer(text)]
-    if not found:
-        return []
-    pieces = [text[a:b] for a, b in found]
     starts = np.array([a for a, _ in found])
     tags = np.full(len(found), O, dtype=np.int8)
     for a, b in secret_parts(text):
@@ -192,29 +191,49 @@ def _windows(text: str, spread: int) -> list[tuple[bytes, bytes]]:
         tags[fresh] = I
         if len(fresh) and (fresh[0] == 0 or tags[fresh[0] - 1] == O):
             tags[fresh[0]] = B
+    return found, tags
+
+
+def _labelled(tags: np.ndarray) -> list[int]:
+    return sorted({int(i) // WINDOW for i in np.flatnonzero(tags != O)})
+
+
+def _windows(text: str, spread: int, only: list[int] | None = None) -> list[tuple[bytes, bytes]]:
+    """(features, tags) of the windows with a label, or of only some; else of one window, chosen by spread."""
+    found, tags = _tagged(text)
+    if not found:
+        return []
+    pieces = [text[a:b] for a, b in found]
     rows = features(np.array([own_feature(p) for p in pieces]), np.array([near_feature(p) for p in pieces]), file_feature(text))
-    hit = sorted({int(i) // WINDOW for i in np.flatnonzero(tags != O)})
-    windows = hit or [spread // PLAIN_EVERY % ((len(found) + WINDOW - 1) // WINDOW)] * (spread % PLAIN_EVERY == 0)
+    windows = only or _labelled(tags) or [spread // PLAIN_EVERY % ((len(found) + WINDOW - 1) // WINDOW)] * (spread % PLAIN_EVERY == 0)
     return [(rows[w * WINDOW : (w + 1) * WINDOW].astype("<i4").tobytes(), tags[w * WINDOW : (w + 1) * WINDOW].tobytes()) for w in windows]
 
 
-def training_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Windows of the sample_docs documents whose ids hash lowest."""
+def training_windows(docs: DataFrame, labelled: int = SAMPLE_LABELLED, plain: int = SAMPLE_PLAIN) -> DataFrame:
+    """The labelled windows of lowest hash among those of all documents, and a window of each of the documents of lowest hash without a label. Rows of the same id and text count once."""
     text_batches(docs.sparkSession)
-    ids = docs.where("text is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(sample_docs)
+    rows = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("h"), "text")
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [(h, w) for h, t in zip(b.column("h").to_pylist(), b.column("text").to_pylist(), strict=True) for w in _labelled(_tagged(t)[1])]
+            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int32())], ["h", "w"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [w for h, t in zip(b.column("h").to_pylist(), b.column("text").to_pylist(), strict=True) for w in _windows(t, h % 1_000_003)]
+            got = [w for h, t, only in zip(*(b.column(c).to_pylist() for c in ("h", "text", "only")), strict=True) for w in _windows(t, h % 1_000_003 * PLAIN_EVERY, only)]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], ["features", "tags"])
 
-    chosen = docs.where("text is not null").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id", "left_semi")
-    return chosen.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(run, "features binary, tags binary")
+    hits = staged(rows.where(F.col("text").rlike(LIKELY)).mapInArrow(places, "h long, w int").distinct(), "secret-windows")
+    some = hits.orderBy(F.xxhash64("h", "w"), "h", "w").limit(labelled).groupBy("h").agg(F.sort_array(F.collect_list("w")).alias("only"))
+    others = rows.select("h").distinct().join(hits.select("h").distinct(), "h", "left_anti").orderBy("h").limit(plain)
+    chosen = staged(some.unionByName(others.select("h", F.lit(None).cast("array<int>").alias("only"))), "secret-sample")
+    return rows.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).select("h", "text", "only").mapInArrow(run, "features binary, tags binary")
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ChainField | None:
-    """A field fitted on the sample of docs(doc_id, text); None if no secret is among it."""
-    rows = sorted((bytes(r.features), bytes(r.tags)) for r in training_windows(docs, sample_docs).toLocalIterator())
+def fit(docs: DataFrame, labelled: int = SAMPLE_LABELLED, plain: int = SAMPLE_PLAIN) -> ChainField | None:
+    """A field fitted on the sample of docs(doc_id, text); None if no document holds a match of the fixed patterns."""
+    rows = sorted((bytes(r.features), bytes(r.tags)) for r in training_windows(docs, labelled, plain).toLocalIterator())
     windows = [(np.frombuffer(f, "<i4").reshape(-1, 5), np.frombuffer(t, np.int8)) for f, t in rows]
     return fit_windows(windows)
 

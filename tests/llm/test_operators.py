@@ -285,6 +285,16 @@ def test_secrets(docs, empty):
     assert secrets.scan_secrets(empty, None).count() == 0
 
 
+def test_field_is_fitted_on_rare_secrets(spark):
+    ids = spark.range(6400).select(F.col("id").alias("doc_id"))
+    last = ids.orderBy(F.xxhash64("doc_id").desc()).head()[0]
+    secret = 'ab cd token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" ef '
+    docs = ids.withColumn("text", F.when(F.col("doc_id") == last, F.repeat(F.lit(secret), 400)).otherwise(F.concat(F.lit("plain text "), F.col("doc_id").cast("string"))))
+    assert secrets.fit(docs) is not None
+    got = secrets.training_windows(docs, 7, 20).collect()
+    assert sorted(bool((np.frombuffer(r.tags, np.int8) != secrets.O).any()) for r in got) == [False] * 20 + [True] * 7
+
+
 def test_field_learns_shape_and_viterbi_is_exact():
     texts = ["ab cd ef token = \"" + hashlib.sha1(str(i).encode()).hexdigest() + "\" gh ij" for i in range(60)] + [BASE[i : i + 300] for i in range(0, 300, 10)]
     windows = [(np.frombuffer(f, "<i4").reshape(-1, 5), np.frombuffer(t, np.int8)) for i, x in enumerate(texts) for f, t in secrets._windows(x, 4 * i)]
