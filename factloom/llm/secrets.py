@@ -309,11 +309,20 @@ def _expected(x: np.ndarray, there: np.ndarray, w: np.ndarray, moves: np.ndarray
     return mean_w, pair.sum(axis=(0, 1))
 
 
+def _reaches_beyond(start: int, end: int, base: list[tuple[str, int, int]]) -> bool:
+    """Whether the base spans, by start, leave some of start to end uncovered."""
+    for _, s, e in base:
+        if s > start:
+            break
+        start = max(start, e)
+    return start < end
+
+
 def all_spans(texts: list[str | None], model: ChainField | None) -> list[list[tuple[str, int, int]]]:
-    """Of each text the fixed patterns' spans and the field's that overlap none of them, by start and kind."""
+    """Of each text the fixed patterns' spans and the field's that reach beyond them, by start and kind."""
     out = [base_spans(t) for t in texts]
     for i, tagged in enumerate(model.spans(texts) if model else []):
-        if more := [("crf", a, b) for a, b in tagged if not any(a < e and s < b for _, s, e in out[i])]:
+        if more := [("crf", a, b) for a, b in tagged if _reaches_beyond(a, b, out[i])]:
             out[i] = sorted(out[i] + more, key=lambda s: (s[1], KINDS.index(s[0])))
     return out
 

@@ -295,6 +295,18 @@ def test_field_is_fitted_on_rare_secrets(spark):
     assert sorted(bool((np.frombuffer(r.tags, np.int8) != secrets.O).any()) for r in got) == [False] * 20 + [True] * 7
 
 
+def test_field_span_beyond_a_pattern_is_kept():
+    text = 'a password = "Tr0ub4dor!Extra99" and ' + "a" * 40
+
+    class Field:
+        def spans(self, texts):
+            return [[(14, 31), (14, 23), (37, 77), (40, 60)]]
+
+    (spans,) = secrets.all_spans([text], Field())
+    assert spans == [("assign", 2, 23), ("crf", 14, 31), ("hex", 37, 77)]
+    assert secrets.redacted_text(text, spans, "[secret]") == 'a [secret]" and [secret]'
+
+
 def test_field_learns_shape_and_viterbi_is_exact():
     texts = ["ab cd ef token = \"" + hashlib.sha1(str(i).encode()).hexdigest() + "\" gh ij" for i in range(60)] + [BASE[i : i + 300] for i in range(0, 300, 10)]
     windows = [(np.frombuffer(f, "<i4").reshape(-1, 5), np.frombuffer(t, np.int8)) for i, x in enumerate(texts) for f, t in secrets._windows(x, 4 * i)]
