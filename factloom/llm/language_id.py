@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import read, text_batches
 
-#: The bound of the sample that the model is fitted on: labelled documents of each language, languages, and characters of a document's words.
-DOCS_PER_LANG, MOST_LANGS = 600, 64
+#: The bound of the sample that the model is fitted on: labelled documents of each language, and of all, which many languages share evenly (one each at least).
+DOCS_PER_LANG, MOST_DOCS = 600, 38_400
 #: Parts of a language's documents among which the sample is chosen first.
 PARTS = 32
 #: Longest n-gram that an unseen word is looked up by, and what a step to a shorter one costs (log).
@@ -137,11 +137,12 @@ def word_counts(docs: Iterable[tuple[str, str]]) -> dict[str, Counter]:
     return out
 
 
-def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_langs: int = MOST_LANGS) -> DataFrame:
-    """(lang, word, n) of the documents with the smallest id hashes of each language, for the most_langs most frequent languages."""
+def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_docs: int = MOST_DOCS) -> DataFrame:
+    """(lang, word, n) of the documents with the smallest id hashes of each language: docs_per_lang, or fewer where all languages together would exceed most_docs."""
     known = docs.where("lang is not null and text is not null")
-    langs = F.broadcast(known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_langs).select("lang"))
-    ids = known.select("doc_id", "lang").join(langs, "lang").withColumn("part", F.spark_partition_id() % PARTS)
+    langs = known.select("lang").distinct().count()
+    docs_per_lang = min(docs_per_lang, max(1, most_docs // max(1, langs)))
+    ids = known.select("doc_id", "lang").withColumn("part", F.spark_partition_id() % PARTS)
     for group in (["lang", "part"], ["lang"]):  # the first of each part, then of those, so that no task reads a language whole
         w = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
         ids = ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
@@ -156,10 +157,10 @@ def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_la
     return chosen.select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_langs: int = MOST_LANGS) -> WordBackoff:
+def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_docs: int = MOST_DOCS) -> WordBackoff:
     """The model of docs(doc_id, text, lang); its size is bounded by the sample."""
     words: dict[str, Counter] = {}
-    for r in training_sample(docs, docs_per_lang, most_langs).toLocalIterator():
+    for r in training_sample(docs, docs_per_lang, most_docs).toLocalIterator():
         words.setdefault(r.lang, Counter())[r.word] = r.n
     return WordBackoff({lang: Counter(dict(sorted(c.items()))) for lang, c in words.items()})
 

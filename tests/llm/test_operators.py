@@ -101,6 +101,15 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in language_id.predict_languages(docs, nothing).collect()} == {"und"}
 
 
+def test_language_learns_every_language(spark):
+    word = lambda i: chr(97 + i // 26) * 3 + chr(97 + i % 26) * 3
+    train = spark.createDataFrame([(3 * i + k, f"{word(i)} {word(i)}", f"l{i:02}") for i in range(70) for k in range(3)], "doc_id long, text string, lang string")
+    for model in (language_id.fit(train), language_id.fit(train, most_docs=140)):
+        assert [lang for lang, _ in model.predict([word(i) for i in range(70)])] == [f"l{i:02}" for i in range(70)]
+    sample = language_id.training_sample(train, most_docs=140).groupBy("lang").agg(F.sum("n").alias("n")).collect()
+    assert len(sample) == 70 and {r.n for r in sample} == {4}
+
+
 def test_language_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
