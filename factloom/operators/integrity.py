@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,9 +35,33 @@ def source_order(facts: DataFrame) -> DataFrame:
 
 
 def ordered_digest(rows: DataFrame, group: str, *columns: str) -> DataFrame:
-    """SHA-256 of a group's rows in order; a group is one filing's rows."""
+    """SHA-256 of a group's rows in order. Rows are sorted on Spark and hashed as they come, so no group is held whole; one group is still one task's, as SHA-256 is a chain."""
     line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    return rows.groupBy(group).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256).alias("digest"), F.count("*").alias("n"))
+    sorted_rows = rows.select(F.col(group).cast("string").alias("g"), line.alias("line")).repartition("g").sortWithinPartitions("g", "line")
+    out = sorted_rows.mapInArrow(_digests, "g string, digest string, n long")
+    return out.select(F.col("g").cast(rows.schema[group].dataType).alias(group), "digest", "n")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()), strict=True)], ["g", "digest", "n"])
+
+    group, digest, n = None, None, 0
+    for b in batches:
+        done = []
+        for g, line in zip(b.column("g").to_pylist(), b.column("line").to_pylist(), strict=True):
+            if n and g == group:
+                digest.update(b"\n")
+            else:
+                if n:
+                    done.append((group, digest.hexdigest(), n))
+                group, digest, n = g, hashlib.sha256(), 0
+            digest.update(line.encode())
+            n += 1
+        yield out(done)
+    if n:
+        yield out([(group, digest.hexdigest(), n)])
 
 
 def snapshot_counts(filing: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
 from factloom.operators import facts as fx
+from factloom.operators import integrity as ix
 from factloom.operators import ledger as lx
 from factloom.plans import catalogue
 from tests.oracle import compare, connect
@@ -54,6 +57,14 @@ def test_long_chain(spark):
     assert (h["head"], h.revisions) == (39, 40)
 
 
+def test_digest_holds_no_group_whole(spark):
+    rows = spark.createDataFrame([("a", i, None if i % 3 else "x") for i in range(3000)] + [(None, 1, "é"), ("b", 2, "y")], "accession string, i long, v string")
+    df = ix.ordered_digest(rows, "accession", "i", "v")
+    assert "collect_list" not in df._jdf.queryExecution().toString()
+    want = {g: hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest() for g, lines in {"a": [f"{i}|{'~' if i % 3 else 'x'}" for i in range(3000)], None: ["1|é"], "b": ["2|y"]}.items()}
+    assert {r.accession: r.digest for r in df.collect()} == want and {r.n for r in df.collect()} == {3000, 1}
+
+
 def test_entry_imports_without_llm(spark):
     import __spark_entry__ as e
 
