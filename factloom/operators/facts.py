@@ -117,14 +117,19 @@ def oim_reduce(facts: DataFrame, *keys: str) -> DataFrame:
 
 def slot_grid(filing: DataFrame, metrics: DataFrame) -> DataFrame:
     """Every filing with every metric of the cohort, a rule table of a few rows."""
-    return filing.select("accession", "cik", "form").join(F.broadcast(metrics.select("metric", "period_type", "position").limit(1000)))
+    return filing.select("accession", "cik", "form").crossJoin(metrics.select("metric", "period_type", "position"))
 
 
 def scope_by_metric(decisions: DataFrame, filing: DataFrame) -> DataFrame:
     """(metric, cik) pairs for which exact decisions exist but none applies."""
-    exact = active(decisions).where("relation = 'exact'")
-    pairs = filing.select("cik").distinct().join(F.broadcast(exact.limit(10_000)))
-    return pairs.groupBy("metric", "cik").agg(F.max(decision_applies(F.col("cik"))).alias("any")).where("not any").select("metric", "cik", F.lit(True).alias("out_of_scope"))
+    exact = active(decisions).where("relation = 'exact' and exclude_ciks is not null").select("decision_id", "metric", "family", "issuer_cik", F.array_distinct(F.split("exclude_ciks", ",")).alias("left_out"))
+    wide = exact.where("family <> 'issuer'")
+    counts = exact.groupBy("metric").agg(F.count_if(F.col("family") != "issuer").alias("n"))
+    without = wide.select("metric", F.explode("left_out").alias("cik")).groupBy("metric", "cik").agg(F.count("*").alias("n_without"))
+    own = exact.where((F.col("family") == "issuer") & ~F.array_contains("left_out", F.col("issuer_cik"))).select("metric", F.col("issuer_cik").alias("cik"), F.lit(True).alias("own")).distinct()
+    pairs = filing.select("cik").distinct().crossJoin(counts).join(without, ["metric", "cik"], "left").join(own, ["metric", "cik"], "left")
+    none = (F.col("n") <= F.coalesce("n_without", F.lit(0))) & F.col("own").isNull()
+    return pairs.where(none).select("metric", "cik", F.lit(True).alias("out_of_scope"))
 
 
 def select_observations(filing: DataFrame, metrics: DataFrame, decisions: DataFrame, periods: DataFrame, facts: DataFrame) -> DataFrame:

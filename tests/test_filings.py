@@ -65,6 +65,17 @@ def test_digest_holds_no_group_whole(spark):
     assert {r.accession: r.digest for r in df.collect()} == want and {r.n for r in df.collect()} == {3000, 1}
 
 
+def test_all_decisions_and_metrics_count(spark):
+    rows = [(i, f"m{i}", "exact", "accepted", False, "us-gaap", None, "1,2" if i == 10_999 else "") for i in range(11_000)]
+    rows += [(20_000, "own", "exact", "accepted", False, "issuer", "1", ""), (20_001, "own", "exact", "accepted", False, "issuer", "2", "2")]
+    decisions = spark.createDataFrame(rows, "decision_id long, metric string, relation string, status string, stale boolean, family string, issuer_cik string, exclude_ciks string")
+    filing = spark.createDataFrame([("a", "1", "10-K"), ("b", "2", "10-K"), ("c", "3", "10-K")], "accession string, cik string, form string")
+    got = {(r.metric, r.cik) for r in fx.scope_by_metric(decisions, filing).collect()}
+    assert got == {("m10999", "1"), ("m10999", "2"), ("own", "2"), ("own", "3")}
+    metrics = spark.range(1200).select(F.concat(F.lit("m"), "id").alias("metric"), F.lit("instant").alias("period_type"), F.col("id").alias("position"))
+    assert fx.slot_grid(filing, metrics).count() == 3600
+
+
 def test_entry_imports_without_llm(spark):
     import __spark_entry__ as e
 
