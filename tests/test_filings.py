@@ -57,6 +57,13 @@ def test_long_chain(spark):
     assert (h["head"], h.revisions) == (39, 40)
 
 
+def test_chain_of_any_length(spark):
+    rows = spark.createDataFrame([(i, i - 1 if i else None) for i in range(150)], "id long, supersedes_id long")
+    assert {r.id: (r.root, r.revision) for r in lx.revision_positions(rows).collect()} == {i: (0, i + 1) for i in range(150)}
+    with pytest.raises(ValueError):
+        lx.revision_positions(spark.createDataFrame([(1, 2), (2, 1)], "id long, supersedes_id long"))
+
+
 def test_digest_holds_no_group_whole(spark):
     rows = spark.createDataFrame([("a", i, None if i % 3 else "x") for i in range(3000)] + [(None, 1, "é"), ("b", 2, "y")], "accession string, i long, v string")
     df = ix.ordered_digest(rows, "accession", "i", "v")
