@@ -3,7 +3,8 @@
 A document is the set of its distinct word shingles. Documents of equal sets are one class, of which the smallest id goes on.
 MinHash values make bands, which give candidates. One-permutation MinHash samples, the least hash of each of many bins, are folded into an
 odd sketch: a bitmap in which each sample flips one bit. The population count of the XOR of two sketches estimates how many samples
-differ, precisely so at high similarity, and a candidate pair goes on if that estimate is near the limit or over it. Full sets then confirm each link.
+differ, precisely so at high similarity, and a candidate pair goes on if that estimate is near the limit or over it. For texts of up to some 3000 shingles it is a bound that
+never errs: a pair that it stops is not linked. Full sets then confirm each link.
 
 No bucket is expanded into all its pairs. First each document is held against one leader, the one it shares most bands
 with; the links found make components. Then, within each bucket, only documents of different components are compared, and
@@ -26,9 +27,12 @@ from .components import components
 
 #: Bands and rows: two sets of similarity 0.8 share no band with probability 1e-7.
 BANDS, ROWS = 40, 5
-#: Bins of samples (a power of two), bits of an odd sketch, and the standard errors by which an estimate may miss the limit.
-BIN_BITS, SKETCH_BITS, MARGIN = 12, 4096, 5.0
-BINS = 1 << BIN_BITS
+#: Bits of an odd sketch. Bins of samples are so many that a short text's samples are nearly its whole set, and a sketch then bounds the difference of two
+#: sets with certainty; long texts have fewer samples, so that sketches do not fill up, and an estimate that may miss by MARGIN standard errors.
+#: Texts of SHORT to LONG_FROM shingles have both, as sets of similarity 0.8 lie within a factor of 0.8 in size.
+SKETCH_BITS, FINE_BIN_BITS, COARSE_BIN_BITS, MARGIN = 4096, 16, 12, 5.0
+LONG_FROM, SHORT_BELOW, LEAST_PERCENT = 2048, 3072, 70
+BINS = 1 << COARSE_BIN_BITS
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT, SHINGLE_WORDS = 80, 5
 CACHE_WORDS = 300_000
@@ -82,9 +86,9 @@ def band_keys(mins: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndar
     return key.view(np.int64)
 
 
-def bin_samples(shingles: np.ndarray) -> np.ndarray:
-    """The least hash of each bin; shingles are sorted, and their leading bits name the bin."""
-    bins = shingles >> np.uint64(64 - BIN_BITS)
+def bin_samples(shingles: np.ndarray, bin_bits: int = COARSE_BIN_BITS) -> np.ndarray:
+    """The least hash of each of 2^bin_bits bins; shingles are sorted, and their leading bits name the bin."""
+    bins = shingles >> np.uint64(64 - bin_bits)
     return shingles[np.append(True, bins[1:] != bins[:-1])] if len(shingles) else shingles
 
 
@@ -95,16 +99,40 @@ def odd_sketch(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
 
 
 SKETCH = "struct<n:long,samples:long,bits:array<long>>"
+SKETCHES = f"struct<fine:{SKETCH},coarse:{SKETCH}>"
 _SKETCH = pa.struct([("n", pa.int64()), ("samples", pa.int64()), ("bits", pa.list_(pa.int64()))])
+_SKETCHES = pa.struct([("fine", _SKETCH), ("coarse", _SKETCH)])
+
+
+def sketches_of(shingles: np.ndarray) -> dict:
+    def one(bin_bits: int) -> dict:
+        samples = bin_samples(shingles, bin_bits)
+        return {"n": len(shingles), "samples": len(samples), "bits": odd_sketch(samples)}
+
+    return {"fine": one(FINE_BIN_BITS) if len(shingles) < SHORT_BELOW else None, "coarse": one(COARSE_BIN_BITS) if len(shingles) >= LONG_FROM else None}
+
+
+def _odd_bits(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a["bits"], b["bits"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def _sizes_fit(a: Column, b: Column, limit: float) -> Column:
+    return F.least(a["n"], b["n"]) >= F.floor(F.greatest(a["n"], b["n"]) * limit)
+
+
+def may_be_linked(a: Column, b: Column, limit: float) -> Column:
+    """False only if two fine sketches prove two sets unlinked. The odd bits are at most the samples that differ, and those at most the shingles that differ
+    and one for each shingle of either set that its bin's sample hides. Linked sets differ in (n + n') (1 - limit) / (1 + limit) shingles at most."""
+    hidden = a["n"] - a["samples"] + b["n"] - b["samples"]
+    return _sizes_fit(a, b, limit) & (_odd_bits(a, b) - hidden <= (a["n"] + b["n"]) * F.lit((1 - limit) / (1 + limit) + 1e-12))
 
 
 def likely_linked(a: Column, b: Column, limit: float, margin: float = MARGIN) -> Column:
-    """True if two sketches do not rule out that the sets' similarity is limit.
+    """True if two coarse sketches do not rule out that the sets' similarity is limit.
 
     The samples that differ follow from the odd bits, the common ones from those and the two numbers of samples. At similarity limit
     the union has (n + n') / (1 + limit) shingles, which fill an expected number of bins, of which the share limit has a common sample."""
-    odd = F.aggregate(F.zip_with(a["bits"], b["bits"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    left = 1 - 2 * odd / F.lit(float(SKETCH_BITS))
+    left = 1 - 2 * _odd_bits(a, b) / F.lit(float(SKETCH_BITS))
     differ = -SKETCH_BITS / 2 * F.log(left)
     common = (a["samples"] + b["samples"] - differ) / 2
     union = (a["n"] + b["n"]) / F.lit(1.0 + limit)
@@ -113,8 +141,13 @@ def likely_linked(a: Column, b: Column, limit: float, margin: float = MARGIN) ->
     # Errors: of drawing a sample from each bin that several shingles share, and of bits that several samples share.
     drawn = 0.4 * filled * F.greatest(1 - expected(union) / union, F.lit(0.0))
     folded = differ * differ / F.lit(2.0 * SKETCH_BITS)
-    size = F.least(a["n"], b["n"]) >= F.floor(F.greatest(a["n"], b["n"]) * limit)
-    return size & (left > 0) & (common >= limit * filled - margin * F.sqrt(drawn + folded) - 1)
+    return _sizes_fit(a, b, limit) & (left > 0) & (common >= limit * filled - margin * F.sqrt(drawn + folded) - 1)
+
+
+def not_ruled_out(x: Column, y: Column, limit: float) -> Column:
+    """Sets within a factor of 0.7 in size have a kind of sketch in common; where both have both, both must agree."""
+    fine, coarse = may_be_linked(x["fine"], y["fine"], limit), likely_linked(x["coarse"], y["coarse"], limit)
+    return (fine.isNotNull() | coarse.isNotNull()) & F.coalesce(fine, F.lit(True)) & F.coalesce(coarse, F.lit(True))
 
 
 def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -136,12 +169,11 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
                 mins = min_hashes(s, multipliers)
                 classes.append(xxhash.xxh3_128_digest(s.tobytes()))
                 bands.append(band_keys(mins))
-                samples = bin_samples(s)
-                sketches.append({"n": len(s), "samples": len(samples), "bits": odd_sketch(samples)})
-            cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, _SKETCH)]
+                sketches.append(sketches_of(s))
+            cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, _SKETCHES)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "class", "bands", "sketch"])
 
-    return docs.mapInArrow(run, f"doc_id long, n_shingles long, class binary, bands array<long>, sketch {SKETCH}")
+    return docs.mapInArrow(run, f"doc_id long, n_shingles long, class binary, bands array<long>, sketch {SKETCHES}")
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -180,10 +212,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     A text of fewer words than a shingle is one shingle; null text, and text without words, is linked with nothing and kept. A row
     without an id is linked with nothing, has no component and is kept. Rows that repeat an id are one node, linked by what any of its texts is
     linked by, and are kept or not together. Other columns are left out. Sets are compared by 64-bit hashes of their shingles.
-    percent: 70 at least, as the bands are made for high similarities.
+    percent: LEAST_PERCENT at least, as the bands are made for high similarities.
     """
-    if not 70 <= percent <= 100:
-        raise ValueError("percent: 70 to 100")
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent: {LEAST_PERCENT} to 100")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = staged(signatures(docs, shingle_words), "near-signatures")
     classes = staged(signed.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep")), "near-classes")
@@ -200,7 +232,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     busy = small_side(members.select("doc_id").distinct(), MOST_BROADCAST)
     sets = staged(shingle_sets(docs.join(busy, "doc_id", "left_semi"), shingle_words).distinct(), "near-sets")
     sketches = first.select("doc_id", "sketch")
-    likely = lambda x, y: likely_linked(x, y, percent / 100)
+    likely = lambda x, y: not_ruled_out(x, y, percent / 100)
     pairs = led.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a").join(sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
     links = staged(confirmed(pairs.where(likely(F.col("x"), F.col("y"))).select("a", "b"), sets, percent), "near-links")
     label = components(links)
@@ -259,4 +291,4 @@ dr as (
   select doc_id, min(node) component_id from r group by doc_id),
 c as (select doc_id, len(s)::bigint n_shingles, component_id from ds join dr using (doc_id))"""
 ORACLE_SQL = "with recursive d as (select doc_id, text from documents), " + COMPONENTS_SQL.replace("{k}", "2") + " select doc_id, n_shingles, component_id, doc_id = component_id kept from c"
-assert math.isclose((1 - 0.8**ROWS) ** BANDS, 1.2e-7, rel_tol=0.1)
+assert math.isclose((1 - 0.8**ROWS) ** BANDS, 1.2e-7, rel_tol=0.1) and 100 * LONG_FROM <= LEAST_PERCENT * SHORT_BELOW
