@@ -1,6 +1,6 @@
 """Exact top-k inner-product search: a ball tree per shard of candidates, branch and bound per query.
 
-Candidates go to shards of bounded size by a hash of their id, queries to blocks of bounded size. First each query
+Candidates go to shards of bounded size by a hash of id and vector, queries to blocks of bounded size. First each query
 searches its home shard; its k-th best score there is shared with all other shards, where it prunes from the
 start. In a shard, nodes are taken by their upper bound q.centre + |q| * radius, best first, and a node is dropped when the
 bound is under the k-th score so far (or equal to it and all the node's ids are larger than the k-th id).
@@ -131,18 +131,20 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def exact_topk(vectors: DataFrame, query_ids: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
     """The k highest inner products of each query's vector with all other vectors: query_id, rank, vec_id, score.
 
-    vectors(vec_id, v array of whole numbers as double); query_ids(query_id) names the rows that are queries. A vec_id is one vector: rows that
-    repeat it count once, with the smallest vector. Null ids and null vectors take no part. Vectors of unlike
+    vectors(vec_id, v array of whole numbers as double); query_ids(query_id) names the rows that are queries. Every row but those of the query's own id is a
+    candidate, also where rows repeat an id; a query id of several rows has the k highest of all their products. Of rows that are equal in
+    all, k are enough to fill a list, and no more go on. Null ids and null vectors take no part. Vectors of unlike
     length are not compared. Ties go to the smaller vec_id; a query with fewer than k others gets all. No rows in, none out.
     """
-    rows = staged(vectors.where("vec_id is not null and v is not null").groupBy("vec_id").agg(F.min("v").alias("v")), "topk-vectors")
+    alike = vectors.where("vec_id is not null and v is not null").groupBy("vec_id", "v").agg(F.least(F.count("*"), F.lit(k)).alias("copies"))
+    rows = staged(alike.select("vec_id", "v", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy"), "topk-vectors")
     dims = rows.groupBy(F.size("v").alias("dim")).agg(F.ceil(F.count("*") / F.lit(shard_rows)).cast("int").alias("shards"))
     dims = F.broadcast(dims) if dims.count() < 10_000 else dims
-    shard = F.pmod(F.xxhash64("vec_id"), F.col("shards")).cast("int")
+    shard = F.pmod(F.xxhash64("vec_id", "v"), F.col("shards")).cast("int")
     rows = rows.withColumn("dim", F.size("v")).join(dims, "dim").withColumn("shard", shard)
     queries = rows.join(query_ids.distinct(), F.col("vec_id") == F.col("query_id")).select("query_id", F.col("v").alias("qv"), "dim", "shards", F.col("shard").alias("home"))
     n = queries.count()
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(max(1, math.ceil(n / block_queries)))).cast("int"))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "qv", F.lit(1)), F.lit(max(1, math.ceil(n / block_queries)))).cast("int"))
     none = F.lit(None).cast("long")
     first = queries.withColumns({"shard": F.col("home"), "kth_score": none, "kth_id": none})
     seen = staged(_in_shards(rows, first, k), "topk-home")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,12 +18,14 @@ from .common import read, text_batches
 DOCS_PER_LANG, MOST_DOCS = 600, 38_400
 #: Parts of a language's documents among which the sample is chosen first.
 PARTS = 32
+#: Partitions in which the sample's counts come to the driver, one after the other.
+FEW_PARTS = 4
 #: Longest n-gram that an unseen word is looked up by, and what a step to a shorter one costs (log).
 LONGEST, BACKOFF = 4, math.log(0.4)
 #: Log score of a place without any known n-gram.
 FLOOR = -20.0
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")  # letters alone: not digits, fractions or other numerals
 #: Words whose scores a worker keeps; a full table starts anew.
 CACHE_WORDS = 100_000
 
@@ -138,7 +140,8 @@ def word_counts(docs: Iterable[tuple[str, str]]) -> dict[str, Counter]:
 
 
 def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_docs: int = MOST_DOCS) -> DataFrame:
-    """(lang, word, n) of the documents with the smallest id hashes of each language: docs_per_lang, or fewer where all languages together would exceed most_docs."""
+    """(lang, word, n) of the documents with the smallest id hashes of each language: docs_per_lang, or fewer where all languages together would exceed most_docs.
+    Rows that repeat an id teach once a language, by their smallest text."""
     known = docs.where("lang is not null and text is not null")
     langs = known.select("lang").distinct().count()
     docs_per_lang = min(docs_per_lang, max(1, most_docs // max(1, langs)))
@@ -147,7 +150,7 @@ def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_do
         w = Window.partitionBy(*group).orderBy(F.xxhash64("doc_id"), "doc_id")
         ids = ids.withColumn("r", F.row_number().over(w)).where(F.col("r") <= docs_per_lang)
     ids = ids.select("doc_id", "lang")
-    chosen = known.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi")
+    chosen = known.select("doc_id", "lang", "text").join(F.broadcast(ids.distinct()), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -160,7 +163,7 @@ def training_sample(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_do
 def fit(docs: DataFrame, docs_per_lang: int = DOCS_PER_LANG, most_docs: int = MOST_DOCS) -> WordBackoff:
     """The model of docs(doc_id, text, lang); its size is bounded by the sample."""
     words: dict[str, Counter] = {}
-    for r in training_sample(docs, docs_per_lang, most_docs).toLocalIterator():
+    for r in training_sample(docs, docs_per_lang, most_docs).coalesce(FEW_PARTS).toLocalIterator(prefetchPartitions=True):
         words.setdefault(r.lang, Counter())[r.word] = r.n
     return WordBackoff({lang: Counter(dict(sorted(c.items()))) for lang, c in words.items()})
 

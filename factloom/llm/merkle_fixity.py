@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import read, staged
 
 FAN_OUT = 16
+NODE = ("shard", "node", "start", "end", "digest")
 SHARD_BYTES = 64 << 20
 
 
@@ -35,7 +36,8 @@ def shard_count(pages: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
 def leaves(pages: DataFrame, shards: int) -> DataFrame:
     """pages(page_id, url, html) as records: shard, node (place in its shard), start, end, digest, page_id.
 
-    A shard holds what its ids and urls hash to, in the order of id, url and digest; a record's place and offsets follow from the order.
+    A shard holds what its ids and urls hash to, in the order of id, url and digest; a record's place and offsets follow from the order, which one task makes for a
+    shard. Null ids and urls are records of their own, told from empty ones by nothing but their digests; rows that repeat each other are all records. Other columns are left out, whatever they are called. No rows give no records.
     """
     name = F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit(""))))
     shard = F.pmod(F.conv(F.substring(name, 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int")
@@ -43,7 +45,7 @@ def leaves(pages: DataFrame, shards: int) -> DataFrame:
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), shard.alias("shard"), F.sha2(record, 256).alias("digest"), F.octet_length(record).cast("long").alias("length"))
     order = Window.partitionBy("shard").orderBy(F.asc_nulls_first("page_id"), "url", "digest")
     end = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return rows.select("shard", (F.row_number().over(order) - 1).cast("long").alias("node"), (end - F.col("length")).alias("start"), end.alias("end"), "digest", "page_id")
+    return rows.select("shard", (F.row_number().over(order) - 1).cast("long").alias("node"), (end - F.col("length")).alias("start"), end.alias("end"), "digest", "page_id", "url")
 
 
 def parents(nodes: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
@@ -58,7 +60,7 @@ def tree(records: DataFrame, height: int, fan_out: int = FAN_OUT) -> list[DataFr
     """Levels from leaves to roots, each written once."""
     levels = [records]
     for _ in range(height):
-        levels.append(staged(parents(levels[-1], fan_out), "merkle-level"))
+        levels.append(staged(parents(levels[-1].select(*NODE), fan_out), "merkle-level"))
     return levels
 
 
@@ -77,8 +79,8 @@ def _differing(a: DataFrame, b: DataFrame, within: DataFrame | None, fan_out: in
         inside = within.select(F.col("shard").alias("in_shard"), F.col("node").alias("in_node"))
         under = (F.col("shard") == F.col("in_shard")) & (F.expr(f"node div {fan_out}") == F.col("in_node"))
         a, b = a.join(inside, under, "left_semi"), b.join(inside, under, "left_semi")
-    left = a.select("shard", "node", F.struct("start", "end", "digest", *[c for c in a.columns if c == "page_id"]).alias("kept"))
-    right = b.select("shard", "node", F.struct("start", "end", "digest", *[c for c in b.columns if c == "page_id"]).alias("found"))
+    sides = F.struct("start", "end", "digest", *[c for c in a.columns if c not in NODE])
+    left, right = a.select("shard", "node", sides.alias("kept")), b.select("shard", "node", sides.alias("found"))
     both = left.join(right, ["shard", "node"], "full")
     return both.where(~(F.col("kept.digest").eqNullSafe(F.col("found.digest")) & F.col("kept.start").eqNullSafe(F.col("found.start")) & F.col("kept.end").eqNullSafe(F.col("found.end"))))
 
@@ -86,8 +88,9 @@ def _differing(a: DataFrame, b: DataFrame, within: DataFrame | None, fan_out: in
 def audit(primary: DataFrame, replica: DataFrame, fan_out: int = FAN_OUT) -> DataFrame:
     """Records of two replicas, as from leaves(), that differ: shard, position, page_id, start, end, kind, digest, found_digest.
 
-    kind: altered (both have a record there), missing (only primary) or extra (only replica). Offsets and id are the primary's where it has
-    the record. A lost or added record moves all that follow it in its shard, which are then altered. Equal replicas, and two empty ones, give no rows.
+    kind: altered (both have a record of the same id and url), missing (only primary) or extra (only replica). Position, offsets and id are the primary's where it has
+    the record. A lost or added record moves those that follow it in its shard; under the branches that therefore differ, records are held against each other by id, url and content, so
+    that one which was only moved is sound. Of records that repeat id and url, equal ones are paired first, the rest in order. Equal replicas, and two empty ones, give no rows.
     """
     primary, replica = staged(primary, "merkle-primary"), staged(replica, "merkle-replica")
     height = height_of([primary, replica], fan_out)
@@ -95,9 +98,26 @@ def audit(primary: DataFrame, replica: DataFrame, fan_out: int = FAN_OUT) -> Dat
     within = None
     for a, b in zip(reversed(mine), reversed(other), strict=True):
         within = staged(_differing(a, b, within, fan_out), "merkle-differing")
-    side = F.coalesce("kept", "found")
-    kind = F.when(F.col("found.digest").isNull(), "missing").when(F.col("kept.digest").isNull(), "extra").otherwise("altered")
-    return within.withColumn("side", side).select("shard", F.col("node").alias("position"), "side.page_id", "side.start", "side.end", kind.alias("kind"), F.col("kept.digest").alias("digest"), F.col("found.digest").alias("found_digest"))
+    kept = within.where("kept.digest is not null").select("shard", "node", "kept.*")
+    found = within.where("found.digest is not null").select("shard", "node", "found.*")
+    kept, found = _unpaired(kept, found, ["shard", "page_id", "url", "digest"]), _unpaired(found, kept, ["shard", "page_id", "url", "digest"])
+    left, right = _numbered(kept, ["shard", "page_id", "url"]), _numbered(found, ["shard", "page_id", "url"])
+    a, b = left.alias("a"), right.alias("b")
+    same = F.col("a.name") == F.col("b.name")
+    both = a.join(b, same, "full").select(F.when(F.col("a.name").isNotNull(), F.struct("a.*")).otherwise(F.struct("b.*")).alias("side"), F.col("a.digest").alias("digest"), F.col("b.digest").alias("found_digest"))
+    kind = F.when(F.col("found_digest").isNull(), "missing").when(F.col("digest").isNull(), "extra").otherwise("altered")
+    return both.select("side.shard", F.col("side.node").alias("position"), "side.page_id", "side.start", "side.end", kind.alias("kind"), "digest", "found_digest")
+
+
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with name: a string of the keys and the row's number among those of equal keys, by position."""
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("node"))
+    return rows.withColumn("name", F.to_json(F.struct(*keys, number.alias("number")), {"ignoreNullFields": "false"}))
+
+
+def _unpaired(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """rows without as many of each kind as others has."""
+    return _numbered(rows, keys).join(_numbered(others, keys).select("name"), "name", "left_anti").drop("name")
 
 
 def rotten(pages: DataFrame) -> DataFrame:

@@ -67,11 +67,11 @@ def poisson_steps(rate: Column) -> Column:
     return F.struct(first.alias("first"), F.aggregate(F.sequence(first + 1, most), start, step)["cdf"].alias("cdf"))
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS, seed: str = SEED, temperature: float = TEMPERATURE, shuffle: bool = True) -> DataFrame:
-    """docs with a column copy (from 0), each document as often as it was drawn, in a global random order.
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = EPOCHS, seed: str = SEED, temperature: float = TEMPERATURE, shuffle: bool = True, copy_column: str = "copy") -> DataFrame:
+    """docs with a column copy_column (from 0), each document as often as it was drawn, in a global random order.
 
     All columns of docs return as they are. A null source is a source of its own, the empty name's. Null text counts as one character. Rows
-    that repeat an id are drawn alike; a null id draws as the empty one. An empty table gives no rows. A column copy of docs gives way.
+    that repeat an id are drawn alike; a null id draws as the empty one. An empty table gives no rows. A column of docs of that name gives way.
     """
     if not (math.isfinite(epochs) and epochs >= 0):
         raise ValueError("epochs: a finite number, 0 at least")
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
         # By a hash of id and copy: any partition is a random part of the whole, in random order.
         spread = F.xxhash64(F.lit(seed), F.col("doc.doc_id"), F.col("copy"), F.col("doc.text"))
         out = out.withColumn("place", spread).repartition("place").sortWithinPartitions("place")
-    return out.select(*[F.col("doc")[c].alias(c) for c in names if c != "copy"], "copy")
+    return out.select(*[F.col("doc")[c].alias(c) for c in names if c != copy_column], F.col("copy").alias(copy_column))
 
 
 def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,13 +78,33 @@ def _rates() -> dict:
 
 @F.pandas_udf(DoubleType())
 def _tail(x: pd.Series, n: pd.Series, p: pd.Series) -> pd.Series:
-    """P(Binomial(n, p) <= x), exactly, term by term."""
-
-    def one(x: int, n: int, p: float) -> float:
-        base = math.lgamma(n + 1)
-        return math.fsum(math.exp(base - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(min(x, n) + 1))
-
-    return pd.Series([one(int(a), int(b), float(c)) for a, b, c in zip(x, n, p, strict=True)], dtype=float)
+    return pd.Series([binomial_tail(int(a), int(b), float(c)) for a, b, c in zip(x, n, p, strict=True)], dtype=float)
+
+
+def binomial_tail(x: int, n: int, p: float) -> float:
+    """P(Binomial(n, p) <= x), which is the regularised incomplete beta function at 1 - p of n - x and x + 1. Its continued fraction takes some sqrt(n) steps, however many labels there are."""
+    if x >= n:
+        return 1.0
+    if not 0.0 < p < 1.0:
+        return 1.0 if p <= 0.0 else 0.0
+    a, b, y = n - x, x + 1, 1.0 - p
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(y) + b * math.log(p))
+    return front * _beta_fraction(a, b, y) / a if y < (a + 1) / (a + b + 2) else 1.0 - front * _beta_fraction(b, a, p) / b
+
+
+def _beta_fraction(a: float, b: float, y: float) -> float:
+    """Continued fraction of the incomplete beta function, by the modified Lentz method; fast for y < (a + 1) / (a + b + 2)."""
+    tiny = 1e-300
+    c, d = 1.0, 1.0 / ((1.0 - (a + b) * y / (a + 1.0)) or tiny)
+    out, m = d, 1
+    while True:
+        for term in (m * (b - m) * y / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * y / ((a + 2 * m) * (a + 2 * m + 1))):
+            d = 1.0 / ((1.0 + term * d) or tiny)
+            c = (1.0 + term / c) or tiny
+            out *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            return out
+        m += 1
 
 
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, confidence_miss: float = CONFIDENCE_MISS, cutoffs=CUTOFFS) -> DataFrame:
@@ -136,7 +156,9 @@ def _measured(text: pd.Series) -> pd.DataFrame:
 def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence_miss: float = CONFIDENCE_MISS, stratum: str = "lang") -> DataFrame:
     """The rows of docs that quality_verdicts would keep, with all their columns, whatever these are called."""
     text_batches(docs.sparkSession)
-    chosen = staged(fit_cutoffs(measure(docs, stratum), labels, risk, confidence_miss), "quality-cutoffs")
+    labelled = small_side(labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("labelled_id")).distinct(), MOST_BROADCAST)
+    judged = docs.join(labelled, F.col("doc_id").cast("long") == F.col("labelled_id"), "left_semi")  # only these set the cutoffs
+    chosen = staged(fit_cutoffs(measure(judged, stratum), labels, risk, confidence_miss), "quality-cutoffs")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), _measured(F.col("text").cast("string")).alias("m"))
     return judge(with_base(rows.select("doc", "stratum", "m.*")), chosen).where("kept").select("doc.*")
 

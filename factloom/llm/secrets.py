@@ -3,7 +3,7 @@
 The field tags pieces (runs of letters and digits, or single signs) as B, I or O: beginning, inside and outside of a secret. Its features are the
 piece's shape and length, the two pieces before and the one after it, and how code-like the text is. It is fitted by
 maximum likelihood on a bounded sample of windows, some from all documents that the fixed patterns match and some from all others; the patterns give the labels. Each labelled window is
-also shown with its cue words masked and with random strings of other alphabets and lengths, so that the shape itself is learned. Whole texts are decoded by Viterbi. A piece that stays O under the most favourable
+also shown under other names, without one, and with random strings of another alphabet and other lengths, so that the shape itself is learned; some of the others also in capitals. Whole texts are decoded by Viterbi. A piece that stays O under the most favourable
 moves is O on every best path, so Viterbi runs only over the stretches between such pieces.
 """
 
@@ -38,6 +38,8 @@ PIECE = re.compile(r"[^\W_]+|[^\w\s]|_")
 LENGTHS = (2, 4, 8, 12, 16, 20, 32, 40)
 #: Pieces that neighbours see by name; all else is seen by shape.
 NAMED = ("password", "passwd", "secret", "token", "apikey", "api", "key", "pwd", "auth", "bearer", "private", "credential", "credentials", "access", "=", ":", '"', "'", "+", "/", "_", ".", "-", ",", "@", "|")
+#: The first of these name secrets; windows are shown under each of CUE_NAMES in turn.
+N_CUES, CUE_NAMES = 14, ("pwd", "auth", "bearer", "private", "credential", "access")
 SHAPES = ("sign", "digits", "hex", "lower", "upper", "title", "letters", "mixed", "other")
 N_OWN = len(SHAPES) * (len(LENGTHS) + 1)
 N_NEAR = len(NAMED) + len(SHAPES) * 3 + 1  # the last: none, at a text's ends
@@ -233,32 +235,67 @@ def training_windows(docs: DataFrame, labelled: int = SAMPLE_LABELLED, plain: in
 
 def fit(docs: DataFrame, labelled: int = SAMPLE_LABELLED, plain: int = SAMPLE_PLAIN) -> ChainField | None:
     """A field fitted on the sample of docs(doc_id, text); None if no document holds a match of the fixed patterns."""
-    rows = sorted((bytes(r.features), bytes(r.tags)) for r in training_windows(docs, labelled, plain).toLocalIterator())
+    rows = sorted((bytes(r.features), bytes(r.tags)) for r in training_windows(docs, labelled, plain).collect())  # labelled + plain at most, of WINDOW pieces each
     windows = [(np.frombuffer(f, "<i4").reshape(-1, 5), np.frombuffer(t, np.int8)) for f, t in rows]
     return fit_windows(windows)
 
 
+def _reshaped(rows: np.ndarray, at: np.ndarray, to: str, near: bool = False) -> np.ndarray:
+    """rows with the pieces at those places in another shape, of the same length; near: as their neighbours see them, too."""
+    out, size = rows.copy(), len(LENGTHS) + 1
+    out[at, 0] = SHAPES.index(to) * size + rows[at, 0] % size
+    if near:
+        for group, by in ((1, 1), (2, 2), (3, -1)):
+            spot = np.flatnonzero(at) + by
+            spot = spot[(spot >= 0) & (spot < len(rows))]
+            seen = rows[spot, group] - OFFSETS[group]
+            spot, seen = spot[(seen >= len(NAMED)) & (seen < N_NEAR - 1)], seen[(seen >= len(NAMED)) & (seen < N_NEAR - 1)]
+            out[spot, group] = OFFSETS[group] + len(NAMED) + 3 * SHAPES.index(to) + (seen - len(NAMED)) % 3
+    return out
+
+
+def _masked(rows: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    """rows with the named neighbours of what begins or is outside a secret replaced by a plain word's shape."""
+    out = rows.copy()
+    for group in (1, 2, 3):
+        named = (out[:, group] - OFFSETS[group] < len(NAMED)) & (tags != I)
+        out[named, group] = OFFSETS[group] + MASKED
+    return out
+
+
+def _renamed(rows: np.ndarray, tags: np.ndarray, turn: int) -> np.ndarray:
+    """rows in which the words that name a secret give way to another of CUE_NAMES."""
+    out, cue = rows.copy(), _NAMED[CUE_NAMES[turn % len(CUE_NAMES)]]
+    for group in (1, 2, 3):
+        at = out[:, group] - OFFSETS[group]
+        out[(at < N_CUES) & (tags != I), group] = OFFSETS[group] + cue
+    return out
+
+
+def varied(features_: np.ndarray, tags: np.ndarray, turn: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A labelled window and variants of it: under other names, without a name, and with random strings of letters and digits of several lengths in place of hexadecimal ones.
+    Capitals alone, which prose has too, are a secret only where a name says so."""
+    hexes = (features_[:, 0] // (len(LENGTHS) + 1) == SHAPES.index("hex")) & (tags != O)
+    mixed = _reshaped(features_, hexes, "mixed")
+    shorter = mixed.copy()
+    shorter[hexes, 0] -= 1 + turn % 3
+    kinds = [features_, mixed, shorter]
+    out = [(k, tags) for k in kinds] + [(_masked(k, tags), tags) for k in kinds] + [(_renamed(k, tags, turn + i), tags) for i, k in enumerate(kinds)]
+    return [*out, (_renamed(_reshaped(features_, hexes, "upper"), tags, turn), tags)]
+
+
+def contrary(features_: np.ndarray, tags: np.ndarray, turn: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A window without a label and, of each third one, a variant that is none either: its prose in capitals."""
+    words = np.isin(features_[:, 0] // (len(LENGTHS) + 1), [SHAPES.index(x) for x in ("lower", "title", "letters")])
+    return [(features_, tags)] + ([(_reshaped(features_, words, "upper", near=True), tags)] if turn % 3 == 0 else [])
+
+
 def fit_windows(windows: list[tuple[np.ndarray, np.ndarray]]) -> ChainField | None:
-    varied = []
-    for f, t in windows:
-        if not (t != O).any():
-            continue
-        hexes = (f[:, 0] // (len(LENGTHS) + 1) == SHAPES.index("hex")) & (t != O)
-        kinds = [f]
-        for kind in ("mixed", "upper"):
-            for shorter in (0, 3):
-                g = f.copy()
-                g[hexes, 0] += (SHAPES.index(kind) - SHAPES.index("hex")) * (len(LENGTHS) + 1) - shorter
-                kinds.append(g)
-        for g in kinds:
-            h = g.copy()
-            for group in (1, 2, 3):
-                named = (h[:, group] - OFFSETS[group] < len(NAMED)) & (t != I)
-                h[named, group] = OFFSETS[group] + MASKED
-            varied += [(g, t), (h, t)]
-    if not varied:
+    labelled = [w for w in windows if (w[1] != O).any()]
+    if not labelled:
         return None
-    windows = [w for w in windows if not (w[1] != O).any()] + varied
+    plain = [w for w in windows if not (w[1] != O).any()]
+    windows = [v for i, w in enumerate(plain) for v in contrary(*w, i)] + [v for i, w in enumerate(labelled) for v in varied(*w, i)]
     n = len(windows)
     x = np.zeros((n, WINDOW, 5), dtype=np.int64)
     y = np.full((n, WINDOW), O)

@@ -231,10 +231,12 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     """docs(doc_id, text_key, text) -> doc_id, text_key, first, last: runs of windows, by the byte they start at, that also start elsewhere."""
     long = docs.where(F.octet_length("text") >= length)
     segs = staged(find_segments(long, length, gram), "suffix-segments")
+    # Anchors and classes are written before they are joined: a join of two written tables splits a hot key's rows among tasks.
     by_anchor = segs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("print").alias("low"), F.max("print").alias("high")).where("n > 1")
-    again = staged(segs.join(by_anchor.select("anchor", (F.col("low") != F.col("high")).alias("unlike")), "anchor"), "suffix-repeated-anchors")
+    by_anchor = staged(by_anchor.select("anchor", (F.col("low") != F.col("high")).alias("unlike")), "suffix-anchors")
+    again = staged(segs.join(by_anchor, "anchor"), "suffix-repeated-anchors")
     one = F.struct("doc_id", "text_key", "place", "first", "windows")
-    classes = again.groupBy("anchor", "print", "unlike").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
+    classes = staged(again.groupBy("anchor", "print", "unlike").agg(F.count("*").alias("copies"), F.min(one).alias("one")), "suffix-classes")
     whole = again.join(classes.where("copies > 1").select("anchor", "print"), ["anchor", "print"], "left_semi").select("doc_id", "text_key", "first", (F.col("first") + F.col("windows") - 1).alias("last"))
 
     unlike = staged(classes.where("unlike").select("anchor", "copies", "one.*"), "suffix-unlike")

@@ -65,18 +65,16 @@ def test_urls(spark, labels):
 
 def test_topk_against_brute_force(spark):
     r = np.random.RandomState(3)
-    rows = [(i, [float(x) for x in r.randint(-3, 4, 6)]) for i in range(300)] + [(300 + i, [1.0] * 6) for i in range(40)] + [(7, [9.0] * 6), (400, None), (None, [1.0] * 6), (401, [1.0, 2.0]), (402, [1.0, 5.0])]
+    rows = [(i, [float(x) for x in r.randint(-3, 4, 6)]) for i in range(300)] + [(300 + i, [1.0] * 6) for i in range(40)] + [(7, [9.0] * 6), (8, [9.0] * 6), *[(9, [7.0] * 6)] * 9, (400, None), (None, [1.0] * 6), (401, [1.0, 2.0]), (402, [1.0, 5.0])]
     vectors = clash(spark.createDataFrame(rows, "vec_id long, v array<double>"), "shard", "dim", "block")
     ids = spark.createDataFrame([(i,) for i in range(0, 403, 7)] + [(401,), (0,)], "query_id long")
     got = {}
     for x in exact_topk.exact_topk(vectors, ids, shard_rows=64, block_queries=16).collect():
         got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
-    mine = {}
-    for i, v in sorted((i, v) for i, v in rows if i is not None and v is not None):
-        mine.setdefault(i, v)
+    mine = [(i, v) for i, v in rows if i is not None and v is not None]
     want = {}
-    for q in {i for i in [*range(0, 403, 7), 401] if i in mine}:
-        best = sorted((-int(np.dot(mine[q], v)), i) for i, v in mine.items() if i != q and len(v) == len(mine[q]))[:5]
+    for q in {i for i in [*range(0, 403, 7), 401] if any(i == j for j, _ in mine)}:
+        best = sorted((-int(np.dot(u, v)), i) for j, u in mine if j == q for i, v in mine if i != q and len(v) == len(u))[:5]
         if best:
             want[q] = [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
     assert {q: sorted(v) for q, v in got.items()} == want
@@ -396,3 +394,152 @@ def test_suffix_order_against_sorting(seed):
         return k
 
     assert prefix.tolist() == [0, *(common(a, b) for a, b in zip(order, order[1:], strict=False))]
+
+
+def test_plain_chunks_are_encoded_as_the_library_does():
+    coder = packing.ChunkTokenizer(public_tokenizers.path(packing.TOKENIZER))
+    r = random.Random(6)
+    signs = [chr(i) for i in range(1, 0x250)] + list("\u03a3\u03c3\u212a\u00c5\u0301\u200b\ufb01\u2019\ud55c\u8a9e")
+    texts = ["a" + c + "b'S" + c for c in signs] + ["".join(r.choice(signs) if r.random() < 0.4 else r.choice("abC'sTt 1re.<|") for _ in range(r.randint(1, 14))) for _ in range(4000)] + ["x<|endoftext|>y <|startoftext|>"]
+    for t, got in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == coder.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_short_sketches_never_rule_out_a_link(spark):
+    """Pairs just at the limit stay; those under it by a few shingles are stopped, so that a bucket of near copies leaves few pairs."""
+    r = np.random.RandomState(1)
+    rows = []
+    for n in (2, 9, 45, 150, 900, 2500):
+        for less in (0, 0, 1, 4, 20):
+            common = -(-8 * 2 * n // 18) - less * n // 150
+            a = np.unique(r.randint(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+            b = np.unique(np.concatenate([a[:common], r.randint(0, 1 << 63, n - common).astype(np.uint64) * np.uint64(2)]))
+            j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            sketches = [{k: v and {**v, "bits": [int(x) for x in v["bits"]]} for k, v in near_dedup.sketches_of(x).items()} for x in (a, b)]
+            rows.append((n, j, *sketches))
+    df = spark.createDataFrame(rows, f"n long, j double, a {near_dedup.SKETCHES}, b {near_dedup.SKETCHES}")
+    for x in df.select("n", "j", near_dedup.not_ruled_out(F.col("a"), F.col("b"), 0.8).alias("ok")).collect():
+        assert x.ok or x.j < 0.8, x
+        assert not x.ok or x.j > (0.76 if x.n < 1000 else 0.7), x
+
+
+def test_near_duplicates_around_the_limit(spark):
+    """One bucket of copies of a text, edited so that their similarities lie on both sides of the limit."""
+    r = random.Random(8)
+    base = [r.choice(WORDS) + str(i) for i in range(75)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at in r.sample(range(75), r.choice([1, 2, 3, 4, 5, 6])):
+            w[at] = f"new{r.randint(0, 10**9) if r.random() < 0.7 else at}"
+        rows.append((i, " ".join(w), "en", "a", 1))
+    want = brute_components(rows, 2)
+    assert 3 < len(set(want.values())) < 110
+    got = {x.doc_id: x.component_id for x in near_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 2).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize(("x", "n", "p"), [(0, 1, 0.02), (0, 300, 0.02), (3, 300, 0.02), (12, 300, 0.02), (299, 300, 0.02), (300, 300, 0.5), (70, 5000, 0.02), (130, 5000, 0.02), (4, 10, 0.9)])
+def test_binomial_tail(x, n, p):
+    from fractions import Fraction
+    from math import comb
+
+    q = Fraction(p)
+    want = float(sum(comb(n, i) * q**i * (1 - q) ** (n - i) for i in range(min(x, n) + 1)))
+    assert quality_rules.binomial_tail(x, n, p) == pytest.approx(want, rel=1e-9)
+
+
+def test_binomial_tail_of_many_labels():
+    assert 0.49 < quality_rules.binomial_tail(2_000_000, 100_000_000, 0.02) < 0.51
+    assert quality_rules.binomial_tail(1_990_000, 100_000_000, 0.02) < 1e-9
+
+
+def test_merkle_locates_lost_and_added_records(spark):
+    rows = [(i, f"http://h/{i}", f"body {i}") for i in range(400)] + [(9, "http://h/9", "body 9"), (9, "http://h/9", "other")]
+    schema = "page_id long, url string, html string"
+    a = merkle_fixity.leaves(spark.createDataFrame(rows, schema), 2)
+    lost = [r for r in rows if r[0] not in (150, 151) and r[2] != "other"]
+    changed = [(i, u, "rot" if i == 300 else h) for i, u, h in lost] + [(1000, "http://h/new", "x")]
+    got = merkle_fixity.audit(a, merkle_fixity.leaves(spark.createDataFrame(changed, schema), 2)).collect()
+    assert sorted((r.page_id, r.kind) for r in got) == [(9, "missing"), (150, "missing"), (151, "missing"), (300, "altered"), (1000, "extra")]
+    (rot,) = [r for r in got if r.kind == "altered"]
+    assert rot.digest and rot.found_digest and rot.end > rot.start
+
+
+def test_language_against_plain_version(spark):
+    """The same rule word by word, without tables and caches; numerals are no letters."""
+    import math
+
+    r = random.Random(3)
+    words = {"en": ["the", "thing", "with", "other"], "de": ["der", "nicht", "sch\u00f6n", "andere"], "fr": ["le", "chose", "avec", "autre"]}
+    rows = [(i, " ".join(r.choice(words[lang]) for _ in range(8)), lang) for i, lang in enumerate(r.choice(list(words)) for _ in range(90))]
+    rows += [(i, "le le le", "de") for i in (200, 200, 200)]  # one document, seen three times, teaches once
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    once = [(t, lang) for _, t, lang in dict.fromkeys(rows)]
+    counts = {lang: Counter(w for t, k in once if k == lang for w in t.split()) for lang in words}
+    langs = sorted(words)
+    known = {w for c in counts.values() for w in c}
+    half = lambda c, keys, x: math.log((c[x] + 0.5) / sum(c[k] + 0.5 for k in keys))
+    grams = {s: {lang: Counter(f"^{w}$"[i : i + s] for w, n in counts[lang].items() for i in range(len(w) + 3 - s) for _ in range(n)) for lang in langs} for s in range(1, 5)}
+    keys = {s: {g for c in grams[s].values() for g in c} for s in grams}
+
+    def score(word, lang):
+        if word in known:
+            return half(counts[lang], known, word)
+        got, marked = [], f"^{word}$"
+        for i in range(len(marked)):
+            s = next((s for s in (4, 3, 2, 1) if marked[i : i + s] in keys[s] and len(marked[i : i + s]) == s), 0)
+            got.append(half(grams[s][lang], keys[s], marked[i : i + s]) + (4 - s) * math.log(0.4) if s else language_id.FLOOR)
+        return sum(got) / math.sqrt(len(got))
+
+    for text in ["the other thing", "das sch\u00f6ne", "autrement dit", "whither Nichte-LE", "zzz qqq"]:
+        total = [sum(score(w, lang) for w in language_id.WORD.findall(text.lower())) for lang in langs]
+        lang, p = model.predict([text])[0]
+        assert lang == langs[total.index(max(total))] and p == pytest.approx(1 / sum(math.exp(t - max(total)) for t in total), rel=1e-4)
+    assert model.predict(["\u00bd \u2461 \u00b2 12 _"]) == [("und", 0.0)]
+
+
+def planted(kind, r):
+    letters, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "0123456789"
+    some = lambda alphabet, n: "".join(r.choice(alphabet) for _ in range(n - 2)) + "a7"
+    return {"none": some(letters + digits, 32), "passphrase": f'passphrase = "{some(letters + digits, 16)}"', "pwd": f'pwd: "{some(letters + digits, 24)}"', "HEX": some("0123456789ABCDEF", 40).upper()}[kind]
+
+
+def test_field_finds_planted_secrets_and_leaves_prose_alone(spark):
+    """Alphabets, lengths and names that no label has: recall on planted secrets, and precision on the whole table and on prose in capitals."""
+    sf, r = "/root/testdata/sf0.01", random.Random(2)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    texts = [x.text for x in docs.collect() if x.text]
+    model = secrets.fit(docs)
+    assert not [s for spans in secrets.all_spans(texts, model) for s in spans if s[0] == "crf"]
+    clean = [t for t in texts if not secrets.base_spans(t)][:200]
+    assert sum(k == "crf" for spans in secrets.all_spans([t.upper() + "!!" for t in clean], model) for k, *_ in spans) <= 2
+    hits = 0
+    for i, t in enumerate(clean):
+        words = t.split(" ")
+        at = r.randrange(len(words) + 1)
+        secret = planted(["none", "passphrase", "pwd", "HEX"][i % 4], r)
+        text = " ".join([*words[:at], secret, *words[at:]])
+        core = max(secrets.PIECE.findall(secret), key=len)
+        start = text.index(core)
+        hits += any(a <= start and start + len(core) <= b for k, a, b in secrets.all_spans([text], model)[0] if k == "crf")
+    assert hits >= 0.95 * len(clean)
+
+
+def test_base_columns_of_the_whole_table(spark):
+    import regex
+
+    sf = "/root/testdata/sf0.01"
+    texts = {x.doc_id: x.text or "" for x in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    low = {c: f"[{c.upper()}{c}]" for c in "abcdefghijklmnopqrstuvwxyz"}
+    names = "|".join("".join(low.get(c, c) for c in n) for n in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = regex.compile(f"({names})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+    for x in secrets.op9_secret_scan(spark, sf).collect():
+        t = texts[x.doc_id]
+        found = [(m.start(), 0, "assign", m.end()) for m in assign.finditer(t) if len(m[2]) > 7]
+        found += [(m.start(), 1, "access", m.end()) for m in regex.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) > 15]
+        found += [(m.start(), 2, "hex", m.end()) for m in regex.finditer("[0-9a-f]+", t) if len(m[0]) > 31]
+        base = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(found))
+        count = Counter(k for _, _, k, _ in found)
+        assert (x.n_assign, x.n_access, x.n_hex, x.base_sha256) == (count["assign"], count["access"], count["hex"], hashlib.sha256(base.encode()).hexdigest())
+        assert set(base.split(",")) <= {*x.spans.split(","), ""}

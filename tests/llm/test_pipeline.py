@@ -20,7 +20,8 @@ def test_stages_on_odd_rows(spark, docs, labels, tmp_path):  # noqa: F811
     write(labels, tmp_path, "labels")
     write(docs, tmp_path, "documents")
     for _, stage in cp.STAGES[:-1]:
-        out = stage(spark, clash(docs, "doc", "kept", "spans"), str(tmp_path))
+        out = stage(spark, clash(docs, "doc", "kept", "spans", "copy"), str(tmp_path))
+        assert {r.copy for r in out.collect()} == {"x"}
         assert out.columns[:5] == [f.split()[0] for f in DOCS.split(", ")]
         out.collect()
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
