@@ -14,27 +14,30 @@ from factloom.llm.common import read, staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or a certified cutoff reject go."""
+    """Documents that the base rules or a certified cutoff reject go. Null text has no words and goes; repeated rows are judged alike; no rows give none."""
     return quality_rules.filter_documents(docs, read(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: five-word shingles, similarity 0.8."""
+    """One document of each group stays: five-word shingles, similarity 0.8. Texts without words and rows without an id stay; of rows that repeat an id one stays."""
     return near_dedup.keep_one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are cut out of the texts; all documents stay."""
+    """Secrets are cut out of the texts; all documents stay, with null texts as they are. Without a match of the fixed patterns nothing is learned and nothing cut."""
     return secrets.redact_secrets(docs, secrets.fit(docs))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's rate draws it, in random order."""
-    return mixing.mix(docs).select(*docs.columns)
+    """Each document as often as its source's rate draws it, in random order; copies are equal rows. A null source is one of its own. A column of any name in docs stays."""
+    number = "copy"
+    while number in docs.columns:
+        number += "_"
+    return mixing.mix(docs, copy_column=number).drop(number)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces with their places in sequences of 2048 tokens."""
+    """Pieces with their places in sequences of 2048 tokens; null text is the end id alone, and each copy of a document has pieces of its own."""
     return packing.pack(docs, public_tokenizers.path(packing.TOKENIZER))
 
 
