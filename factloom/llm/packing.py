@@ -9,6 +9,7 @@ consumed as the counts allow. What is left is placed best-fit, also by counts. P
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,56 +26,97 @@ from .common import read, staged, text_batches
 
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks between white space whose ids a worker keeps; a full table starts anew.
-CACHE_CHUNKS = 600_000
+#: Chunks between white space, and words, whose ids a worker keeps; a full table starts anew.
+CACHE_CHUNKS, CACHE_WORDS = 400_000, 300_000
 #: Chunks that are encoded at once, parted by the end-of-text string.
 AT_ONCE, PART = 2000, "<|endoftext|>"
+#: The vocabulary's rule for words, and the characters whose lower case and composed form are the same by any Unicode version.
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
+PLAIN_CHUNK = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]*")
+SPECIAL = "<|"
+#: Parts chunks among ids, of which none is so large.
+CUT = b"\xff" * 4
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable character that stands for each byte: printable Latin-1 for itself, the others in order from U+0100 on."""
+    keep = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in keep]
+    return {b: chr(b) for b in keep} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class ChunkTokenizer:
     """Ids of whole texts, from those of the chunks between white space.
 
     The vocabulary's pre-tokenizer drops white space, and no token, composed character or special string reaches across it, so a
-    text's ids are its chunks' ids in order; each chunk is encoded once. Only spaces, tabs and line ends part chunks.
+    text's ids are its chunks' ids in order; each chunk is encoded once. Only spaces, tabs and line ends part chunks. A chunk of Latin letters and
+    signs is parted into words here, which go to the vocabulary's merges one by one; all others take the library's whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.part_id = self.tokenizer.token_to_id(PART)
         self.ids: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.four = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         parts = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") if t else [] for t in texts]
         if len(self.ids) > CACHE_CHUNKS:
             self.ids.clear()
-        if fresh := {c for p in parts for c in p}.difference(self.ids):
-            odd = sorted(c for c in fresh if PART in c)
-            plain = sorted(fresh.difference(odd))
-            for group in [[c] for c in odd] + [plain[i : i + AT_ONCE] for i in range(0, len(plain), AT_ONCE)]:
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        if fresh := set().union(*parts).difference(self.ids):
+            plain = [c for c in fresh if PLAIN_CHUNK.fullmatch(c) and SPECIAL not in c]
+            if plain:
+                self.ids.update(zip(plain, self._plain(plain), strict=True))
+            rest = sorted(fresh.difference(plain))
+            odd = [c for c in rest if PART in c]
+            rest = [c for c in rest if PART not in c]
+            for group in [[c] for c in odd] + [rest[i : i + AT_ONCE] for i in range(0, len(rest), AT_ONCE)]:
                 self.ids.update(zip(group, self._encoded(group), strict=True))
         get = self.ids.__getitem__
         return [b"".join(map(get, p)) for p in parts]
 
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        words, found = self.words, WORDS.findall("\n".join(chunks).lower())
+        tokenize, letters, four = self.model.tokenize, self.letters, self.four
+        for w in set(found).difference(words):
+            words[w] = b"".join([four[t.id] for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(letters))])
+        words["\n"] = CUT
+        return b"".join(map(words.__getitem__, found)).split(CUT)
+
     def _encoded(self, chunks: list[str]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(PART.join(chunks), add_special_tokens=False).ids, dtype="<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([PART.join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
         if len(chunks) == 1:
             return [ids.tobytes()]
         cuts = np.flatnonzero(ids == self.part_id)
         return [ids[a:b].tobytes() for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
 
 
+#: A worker process keeps its tokenizer and what that has learned from task to task.
+_CODERS: dict[str, ChunkTokenizer] = {}
+
+
+def _coder(path: str) -> ChunkTokenizer:
+    if path not in _CODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _CODERS[path] = ChunkTokenizer(path)
+    return _CODERS[path]
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """docs(doc_id, text) -> a row per piece, with its task's number and its rank among the task's pieces of its length."""
     text_batches(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder, task, seen = ChunkTokenizer(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
+        coder, task, seen = _coder(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
             rows = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), coder.encode(b.column("text").to_pylist()), strict=True):
