@@ -10,9 +10,9 @@ SEC_SCHEME = "http://www.sec.gov/CIK"
 ISO4217 = "http://www.xbrl.org/2003/iso4217"
 ANNUAL_FORMS = ("10-K", "10-K/A")
 FAMILY_PREFIXES = {
-    "us-gaap": ("http://fasb.org/us-gaap/", "http://xbrl.us/us-gaap/"),
-    "dei": ("http://xbrl.sec.gov/dei/", "http://xbrl.us/dei/"),
-    "srt": ("http://fasb.org/srt/", "http://xbrl.us/srt/"),
+    "us-gaap": ("http://fasb.org/us-gaap/", "http://xbrl.us/us-gaap/", "https://fasb.org/us-gaap/", "https://xbrl.us/us-gaap/"),
+    "dei": ("http://xbrl.sec.gov/dei/", "http://xbrl.us/dei/", "https://xbrl.sec.gov/dei/", "https://xbrl.us/dei/"),
+    "srt": ("http://fasb.org/srt/", "https://fasb.org/srt/"),
 }
 STANDARD_HOSTS = ("xbrl.sec.gov", "fasb.org", "xbrl.us")
 
@@ -57,9 +57,15 @@ def namespace_family(ns: Column) -> Column:
     return out
 
 
+def is_standard_host(ns: Column) -> Column:
+    """An http or https address at one of the standard hosts, whatever its case, user and port."""
+    host = F.regexp_extract(ns, r"^(?i:https?)://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.coalesce(F.lower(host).isin(*STANDARD_HOSTS), F.lit(False))
+
+
 def namespace_origin(ns: Column) -> Column:
-    known = namespace_family(ns) != "other"
-    return F.when(F.coalesce(known | url_host(ns).isin(*STANDARD_HOSTS), F.lit(False)), "standard").otherwise("issuer")
+    known = F.coalesce(namespace_family(ns) != "other", F.lit(False))
+    return F.when(known | is_standard_host(ns), "standard").otherwise("issuer")
 
 
 def release_token(ns: Column) -> Column:
@@ -73,20 +79,17 @@ def taxonomy_year(ns: Column) -> Column:
 
 
 def parse_decimals(d: Column) -> Column:
-    """Struct(rank, digits): 0 for INF, 1 for a number, 2 for neither."""
+    """Struct(rank, digits): 0 for INF in either case, 1 for a whole number, 2 for neither."""
     n = d.try_cast("int")
-    return F.struct(F.when(d == "INF", 0).when(n.isNotNull(), 1).otherwise(2).alias("rank"), n.alias("digits"))
+    return F.struct(F.when(F.upper(d) == "INF", 0).when(n.isNotNull(), 1).otherwise(2).alias("rank"), n.alias("digits"))
 
 
 def half_width(d: Column) -> Column:
-    """Half a unit of the last reported place; 0 for INF and null."""
+    """Half a unit of the last reported place; 0 for INF and null. Places whose half unit a decimal(28,10) cannot hold exactly, beyond -18 to 9, are refused."""
     n = d.try_cast("int")
-    table = F.create_map(*[x for k in range(-15, 10) for x in (F.lit(k), F.lit(_half(k)).cast("decimal(28,10)"))])
-    return F.coalesce(table[n], F.lit("0").cast("decimal(28,10)"))
-
-
-def _half(k: int) -> str:
-    return "5" + "0" * (-k - 1) if k < 0 else "0." + "0" * k + "5"
+    digits = F.when(n < 0, F.concat(F.lit("5"), F.repeat(F.lit("0"), -n - 1))).otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), n), F.lit("5")))
+    wide = F.raise_error(F.concat(F.lit("decimals out of range: "), d)).cast("decimal(28,10)")
+    return F.when(n.isNull(), F.lit("0").cast("decimal(28,10)")).when(n.between(-18, 9), digits.try_cast("decimal(28,10)")).otherwise(wide)
 
 
 def fact_lo(v: Column, d: Column) -> Column:

@@ -67,25 +67,31 @@ def reporting_periods(filing: DataFrame, candidates: DataFrame) -> DataFrame:
     return out.select("accession", "period_status", ok("p.start_lexical").alias("period_start"), ok("p.end_lexical").alias("period_end"), ok("p.year_focus").alias("year_focus"), ok("p.period_focus").alias("period_focus"))
 
 
-def decision_applies(cik: Column) -> Column:
-    """Of the columns of a decision: its issuer exclusions and its issuer scope."""
-    return ~F.array_contains(F.split("exclude_ciks", ","), cik) & ((F.col("family") != "issuer") | (F.col("issuer_cik") == cik))
+def decision_applies(cik: Column, family: Column) -> Column:
+    """Of the columns of a decision of that family: its issuer exclusions and its issuer scope."""
+    return ~F.array_contains(F.split("exclude_ciks", ","), cik) & ((family != "issuer") | (F.col("issuer_cik") == cik))
 
 
 def active(decisions: DataFrame) -> DataFrame:
     return decisions.where("status = 'accepted' and not stale")
 
 
-def resolve_supports(facts: DataFrame, decisions: DataFrame) -> DataFrame:
-    """fact_id with metric, decision, relation and tier: an equi-join on family and local name, then the names and issuers left out.
+def supported(facts: DataFrame, decisions: DataFrame) -> DataFrame:
+    """facts with metric, decision_id and relation of each decision that they support: an equi-join on family and local name, then the names and issuers left out.
 
     facts: with accession, cik, namespace_uri, local_name. Decisions are a rule table; Spark broadcasts it where its size allows.
     """
     family = F.when(S.namespace_origin(F.col("namespace_uri")) == "issuer", "issuer").otherwise(S.namespace_family(F.col("namespace_uri")))
-    f = facts.select("fact_id", "accession", "cik", family.alias("family"), "local_name", S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("source_qname"))
-    both = f.join(active(decisions), ["family", "local_name"])
-    both = both.where(~F.array_contains(F.split("exclude_qnames", ","), F.col("source_qname")) & decision_applies(F.col("cik")))
-    return both.select("fact_id", "accession", "metric", "decision_id", "relation", F.when(F.col("relation") == "exact", 1).otherwise(2).alias("tier"), "source_qname")
+    f = facts.withColumns({"rule_family": family, "source_qname": S.clark_name(F.col("namespace_uri"), F.col("local_name"))})
+    rules = active(decisions).select("metric", "decision_id", "relation", "issuer_cik", "exclude_ciks", "exclude_qnames", F.col("family").alias("rule_family"), F.col("local_name").alias("rule_name"))
+    both = f.join(rules, (f["rule_family"] == rules["rule_family"]) & (F.col("local_name") == F.col("rule_name"))).drop(rules["rule_family"])
+    both = both.where(~F.array_contains(F.split("exclude_qnames", ","), F.col("source_qname")) & decision_applies(F.col("cik"), F.col("rule_family")))
+    return both.drop("rule_family", "rule_name", "issuer_cik", "exclude_ciks", "exclude_qnames")
+
+
+def resolve_supports(facts: DataFrame, decisions: DataFrame) -> DataFrame:
+    """fact_id with metric, decision, relation and tier, which is 1 for every support."""
+    return supported(facts, decisions).select("fact_id", "accession", "metric", "decision_id", "relation", F.lit(1).alias("tier"), "source_qname")
 
 
 def qualify_slot(facts: DataFrame, periods: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -99,20 +105,22 @@ def qualify_slot(facts: DataFrame, periods: DataFrame, metrics: DataFrame) -> Da
 
 def rank_key() -> Column:
     """Best precision first: INF, then finite ones by places, then null; ties to the smaller fact_id."""
-    d = F.col("decimals").try_cast("int")
-    return F.struct(F.when(F.col("decimals") == "INF", 0).when(d.isNotNull(), 1).otherwise(2).alias("r"), (-F.coalesce(d, F.lit(0))).alias("d"), F.col("fact_id").alias("f"))
+    d = S.parse_decimals(F.col("decimals"))
+    return F.struct(d["rank"].alias("r"), (-F.coalesce(d["digits"], F.lit(0))).alias("d"), F.col("fact_id").alias("f"))
 
 
-def oim_reduce(facts: DataFrame, *keys: str) -> DataFrame:
-    """Duplicate facts of a key to an interval and a survivor; conflict if no value fits all, or equal places carry unlike values. The slice by
-    places comes first, so a hot key is summed before it is shuffled."""
+def oim_reduce(facts: DataFrame, *keys: str, with_ids: bool = True) -> DataFrame:
+    """Duplicate facts of a key to an interval and a survivor; conflict if no value fits all, or equal places, however written, carry unlike values. The slice by
+    places comes first. Without fact_ids a hot key is summed before it is shuffled; the list of them is a row of the key's size, so it is gathered only where a caller asks."""
     rank, value = rank_key(), F.col("resolved_numeric")
-    by_places = facts.groupBy(*keys, "decimals").agg(
+    ids = [F.collect_list("fact_id").alias("ids")] if with_ids else []
+    by_places = facts.groupBy(*keys, S.parse_decimals(F.col("decimals")).alias("parsed")).agg(
         F.max(S.fact_lo(value, F.col("decimals"))).alias("lo"), F.min(S.fact_hi(value, F.col("decimals"))).alias("hi"), (F.min(value) != F.max(value)).alias("unlike"),
-        F.min(F.struct(rank.alias("rank"), value.alias("value"), F.col("decimals").alias("places"))).alias("best"), F.count("*").alias("n"), F.collect_list("fact_id").alias("ids"),
+        F.min(F.struct(rank.alias("rank"), value.alias("value"), F.col("decimals").alias("places"))).alias("best"), F.count("*").alias("n"), *ids,
     )
-    out = by_places.groupBy(*keys).agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"), F.max("unlike").alias("unlike"), F.min("best").alias("best"), F.sum("n").alias("n"), F.sort_array(F.flatten(F.collect_list("ids"))).alias("fact_ids"))
-    return out.select(*keys, "lo", "hi", (F.col("unlike") | (F.col("lo") > F.col("hi"))).alias("conflict"), F.col("best.value").alias("value"), F.col("best.places").alias("decimals"), F.col("best.rank").alias("rank"), "n", "fact_ids")
+    ids = [F.sort_array(F.flatten(F.collect_list("ids"))).alias("fact_ids")] if with_ids else []
+    out = by_places.groupBy(*keys).agg(F.max("lo").alias("lo"), F.min("hi").alias("hi"), F.max("unlike").alias("unlike"), F.min("best").alias("best"), F.sum("n").alias("n"), *ids)
+    return out.select(*keys, "lo", "hi", (F.col("unlike") | (F.col("lo") > F.col("hi"))).alias("conflict"), F.col("best.value").alias("value"), F.col("best.places").alias("decimals"), F.col("best.rank").alias("rank"), "n", *(["fact_ids"] if with_ids else []))
 
 
 def slot_grid(filing: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -120,22 +128,28 @@ def slot_grid(filing: DataFrame, metrics: DataFrame) -> DataFrame:
     return filing.select("accession", "cik", "form").crossJoin(metrics.select("metric", "period_type", "position"))
 
 
-def scope_by_metric(decisions: DataFrame, filing: DataFrame) -> DataFrame:
-    """(metric, cik) pairs for which exact decisions exist but none applies."""
+def out_of_scope(grid: DataFrame, decisions: DataFrame) -> DataFrame:
+    """grid with out_of_scope: whether exact decisions exist for the metric but none applies to the issuer. Decisions meet the grid by metric and issuer: those for all issuers are
+    counted, and with them how many leave the issuer out."""
     exact = active(decisions).where("relation = 'exact' and exclude_ciks is not null").select("decision_id", "metric", "family", "issuer_cik", F.array_distinct(F.split("exclude_ciks", ",")).alias("left_out"))
     wide = exact.where("family <> 'issuer'")
     counts = exact.groupBy("metric").agg(F.count_if(F.col("family") != "issuer").alias("n"))
     without = wide.select("metric", F.explode("left_out").alias("cik")).groupBy("metric", "cik").agg(F.count("*").alias("n_without"))
     own = exact.where((F.col("family") == "issuer") & ~F.array_contains("left_out", F.col("issuer_cik"))).select("metric", F.col("issuer_cik").alias("cik"), F.lit(True).alias("own")).distinct()
-    pairs = filing.select("cik").distinct().crossJoin(counts).join(without, ["metric", "cik"], "left").join(own, ["metric", "cik"], "left")
-    none = (F.col("n") <= F.coalesce("n_without", F.lit(0))) & F.col("own").isNull()
-    return pairs.where(none).select("metric", "cik", F.lit(True).alias("out_of_scope"))
+    both = grid.join(counts, "metric", "left").join(without, ["metric", "cik"], "left").join(own, ["metric", "cik"], "left")
+    none = F.col("n").isNotNull() & (F.col("n") <= F.coalesce("n_without", F.lit(0))) & F.col("own").isNull()
+    return both.withColumn("out_of_scope", none).drop("n", "n_without", "own")
+
+
+def scope_by_metric(decisions: DataFrame, filing: DataFrame) -> DataFrame:
+    """(metric, cik) pairs out of scope, of all metrics of the decisions, which are a rule table, and all issuers of the filings."""
+    grid = filing.select("cik").distinct().crossJoin(active(decisions).select("metric").distinct())
+    return out_of_scope(grid, decisions).where("out_of_scope")
 
 
 def select_observations(filing: DataFrame, metrics: DataFrame, decisions: DataFrame, periods: DataFrame, facts: DataFrame) -> DataFrame:
     """One row per filing and metric: status, reason, value, places, unit, ids. facts: fact_scan with cik."""
-    supported = resolve_supports(facts, decisions).drop("accession", "source_qname")
-    slots = qualify_slot(facts.join(supported, "fact_id"), periods, metrics)
+    slots = qualify_slot(supported(facts, decisions), periods, metrics)
     broader = slots.where("relation <> 'exact'").select("accession", "metric", F.lit(True).alias("broader")).distinct()
     exact = slots.where("relation = 'exact'")
     names = oim_reduce(exact.dropDuplicates(["fact_id", "metric"]), "accession", "metric", "source_qname")
@@ -144,10 +158,10 @@ def select_observations(filing: DataFrame, metrics: DataFrame, decisions: DataFr
         F.max("conflict").alias("conflict"), (F.min("value") != F.max("value")).alias("unlike"), best.alias("best"), F.sort_array(F.flatten(F.collect_list("fact_ids"))).alias("fact_ids")
     )
     ids = exact.groupBy("accession", "metric").agg(F.sort_array(F.collect_set("decision_id")).alias("decision_ids"))
-    out = slot_grid(filing, metrics).join(scope_by_metric(decisions, filing), ["metric", "cik"], "left")
+    out = out_of_scope(slot_grid(filing, metrics), decisions)
     out = out.join(over, ["accession", "metric"], "left").join(broader, ["accession", "metric"], "left").join(ids, ["accession", "metric"], "left")
     out = out.join(periods.select("accession", "period_start", "period_end"), "accession", "left")
-    wrong, scope, none = ~F.col("form").isin(*S.ANNUAL_FORMS), F.coalesce("out_of_scope", F.lit(False)), F.col("best").isNull()
+    wrong, scope, none = ~F.col("form").isin(*S.ANNUAL_FORMS), F.col("out_of_scope"), F.col("best").isNull()
     status = F.when(wrong | scope, "unsupported").when(none, "missing").when(F.col("conflict") | F.col("unlike"), "conflict").otherwise("value")
     reason = F.when(wrong, "wrong_form").when(scope, "decision_scope").when(none & F.col("broader"), "broader_only")
     out = out.withColumns({"status": status, "reason": reason})
@@ -162,26 +176,38 @@ def select_observations(filing: DataFrame, metrics: DataFrame, decisions: DataFr
 
 def operand_intervals(slots: DataFrame) -> DataFrame:
     """accession, local_name, lo, hi, bad: across expanded names; bad if one conflicts, survivors differ or intervals do not meet."""
-    names = oim_reduce(slots, "accession", "local_name", "source_qname")
+    names = oim_reduce(slots, "accession", "local_name", "source_qname", with_ids=False)
     out = names.groupBy("accession", "local_name").agg(F.max("conflict").alias("conflict"), (F.min("value") != F.max("value")).alias("unlike"), F.max("lo").alias("lo"), F.min("hi").alias("hi"))
     return out.select("accession", "local_name", "lo", "hi", (F.col("conflict") | F.col("unlike") | (F.col("lo") > F.col("hi"))).alias("bad"))
 
 
+#: Operands of the identities, by the kind of their period.
+INSTANT_OPERANDS = {"a": "Assets", "l": "Liabilities", "e": "StockholdersEquity", "t": "StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest", "m": "MinorityInterest"}
+DURATION_OPERANDS = {"p": "ProfitLoss", "n": "NetIncomeLoss", "c": "NetIncomeLossAttributableToNoncontrollingInterest"}
+
+
+def operand_slots(slots: DataFrame) -> DataFrame:
+    """Of the facts that fill a slot, those of the us-gaap family that an identity takes, each in its kind of period."""
+    fits = ((F.col("period_kind") == "instant") & F.col("local_name").isin(*INSTANT_OPERANDS.values())) | ((F.col("period_kind") == "duration") & F.col("local_name").isin(*DURATION_OPERANDS.values()))
+    return slots.where((S.namespace_family(F.col("namespace_uri")) == "us-gaap") & fits)
+
+
 def identity_checks(filing: DataFrame, operands: DataFrame) -> DataFrame:
-    """accession, name, status: assets against liabilities and equity, by interval sums; a missing operand makes it not applicable."""
+    """accession, name, status, by interval sums. nci_split: ProfitLoss against NetIncomeLoss and the non-controlling interest's. balance_sheet: assets against liabilities and equity,
+    which is the total with non-controlling interest or, where neither a balance nor an income of that interest is there, the parent's. A missing operand makes an identity not applicable;
+    an operand whose facts contradict each other makes it fail."""
     pick = lambda n, c: F.max(F.when(F.col("local_name") == n, F.col(c)))
-    sides = {"a": "Assets", "l": "Liabilities", "e": "StockholdersEquity", "p": "ProfitLoss", "n": "NetIncomeLoss"}
-    wide = operands.groupBy("accession").agg(*[pick(v, c).alias(f"{k}_{c}") for k, v in sides.items() for c in ("lo", "hi", "bad")])
+    wide = operands.groupBy("accession").agg(*[pick(v, c).alias(f"{k}_{c}") for k, v in (INSTANT_OPERANDS | DURATION_OPERANDS).items() for c in ("lo", "hi", "bad")])
     out = filing.select("accession").join(wide, "accession", "left")
+    there = lambda k: F.col(f"{k}_bad").isNotNull()
+    parent = there("e") & ~there("m") & ~there("c")
+    out = out.withColumns({f"q_{c}": F.when(there("t"), F.col(f"t_{c}")).when(parent, F.col(f"e_{c}")) for c in ("lo", "hi", "bad")})
 
-    def finding(name: str, whole: str, parts: str) -> Column:
-        there = F.lit(True)
-        bad = F.lit(False)
-        for k in whole + parts:
-            there, bad = there & F.col(f"{k}_bad").isNotNull(), bad | F.coalesce(F.col(f"{k}_bad"), F.lit(False))
-        lo = sum((F.col(f"{k}_lo") for k in parts[1:]), F.col(f"{parts[0]}_lo"))
-        hi = sum((F.col(f"{k}_hi") for k in parts[1:]), F.col(f"{parts[0]}_hi"))
+    def finding(name: str, whole: str, one: str, other: str) -> Column:
+        bad = F.col(f"{whole}_bad") | F.col(f"{one}_bad") | F.col(f"{other}_bad")
+        lo, hi = F.col(f"{one}_lo") + F.col(f"{other}_lo"), F.col(f"{one}_hi") + F.col(f"{other}_hi")
         meets = (F.col(f"{whole}_lo") <= hi) & (lo <= F.col(f"{whole}_hi"))
-        return F.struct(F.lit(name).alias("name"), F.when(~there, "not_applicable").when(bad | ~meets, "fail").otherwise("pass").alias("status"))
+        status = F.when(~(there(whole) & there(one) & there(other)), "not_applicable").when(bad | ~meets, "fail").otherwise("pass")
+        return F.struct(F.lit(name).alias("name"), status.alias("status"))
 
-    return out.select("accession", F.inline(F.array(finding("balance_sheet", "a", "le"), finding("nci_split", "p", "n"))))
+    return out.select("accession", F.inline(F.array(finding("nci_split", "p", "n", "c"), finding("balance_sheet", "a", "l", "q"))))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
+from factloom.sources.staging import written
 
 
 def current_heads(revisions: DataFrame) -> DataFrame:
@@ -17,13 +18,14 @@ def current_heads(revisions: DataFrame) -> DataFrame:
 def revision_positions(revisions: DataFrame) -> DataFrame:
     """id, root, revision (from 1), is_current, by doubling: each round a row learns the ancestor twice as far away, until none has one left, so a chain
     of n revisions takes log2(n) joins. A revision that is its own ancestor is refused."""
-    at = revisions.select("id", F.col("supersedes_id").alias("up"), F.lit(1).alias("depth"), F.col("id").alias("root")).localCheckpoint()
+    at = revisions.select("id", F.col("supersedes_id").alias("up"), F.lit(1).alias("depth"), F.col("id").alias("root"))
+    at = written(at, "ledger-chains")
     step, most = 1, at.count()
     while not at.where("up is not null").isEmpty():
         if step > 2 * most:
             raise ValueError("a revision supersedes itself by way of others")
         up = at.select(F.col("id").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("root").alias("r2"))
-        at = at.join(up, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")).localCheckpoint()
+        at = written(at.join(up, "up", "left").select("id", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), F.coalesce("r2", "root").alias("root")), "ledger-chains")
         step *= 2
     heads = current_heads(revisions).select("id", F.lit(True).alias("is_current"))
     return at.join(heads, "id", "left").select("id", "root", F.col("depth").alias("revision"), F.coalesce("is_current", F.lit(False)).alias("is_current"))

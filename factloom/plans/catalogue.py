@@ -11,37 +11,59 @@ from factloom.operators import integrity as ix
 from factloom.operators import ledger as lx
 from factloom.operators import quality as qx
 from factloom.sources.bridge import text, view
+from factloom.sources.staging import written
 
-COLUMNS = {}
+#: Views that are made of the wide facts; a query that reads more than one of them has those written once.
+OF_FACTS = ("fact", "concept", "context", "dimension", "unit_measure")
 
 
 class Model:
-    """The views of one data folder, by name."""
+    """The views of one data folder, by name. Wide facts, the scan and the periods are written where a query reads them more than once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self._at = spark, sf_dir
+        self._at, self._held = (spark, sf_dir), {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        return view(*self._at, f"b_{name}")
+        if name == "fact_wide" and "wide" in self._held:
+            return self._held["wide"]
+        return view(*self._at, f"b_{name}", {"b_fact_wide": self._held["wide"]} if name in OF_FACTS and "wide" in self._held else None)
 
-    def scan(self) -> DataFrame:
+    def _once(self, name: str, make) -> DataFrame:
+        if name not in self._held:
+            self._held[name] = written(make(), f"model-{name}")
+        return self._held[name]
+
+    def shared(self) -> Model:
+        self._once("wide", lambda: self.fact_wide)
+        return self
+
+    def _scan(self) -> DataFrame:
+        self.shared()
         filing = self.filing.select("accession", "cik", "form")
         return fx.fact_scan(self.fact, self.concept, self.context, self.unit_measure, self.dimension).join(filing, "accession")
 
-    def periods(self) -> DataFrame:
-        return fx.reporting_periods(self.filing, self.dei)
+    def scan(self, again: bool = True) -> DataFrame:
+        """again: whether the query reads it more than once."""
+        return self._once("scan", self._scan) if again else self._scan()
+
+    def periods(self, again: bool = True) -> DataFrame:
+        make = lambda: fx.reporting_periods(self.filing, self.dei)
+        return self._once("periods", make) if again else make()
 
     def observations(self) -> DataFrame:
         return fx.select_observations(self.filing, self.metric, self.decision, self.periods(), self.scan())
 
+    def operands(self) -> DataFrame:
+        return fx.operand_intervals(fx.operand_slots(self.slots()))
+
     def slots(self) -> DataFrame:
         """Undimensioned, valid, pure-USD facts of the reporting period, whatever their metric."""
         kinds = self.scan().withColumn("metric", F.when(F.col("period_kind") == "instant", "i").otherwise("d"))
-        types = kinds.select("metric", F.col("period_kind").alias("period_type")).distinct()
+        types = self._at[0].createDataFrame([("i", "instant"), ("d", "duration")], "metric string, period_type string")
         return fx.qualify_slot(kinds, self.periods(), types)
 
     def identities(self) -> DataFrame:
-        return fx.identity_checks(self.filing, fx.operand_intervals(self.slots()))
+        return fx.identity_checks(self.filing, self.operands())
 
     def frame(self) -> DataFrame:
         return qx.filing_frame(self.filing.select("accession", "cik", "form"), self.scan().select("accession", "namespace_uri", "end_lexical"), self.issuer)
@@ -54,10 +76,16 @@ class Model:
         period = F.when(F.col("filing_id") % 6 != 0, F.make_date("fiscal_year", F.lit(12), F.lit(31)))
         return f.select("fact_id", "accession", "cik", S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("concept"), period.alias("period"))
 
+    def mirror(self) -> DataFrame:
+        """An older copy of the facts: before some were dropped, and without the filings that were not yet accepted."""
+        return self.shared().fact_wide.join(self.filing.where("accepted_at is not null").select("accession"), "accession", "left_semi")
+
     def gold(self) -> DataFrame:
-        """Every 50th filing's slots, asserted as values of 20000, some wrongly."""
-        grid = fx.slot_grid(self.filing.where("filing_id % 50 = 0"), self.metric)
-        return grid.select("accession", "metric", F.lit("value").alias("status"), F.lit("20000").cast("decimal(28,10)").alias("numeric"))
+        """Assertions on every filing's slots: values of 20000, a conflict for each seventh filing, and a metric that the build lacks for each eleventh."""
+        grid = fx.slot_grid(self.filing, self.metric).join(self.filing.select("accession", "filing_id"), "accession")
+        metric = F.when((F.col("filing_id") % 11 == 0) & (F.col("metric") == "revenue"), "deferred_revenue").otherwise(F.col("metric"))
+        conflict = F.col("filing_id") % 7 == 0
+        return grid.select("accession", metric.alias("metric"), F.when(conflict, "conflict").otherwise("value").alias("status"), F.when(~conflict, F.lit("20000").cast("decimal(28,10)")).alias("numeric"))
 
 
 def _scalars(m: Model) -> DataFrame:
@@ -88,14 +116,14 @@ Q = {
     "scalar_functions": _scalars,
     "path_functions": _paths,
     "text_functions": _text_rules,
-    "fact_scan": lambda m: m.scan().select("fact_id", "accession", "source_qname", "family", "origin", "has_dimensions", "period_kind", "entity_scheme", fx.is_pure_usd(F.col("measures")).alias("pure_usd")),
-    "undimensioned": lambda m: fx.undimensioned(m.fact, m.dimension).select("fact_id", "context_id"),
-    "reporting_periods": lambda m: m.periods(),
-    "resolve_supports": lambda m: fx.resolve_supports(m.scan(), m.decision),
+    "fact_scan": lambda m: m.scan(False).select("fact_id", "accession", "source_qname", "family", "origin", "has_dimensions", "period_kind", "entity_scheme", fx.is_pure_usd(F.col("measures")).alias("pure_usd")),
+    "undimensioned": lambda m: fx.undimensioned(m.shared().fact, m.dimension).select("fact_id", "context_id"),
+    "reporting_periods": lambda m: m.periods(False),
+    "resolve_supports": lambda m: fx.resolve_supports(m.scan(False), m.decision),
     "qualify_slot": lambda m: m.slots().select("fact_id", "accession", "local_name"),
-    "oim_reduce": lambda m: fx.oim_reduce(m.fact, "accession", "namespace_uri", "local_name").select("accession", "namespace_uri", "local_name", "conflict", F.when(~F.col("conflict"), F.col("value")).alias("value"), F.col("rank")["f"].alias("survivor"), "n"),
+    "oim_reduce": lambda m: fx.oim_reduce(m.fact, "accession", "namespace_uri", "local_name", with_ids=False).select("accession", "namespace_uri", "local_name", "conflict", F.when(~F.col("conflict"), F.col("value")).alias("value"), F.col("rank")["f"].alias("survivor"), "n"),
     "select_observations": lambda m: m.observations(),
-    "operand_intervals": lambda m: fx.operand_intervals(m.slots()).select("accession", "local_name", F.col("lo").cast("decimal(28,10)").alias("lo"), F.col("hi").cast("decimal(28,10)").alias("hi"), "bad"),
+    "operand_intervals": lambda m: m.operands().select("accession", "local_name", F.col("lo").cast("decimal(28,10)").alias("lo"), F.col("hi").cast("decimal(28,10)").alias("hi"), "bad"),
     "identity_checks": lambda m: m.identities(),
     "filing_frame": lambda m: m.frame(),
     "quality_cells": lambda m: m.cells(),
@@ -109,20 +137,21 @@ Q = {
     "mapping_conflicts": lambda m: lx.mapping_conflicts(m.mapping),
     "affected_facts": lambda m: lx.affected_facts(m.mapping, m.dated_facts()),
     "affected_summary": lambda m: lx.affected_summary(lx.affected_facts(m.mapping, m.dated_facts())),
-    "sync_counts": lambda m: lx.sync_counts(ix.ordered_digest(m.fact.where("fact_id % 5 <> 0"), "accession", "fact_id", "resolved_numeric"), ix.ordered_digest(m.fact.where("fact_id % 10 <> 0"), "accession", "fact_id", "resolved_numeric"), "accession", "digest"),
-    "orphan_checks": lambda m: ix.orphan_checks(m.fact, m.concept, m.context, m.unit_measure),
+    "sync_counts": lambda m: lx.sync_counts(ix.ordered_digest(m.mirror(), "accession", "fact_id", "resolved_numeric"), ix.ordered_digest(m.fact, "accession", "fact_id", "resolved_numeric"), "accession", "digest"),
+    "orphan_checks": lambda m: ix.orphan_checks(m.shared().fact, m.concept, m.context, m.unit_measure),
     "duplicate_keys": lambda m: ix.duplicate_keys(m.line, "l_orderkey", "l_linenumber"),
     "source_order": lambda m: ix.source_order(m.fact),
     "ordered_digest": lambda m: ix.ordered_digest(m.fact, "accession", "fact_id", "local_name", "decimals"),
-    "snapshot_counts": lambda m: ix.snapshot_counts(m.filing, {"fact": m.fact, "context": m.context, "dei": m.dei}),
-    "fact_completeness": lambda m: ix.fact_completeness(m.filing, m.fact_wide, m.fact),
-    "union_concept_uses": lambda m: ix.union_concept_uses(m.fact, m.concept, m.dimension),
-    "dimension_members": lambda m: ix.dimension_members(m.context, m.dimension),
+    "snapshot_counts": lambda m: ix.snapshot_counts(m.filing, {"fact": m.shared().fact, "context": m.context, "dei": m.dei}),
+    "fact_completeness": lambda m: ix.fact_completeness(m.filing, m.shared().fact_wide, m.fact),
+    "union_concept_uses": lambda m: ix.union_concept_uses(m.shared().fact, m.concept, m.dimension),
+    "dimension_members": lambda m: ix.dimension_members(m.shared().context, m.dimension),
 }
 QUERIES = {k: (lambda f: lambda spark, sf_dir: f(Model(spark, sf_dir)))(f) for k, f in Q.items()}
 
 # --- the same in SQL, written from the rules and not from the code above ---
-_FAMILY = "case when regexp_matches({0}, '^http://(fasb.org|xbrl.us)/us-gaap/') then 'us-gaap' when regexp_matches({0}, '^http://xbrl.(sec.gov|us)/dei/') then 'dei' when regexp_matches({0}, '^http://(fasb.org|xbrl.us)/srt/') then 'srt' else 'other' end"
+_FAMILY = "case when regexp_matches({0}, '^https?://(fasb[.]org|xbrl[.]us)/us-gaap/') then 'us-gaap' when regexp_matches({0}, '^https?://xbrl[.](sec[.]gov|us)/dei/') then 'dei' when regexp_matches({0}, '^https?://fasb[.]org/srt/') then 'srt' else 'other' end"
+_ORIGIN = "case when regexp_matches({0}, '^https?://(fasb[.]org|xbrl[.]us|xbrl[.]sec[.]gov)(:|/|$)') then 'standard' else 'issuer' end"
 _HALF = "case when try_cast({0} as int) is null then 0 else 0.5 * power(10::double, -try_cast({0} as int)) end::decimal(28,10)"
 _SCAN = f"""
 s as (
@@ -144,7 +173,7 @@ period as (
 _GOOD = "not has_dimensions and value_status = 'valid' and not is_nil and resolved_numeric is not null and usd and entity_scheme = 'http://www.sec.gov/CIK' and lpad(entity_identifier, 10, '0') = s.cik"
 _SUPPORT = f"""
 sup as (
-  select s.fact_id, s.accession, d.metric, d.decision_id, d.relation, case d.relation when 'exact' then 1 else 2 end tier, s.qname source_qname
+  select s.fact_id, s.accession, d.metric, d.decision_id, d.relation, 1 tier, s.qname source_qname
   from s join b_decision d on d.local_name = s.local_name and d.status = 'accepted' and not d.stale and d.family = case when s.family = 'other' then 'issuer' else s.family end
   where not list_contains(string_split(d.exclude_qnames, ','), s.qname) and not list_contains(string_split(d.exclude_ciks, ','), s.cik) and (d.family <> 'issuer' or d.issuer_cik = s.cik))"""
 _SLOT = f"""
@@ -161,8 +190,9 @@ def _oim(source: str, keys: str) -> str:
       arg_min(resolved_numeric, (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) val, min((rk, -coalesce(try_cast(decimals as int), 0), fact_id)) rnk,
       arg_min(fact_id, (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) survivor, arg_min(coalesce(decimals, '~'), (rk, -coalesce(try_cast(decimals as int), 0), fact_id)) dec, count(*) n, list_sort(list(fact_id)) ids
     from (
-      select *, case when decimals = 'INF' then 0 when try_cast(decimals as int) is not null then 1 else 2 end rk,
-        min(resolved_numeric) over (partition by {keys}, decimals) <> max(resolved_numeric) over (partition by {keys}, decimals) places_differ from {source}) x
+      select *, min(resolved_numeric) over same <> max(resolved_numeric) over same places_differ
+      from (select *, case when upper(decimals) = 'INF' then 0 when try_cast(decimals as int) is not null then 1 else 2 end rk from {source}) y
+      window same as (partition by {keys}, rk, try_cast(decimals as int))) x
     group by {keys}"""
 
 
@@ -189,17 +219,21 @@ obs as (
     case when period_type = 'duration' then ps end period_start, pe period_end, case when status in ('value', 'conflict') then array_to_string(fids, ',') end fact_ids, case when status in ('value', 'conflict') then dids end decision_ids,
     case when status = 'value' then 'exact' end relation, case when status = 'value' then 1 end tier from obs1)"""
 _OPERAND = f"""
-on1 as ({_oim('slot', 'accession, local_name, qname')}),
+ops as (select * from slot where family = 'us-gaap' and (period_kind, local_name) in (('instant', 'Assets'), ('instant', 'Liabilities'), ('instant', 'StockholdersEquity'), ('instant', 'MinorityInterest'),
+  ('instant', 'StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest'), ('duration', 'ProfitLoss'), ('duration', 'NetIncomeLoss'), ('duration', 'NetIncomeLossAttributableToNoncontrollingInterest'))),
+on1 as ({_oim('ops', 'accession, local_name, qname')}),
 opi as (select accession, local_name, max(lo)::decimal(28,10) lo, min(hi)::decimal(28,10) hi, bool_or(conflict) or min(val) <> max(val) or max(lo) > min(hi) bad from on1 group by all)"""
 _IDENT = """
+op(k, n) as (values ('pl', 'ProfitLoss'), ('ni', 'NetIncomeLoss'), ('nci', 'NetIncomeLossAttributableToNoncontrollingInterest'), ('a', 'Assets'), ('l', 'Liabilities'), ('e', 'StockholdersEquity'),
+  ('t', 'StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest'), ('m', 'MinorityInterest')),
+om as (select accession, map_from_entries(list((op.k, {'lo': lo, 'hi': hi, 'bad': bad}))) x from opi join op on op.n = local_name group by accession),
+oe as (select accession, x, case when x['t'] is not null then x['t'] when x['m'] is null and x['nci'] is null then x['e'] end eq from om),
 idn as (
-  select f.accession, n.name, case
-    when n.name = 'balance_sheet' then case when a.bad is null or l.bad is null or e.bad is null then 'not_applicable' when a.bad or l.bad or e.bad or a.lo > l.hi + e.hi or l.lo + e.lo > a.hi then 'fail' else 'pass' end
-    else case when p.bad is null or i.bad is null then 'not_applicable' when p.bad or i.bad or p.lo > i.hi or i.lo > p.hi then 'fail' else 'pass' end end status
-  from b_filing f cross join (values ('balance_sheet'), ('nci_split')) n(name)
-  left join opi a on a.accession = f.accession and a.local_name = 'Assets' left join opi l on l.accession = f.accession and l.local_name = 'Liabilities'
-  left join opi e on e.accession = f.accession and e.local_name = 'StockholdersEquity' left join opi p on p.accession = f.accession and p.local_name = 'ProfitLoss'
-  left join opi i on i.accession = f.accession and i.local_name = 'NetIncomeLoss')"""
+  select f.accession, 'nci_split' "name", case when x['pl'] is null or x['ni'] is null or x['nci'] is null then 'not_applicable' when x['pl'].bad or x['ni'].bad or x['nci'].bad then 'fail'
+    when x['pl'].lo > x['ni'].hi + x['nci'].hi or x['ni'].lo + x['nci'].lo > x['pl'].hi then 'fail' else 'pass' end status from b_filing f left join oe using (accession)
+  union all
+  select f.accession, 'balance_sheet', case when x['a'] is null or x['l'] is null or eq is null then 'not_applicable' when x['a'].bad or x['l'].bad or eq.bad then 'fail'
+    when x['a'].lo > x['l'].hi + eq.hi or x['l'].lo + eq.lo > x['a'].hi then 'fail' else 'pass' end from b_filing f left join oe using (accession))"""
 _FRAME = """
 ff as (
   select f.accession, f.cik, f.form,
@@ -229,8 +263,8 @@ def _sql(views: tuple[str, ...], select: str, *ctes: str, recursive: bool = Fals
     return head + "".join(f",\n{c.strip()}" for c in ctes) + "\n" + select
 
 
-def _digest(cols: str, where: str = "true") -> str:
-    return f"select accession, sha256(string_agg(line, chr(10) order by line)) digest, count(*) n from (select accession, {cols} line from b_fact where {where}) group by accession"
+def _digest(cols: str, where: str = "true", of: str = "b_fact") -> str:
+    return f"select accession, sha256(string_agg(line, chr(10) order by line)) digest, count(*) n from (select accession, {cols} line from {of} where {where}) group by accession"
 
 
 ORACLES = {
@@ -239,8 +273,8 @@ ORACLES = {
         ("b_fact_wide",),
         f"""select fact_id, lpad((cik::bigint)::varchar, 10, '0') cik10, regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') valid_accession, case when regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') then left(accession, 10) end submitter,
           case when regexp_full_match(accession, '\\d{{10}}-\\d{{2}}-\\d{{6}}') then replace(accession, '-', '') end dashless, '{{' || namespace_uri || '}}' || local_name clark, sha256('{{' || namespace_uri || '}}' || local_name) concept_key,
-          {_FAMILY.format('namespace_uri')} family, case when namespace_uri like 'http://fasb.org/%' then 'standard' else 'issuer' end origin, string_split(namespace_uri, '/')[-1] release, string_split(namespace_uri, '/')[-1]::int taxonomy_year,
-          case when decimals = 'INF' then 0 when decimals is null then 2 else 1 end decimals_rank, ({_HALF.format('decimals')})::varchar half_width,
+          {_FAMILY.format('namespace_uri')} family, {_ORIGIN.format('namespace_uri')} origin, string_split(namespace_uri, '/')[-1] release, string_split(namespace_uri, '/')[-1]::int taxonomy_year,
+          case when upper(decimals) = 'INF' then 0 when decimals is null then 2 else 1 end decimals_rank, ({_HALF.format('decimals')})::varchar half_width,
           (resolved_numeric - {_HALF.format('decimals')})::decimal(28,10) lo, (resolved_numeric + {_HALF.format('decimals')})::decimal(28,10) hi from b_fact_wide""",
     ),
     "path_functions": """select page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)', 1) host, regexp_replace(string_split(url, '/')[-1], '[^A-Za-z0-9._-]', '_', 'g') basename,
@@ -248,7 +282,7 @@ ORACLES = {
         from (select *, regexp_replace(url, '^[a-z]+://', '') p from pages)""",
     "text_functions": r"""select doc_id, (doc_id % 18)::varchar item, case when doc_id % 18 between 1 and 4 then 1 when doc_id % 18 between 5 and 9 then 2 when doc_id % 18 between 10 and 14 then 3 when doc_id % 18 between 15 and 16 then 4 end part,
           length(trim(regexp_replace(text, '[\s\x{00A0}\x{2007}\x{202F}\x0B]+', ' ', 'g'))) clean_chars from documents""",
-    "fact_scan": _sql(_ALL, "select fact_id, accession, qname source_qname, family, case when namespace_uri like 'http://fasb.org/%' then 'standard' else 'issuer' end origin, has_dimensions, period_kind, entity_scheme, usd pure_usd from s", _SCAN),
+    "fact_scan": _sql(_ALL, "select fact_id, accession, qname source_qname, family, " + _ORIGIN.format("namespace_uri") + " origin, has_dimensions, period_kind, entity_scheme, usd pure_usd from s", _SCAN),
     "undimensioned": _sql(("b_fact", "b_dimension"), "select fact_id, context_id from b_fact where context_id not in (select context_id from b_dimension)"),
     "reporting_periods": _sql(("b_filing", "b_dei"), "select * from period", _PERIOD),
     "resolve_supports": _sql((*_ALL, "b_decision"), "select * from sup", _SCAN, _SUPPORT),
@@ -264,7 +298,10 @@ ORACLES = {
     "name_reuse_aggregate": _sql(("b_fact",), f"select {_FAMILY.format('namespace_uri')} family, string_split(namespace_uri, '/')[-1] release, local_name, count(distinct accession) accessions from b_fact group by all"),
     "gold_join": _sql(
         (*_ALL, "b_dei", "b_decision", "b_metric"),
-        "select f.accession, m.metric, case when o.status <> 'value' then 'status' when o.\"numeric\" <> 20000 then 'numeric' else 'ok' end outcome from b_filing f cross join b_metric m join obs o on o.accession = f.accession and o.metric = m.metric where f.filing_id % 50 = 0",
+        """select g.accession, g.metric, case when o.status is null then 'absent' when o.status <> g.status then 'status' when o."numeric" is distinct from g."numeric" then 'numeric' else 'ok' end outcome
+          from (select accession, case when filing_id % 11 = 0 and metric = 'revenue' then 'deferred_revenue' else metric end metric, case when filing_id % 7 = 0 then 'conflict' else 'value' end status,
+              case when filing_id % 7 <> 0 then 20000 end "numeric" from b_filing cross join b_metric) g
+          left join obs o on o.accession = g.accession and o.metric = g.metric""",
         _SCAN, _PERIOD, _SUPPORT, _OBS,
     ),
     "current_heads": _sql(("b_mapping",), "select id, concept, metric, status from heads", _HEADS),
@@ -286,8 +323,8 @@ ORACLES = {
     "affected_facts": _sql(("b_mapping", "b_fact_wide"), "select * from af", _AFFECTED),
     "affected_summary": _sql(("b_mapping", "b_fact_wide"), "select mapping_id, count(*) facts, least(count(*), 25) shown, count(*) > 25 truncated, count(distinct accession) accessions, count(distinct cik) issuers from af group by 1", _AFFECTED),
     "sync_counts": _sql(
-        ("b_fact",), f"""select case when m.accession is null then 'added' when s.accession is null then 'removed' when m.digest = s.digest then 'unchanged' else 'changed' end kind, count(*) n
-          from ({_digest("fact_id || '|' || resolved_numeric", 'fact_id % 5 <> 0')}) m full join ({_digest("fact_id || '|' || resolved_numeric", 'fact_id % 10 <> 0')}) s on m.accession = s.accession group by 1""",
+        ("b_fact", "b_fact_wide", "b_filing"), f"""select case when m.accession is null then 'added' when s.accession is null then 'removed' when m.digest = s.digest then 'unchanged' else 'changed' end kind, count(*) n
+          from ({_digest("fact_id || '|' || resolved_numeric", "accession in (select accession from b_filing where accepted_at is not null)", 'b_fact_wide')}) m full join ({_digest("fact_id || '|' || resolved_numeric")}) s on m.accession = s.accession group by 1""",
     ),
     "orphan_checks": _sql(
         _ALL, """select 'fact_concept' rule, fact_id::varchar id from b_fact f where not exists (select 1 from b_concept c where c.namespace_uri = f.namespace_uri and c.local_name = f.local_name)

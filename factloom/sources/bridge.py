@@ -22,19 +22,20 @@ from orders""",
     "b_line": """
 select l.*, l_orderkey * 1000 + row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey,
     l_extendedprice, l_quantity, l_discount, l_tax, l_shipdate, l_returnflag, l_linestatus) as fact_id,
-  case l_partkey % 6 when 0 then 'Assets' when 1 then 'Liabilities' when 2 then 'StockholdersEquity' when 3 then 'NetIncomeLoss' when 4 then 'Revenues' else 'ProfitLoss' end as local_name,
+  case when l_partkey % 60 = 2 then 'StockholdersEquityIncludingPortionAttributableToNoncontrollingInterest' when l_partkey % 60 = 8 then 'MinorityInterest'
+    when l_partkey % 12 = 9 then 'NetIncomeLossAttributableToNoncontrollingInterest' else case l_partkey % 6 when 0 then 'Assets' when 1 then 'Liabilities' when 2 then 'StockholdersEquity' when 3 then 'NetIncomeLoss' when 4 then 'Revenues' else 'ProfitLoss' end end as local_name,
   case when l_partkey % 6 < 3 then 'instant' else 'duration' end as period_kind,
   case when l_linenumber = 7 then 1 else 0 end as years_back
 from lineitem l""",
     "b_fact_wide": """
 select l.fact_id, f.filing_id, f.accession, f.cik, f.form, f.fiscal_year,
   case when l_suppkey % 10 = 0 then concat('http://www.issuer', f.cik, '.com/', cast(f.fiscal_year as string))
-    else concat('http://fasb.org/us-gaap/', cast(f.fiscal_year - cast(l_suppkey % 2 as int) as string)) end as namespace_uri,
+    else concat(case when l_suppkey % 10 = 1 then 'https' else 'http' end, '://fasb.org/us-gaap/', cast(f.fiscal_year - cast(l_suppkey % 2 as int) as string)) end as namespace_uri,
   l.local_name, concat(f.accession, '|', l.period_kind, '|', cast(l.years_back as string), '|', case when l_returnflag = 'R' and l_linestatus = 'F' then 'd' else 'u' end) as context_id,
   l.period_kind, l.years_back, (l_returnflag = 'R' and l_linestatus = 'F') as has_dimensions, l_quantity = 1 as is_nil,
   case when l_quantity = 2 then 'invalid' else 'valid' end as value_status, cast(round(l_tax * 100) as int) as unit_id,
   cast(floor(l_extendedprice / 20000) * 20000 as decimal(28,10)) as resolved_numeric,
-  case l_linenumber when 1 then '-6' when 2 then '-3' when 3 then 'INF' when 4 then null when 5 then '0' when 6 then '-5' else '-4' end as decimals
+  case l_linenumber when 1 then case when l_partkey % 2 = 0 then '-6' else '-06' end when 2 then '-3' when 3 then case when l_suppkey % 2 = 0 then 'INF' else 'inf' end when 4 then null when 5 then '0' when 6 then '-5' else '-4' end as decimals
 from b_line l join b_filing f on f.filing_id = l.l_orderkey""",
     "b_fact": "select fact_id, accession, namespace_uri, local_name, context_id, unit_id, value_status, is_nil, resolved_numeric, decimals from b_fact_wide where fact_id % 97 <> 0",
     "b_concept": "select distinct namespace_uri, local_name from b_fact_wide where fact_id % 89 <> 0",
@@ -83,12 +84,12 @@ where k <= s_suppkey % 4""",
 }
 
 
-def text(*names: str) -> str:
-    """WITH clause of the named views and all that they need, in the order above."""
+def text(*names: str, given: tuple[str, ...] = ()) -> str:
+    """WITH clause of the named views and all that they need, in the order above, but for those given."""
     need: set[str] = set()
 
     def add(n: str) -> None:
-        if n not in need:
+        if n not in need and n not in given:
             need.add(n)
             for v in VIEWS:
                 if v != n and f"{v} " in f"{VIEWS[n]} ".replace("\n", " ").replace(")", " ").replace(",", " "):
@@ -99,8 +100,11 @@ def text(*names: str) -> str:
     return "with " + ",\n".join(f"{v} as ({VIEWS[v]})" for v in VIEWS if v in need)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sql = text(name)
+def view(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The named view; those given are taken as they are, in place of their own text."""
+    sql = text(name, given=tuple(given or ()))
+    for other, df in (given or {}).items():
+        df.createOrReplaceTempView(other)
     for t in TABLES:
         if f" {t}" in sql:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
