@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
+from factloom.sources.staging import written
 
 #: Values reach the operators as decimal(28,10), which sums and bounds keep exactly.
 
@@ -27,11 +28,15 @@ def is_pure_usd(measures: Column) -> Column:
 
 
 def fact_scan(fact: DataFrame, concept: DataFrame, context: DataFrame, unit_measure: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Facts with their concept, context, measures, names and whether their context has dimensions; one shuffle per large side."""
+    """Facts with their concept, context, measures, names and whether their context has dimensions; one shuffle per large side. Names are classified once a concept, not once a fact."""
+    concept = concept.withColumns(classified(F.col("namespace_uri"), F.col("local_name")))
     ctx = context.join(dimension.select("context_id", F.lit(True).alias("has_dimensions")).distinct(), "context_id", "left").withColumn("has_dimensions", F.coalesce("has_dimensions", F.lit(False)))
     out = fact.join(concept, ["namespace_uri", "local_name"]).join(ctx.drop("accession"), "context_id")
-    out = out.join(measures_by_unit(unit_measure), "unit_id", "left")
-    return out.withColumns({"source_qname": S.clark_name(F.col("namespace_uri"), F.col("local_name")), "family": S.namespace_family(F.col("namespace_uri")), "origin": S.namespace_origin(F.col("namespace_uri"))})
+    return out.join(measures_by_unit(unit_measure), "unit_id", "left")
+
+
+def classified(ns: Column, local: Column) -> dict[str, Column]:
+    return {"source_qname": S.clark_name(ns, local), "family": S.namespace_family(ns), "origin": S.namespace_origin(ns)}
 
 
 def undimensioned(fact: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -79,10 +84,9 @@ def active(decisions: DataFrame) -> DataFrame:
 def supported(facts: DataFrame, decisions: DataFrame) -> DataFrame:
     """facts with metric, decision_id and relation of each decision that they support: an equi-join on family and local name, then the names and issuers left out.
 
-    facts: with accession, cik, namespace_uri, local_name. Decisions are a rule table; Spark broadcasts it where its size allows.
+    facts: with accession, cik, local_name and the columns of classified(). Decisions are a rule table; Spark broadcasts it where its size allows.
     """
-    family = F.when(S.namespace_origin(F.col("namespace_uri")) == "issuer", "issuer").otherwise(S.namespace_family(F.col("namespace_uri")))
-    f = facts.withColumns({"rule_family": family, "source_qname": S.clark_name(F.col("namespace_uri"), F.col("local_name"))})
+    f = facts.withColumn("rule_family", F.when(F.col("origin") == "issuer", "issuer").otherwise(F.col("family")))
     rules = active(decisions).select("metric", "decision_id", "relation", "issuer_cik", "exclude_ciks", "exclude_qnames", F.col("family").alias("rule_family"), F.col("local_name").alias("rule_name"))
     both = f.join(rules, (f["rule_family"] == rules["rule_family"]) & (F.col("local_name") == F.col("rule_name"))).drop(rules["rule_family"])
     both = both.where(~F.array_contains(F.split("exclude_qnames", ","), F.col("source_qname")) & decision_applies(F.col("cik"), F.col("rule_family")))
@@ -148,18 +152,18 @@ def scope_by_metric(decisions: DataFrame, filing: DataFrame) -> DataFrame:
 
 
 def select_observations(filing: DataFrame, metrics: DataFrame, decisions: DataFrame, periods: DataFrame, facts: DataFrame) -> DataFrame:
-    """One row per filing and metric: status, reason, value, places, unit, ids. facts: fact_scan with cik."""
-    slots = qualify_slot(supported(facts, decisions), periods, metrics)
-    broader = slots.where("relation <> 'exact'").select("accession", "metric", F.lit(True).alias("broader")).distinct()
+    """One row per filing and metric: status, reason, value, places, unit, ids. facts: fact_scan with cik. The facts that fill a slot are written once, as they are few against the facts, and read by names and by slot."""
+    columns = ["accession", "metric", "fact_id", "source_qname", "resolved_numeric", "decimals", "relation", "decision_id"]
+    slots = written(qualify_slot(supported(facts, decisions), periods, metrics).select(*columns), "filled-slots")
     exact = slots.where("relation = 'exact'")
     names = oim_reduce(exact.dropDuplicates(["fact_id", "metric"]), "accession", "metric", "source_qname")
     best = F.min(F.struct("rank", "value", "decimals"))
     over = names.groupBy("accession", "metric").agg(
         F.max("conflict").alias("conflict"), (F.min("value") != F.max("value")).alias("unlike"), best.alias("best"), F.sort_array(F.flatten(F.collect_list("fact_ids"))).alias("fact_ids")
     )
-    ids = exact.groupBy("accession", "metric").agg(F.sort_array(F.collect_set("decision_id")).alias("decision_ids"))
+    by_slot = slots.groupBy("accession", "metric").agg(F.max(F.col("relation") != "exact").alias("broader"), F.sort_array(F.collect_set(F.when(F.col("relation") == "exact", F.col("decision_id")))).alias("decision_ids"))
     out = out_of_scope(slot_grid(filing, metrics), decisions)
-    out = out.join(over, ["accession", "metric"], "left").join(broader, ["accession", "metric"], "left").join(ids, ["accession", "metric"], "left")
+    out = out.join(by_slot.join(over, ["accession", "metric"], "left"), ["accession", "metric"], "left")
     out = out.join(periods.select("accession", "period_start", "period_end"), "accession", "left")
     wrong, scope, none = ~F.col("form").isin(*S.ANNUAL_FORMS), F.col("out_of_scope"), F.col("best").isNull()
     status = F.when(wrong | scope, "unsupported").when(none, "missing").when(F.col("conflict") | F.col("unlike"), "conflict").otherwise("value")
@@ -189,7 +193,7 @@ DURATION_OPERANDS = {"p": "ProfitLoss", "n": "NetIncomeLoss", "c": "NetIncomeLos
 def operand_slots(slots: DataFrame) -> DataFrame:
     """Of the facts that fill a slot, those of the us-gaap family that an identity takes, each in its kind of period."""
     fits = ((F.col("period_kind") == "instant") & F.col("local_name").isin(*INSTANT_OPERANDS.values())) | ((F.col("period_kind") == "duration") & F.col("local_name").isin(*DURATION_OPERANDS.values()))
-    return slots.where((S.namespace_family(F.col("namespace_uri")) == "us-gaap") & fits)
+    return slots.where((F.col("family") == "us-gaap") & fits)
 
 
 def identity_checks(filing: DataFrame, operands: DataFrame) -> DataFrame:

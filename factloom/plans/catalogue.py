@@ -50,26 +50,27 @@ class Model:
         make = lambda: fx.reporting_periods(self.filing, self.dei)
         return self._once("periods", make) if again else make()
 
-    def observations(self) -> DataFrame:
-        return fx.select_observations(self.filing, self.metric, self.decision, self.periods(), self.scan())
+    def observations(self, again: bool = False) -> DataFrame:
+        """again: whether the query reads the scan for more than the observations."""
+        return fx.select_observations(self.filing, self.metric, self.decision, self.periods(), self.scan(again))
 
-    def operands(self) -> DataFrame:
-        return fx.operand_intervals(fx.operand_slots(self.slots()))
+    def operands(self, again: bool = False) -> DataFrame:
+        return fx.operand_intervals(fx.operand_slots(self.slots(again)))
 
-    def slots(self) -> DataFrame:
+    def slots(self, again: bool = False) -> DataFrame:
         """Undimensioned, valid, pure-USD facts of the reporting period, whatever their metric."""
-        kinds = self.scan().withColumn("metric", F.when(F.col("period_kind") == "instant", "i").otherwise("d"))
+        kinds = self.scan(again).withColumn("metric", F.when(F.col("period_kind") == "instant", "i").otherwise("d"))
         types = self._at[0].createDataFrame([("i", "instant"), ("d", "duration")], "metric string, period_type string")
-        return fx.qualify_slot(kinds, self.periods(), types)
+        return fx.qualify_slot(kinds, self.periods(again), types)
 
-    def identities(self) -> DataFrame:
-        return fx.identity_checks(self.filing, self.operands())
+    def identities(self, again: bool = False) -> DataFrame:
+        return fx.identity_checks(self.filing, self.operands(again))
 
-    def frame(self) -> DataFrame:
-        return qx.filing_frame(self.filing.select("accession", "cik", "form"), self.scan().select("accession", "namespace_uri", "end_lexical"), self.issuer)
+    def frame(self, again: bool = False) -> DataFrame:
+        return qx.filing_frame(self.filing.select("accession", "cik", "form"), self.scan(again).select("accession", "namespace_uri", "end_lexical"), self.issuer)
 
     def cells(self) -> DataFrame:
-        return qx.quality_cells(self.observations(), self.frame(), self.identities())
+        return qx.quality_cells(self.observations(True), self.frame(True), self.identities(True))
 
     def dated_facts(self) -> DataFrame:
         f = self.fact_wide
