@@ -138,3 +138,80 @@ def default_part_for_item(item: Column) -> Column:
     """Annual form: items 1 to 4, 5 to 9, 10 to 14 and 15 to 16."""
     n = F.regexp_extract(item, r"^\d+", 0).try_cast("int")
     return F.when(n.between(1, 4), 1).when(n.between(5, 9), 2).when(n.between(10, 14), 3).when(n.between(15, 16), 4)
+
+
+#: The fields of a metric's definition in the order of their canonical JSON, and those that are lists.
+DEFINITION_FIELDS = ("definition", "excludes", "includes", "key", "kind", "period_type", "statement", "unit_dimension", "value_kind")
+LIST_FIELDS = ("excludes", "includes")
+
+
+def _canonical(fields: tuple[str, ...]) -> Column:
+    return F.to_json(F.struct(*[(F.sort_array(f) if f in LIST_FIELDS else F.col(f)).alias(f) for f in fields]), {"ignoreNullFields": "false"})
+
+
+def definition_hash() -> Column:
+    """SHA-256 of a metric's canonical JSON: sorted keys and lists, without its name."""
+    return F.sha2(_canonical(DEFINITION_FIELDS), 256)
+
+
+def duplicate_signature() -> Column:
+    """As definition_hash, without the key: equal for two metrics of one meaning."""
+    return F.sha2(_canonical(tuple(f for f in DEFINITION_FIELDS if f != "key")), 256)
+
+
+def report_key(accession: Column, kind: Column, paths: Column) -> Column:
+    """SHA-256 of the canonical JSON of a report's inputs; paths is an array, in any order."""
+    return F.sha2(F.to_json(F.struct(accession.alias("accession"), F.sort_array(paths).alias("inputs"), kind.alias("kind"))), 256)
+
+
+def parse_acceptance(t: Column) -> Column:
+    """Fourteen digits, in UTC, or an ISO time, in UTC unless it names an offset; null for anything else."""
+    digits = F.when(t.rlike(r"^[0-9]{14}$"), F.try_to_timestamp(F.concat(t, F.lit(" +0000")), F.lit("yyyyMMddHHmmss Z")))
+    iso = F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"), t)
+    zoned = F.when(iso.rlike(r"(Z|[+-][0-9]{2}:[0-9]{2})$"), iso).otherwise(F.concat(F.when(iso.rlike("[T ]"), iso).otherwise(F.concat(iso, F.lit("T00:00:00"))), F.lit("Z")))
+    return F.coalesce(digits, zoned.try_cast("timestamp"))
+
+
+def part_number(t: Column) -> Column:
+    """1 to 4 of a roman numeral, in either case; else null."""
+    return F.create_map(*[F.lit(x) for kv in {"I": 1, "II": 2, "III": 3, "IV": 4}.items() for x in kv])[F.upper(F.trim(t))]
+
+
+def resolved_kind_ok(kind: Column, numeric: Column, text: Column) -> Column:
+    """Whether the columns that hold a value are those of its kind."""
+    want = F.when(kind == "numeric", numeric.isNotNull() & text.isNull()).when(kind == "text", numeric.isNull() & text.isNotNull()).when(kind == "none", numeric.isNull() & text.isNull())
+    return F.coalesce(want, F.lit(False))
+
+
+#: What a URI may hold unescaped, and ports that a scheme implies.
+UNRESERVED = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~"
+DEFAULT_PORTS = {"http": "80", "https": "443", "ftp": "21"}
+
+
+def normalize_uri(u: Column) -> Column:
+    """Scheme and host in lower case, no default port and no fragment, escapes in upper case and only where needed, no dot segments; an empty query stays. Null for what is no absolute
+    hierarchical URI or holds a broken escape."""
+    u = F.regexp_replace(u, "#.*$", "")
+    part = lambda n: F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?]*)([^?]*)(\?.*)?$", n)
+    scheme, authority = F.lower(part(1)), part(2)
+    user, host, port = (F.regexp_extract(authority, r"^([^@]*@)?(.*?)(?::([0-9]*))?$", n) for n in (1, 2, 3))
+    plain_port = (port == "") | F.coalesce(F.create_map(*[F.lit(x) for kv in DEFAULT_PORTS.items() for x in kv])[scheme] == port, F.lit(False))
+    netloc = F.concat(user, F.lower(host), F.when(plain_port, "").otherwise(F.concat(F.lit(":"), port)))
+    broken = u.rlike(r"%(?![0-9A-Fa-f]{2})") | u.rlike(r"[\x00-\x20\x7F]") | (scheme == "") | (host == "")
+    return F.when(~broken, F.concat(scheme, F.lit("://"), netloc, _without_dots(_escapes(part(3))), _escapes(part(4))))
+
+
+def _escapes(t: Column) -> Column:
+    """Each %XX in upper case, or its character where that needs no escape."""
+    bits = F.regexp_extract_all(t, F.lit(r"(%[0-9A-Fa-f]{2}|[^%]+)"), 1)
+    char = lambda b: F.char(F.conv(F.substring(b, 2, 2), 16, 10).cast("int"))
+    free = lambda b: F.conv(F.substring(b, 2, 2), 16, 10).cast("int").isin(*[ord(c) for c in UNRESERVED])
+    return F.array_join(F.transform(bits, lambda b: F.when(~b.startswith("%"), b).when(free(b), char(b)).otherwise(F.upper(b))), "")
+
+
+def _without_dots(path: Column) -> Column:
+    """Segments in order; '.' goes and '..' takes the one before it along. An empty path is '/'."""
+    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+    keep = F.aggregate(parts, F.array().cast("array<string>"), lambda s, x: F.when(x == ".", s).when(x == "..", F.slice(s, 1, F.greatest(F.size(s) - 1, F.lit(0)))).otherwise(F.concat(s, F.array(x))))
+    last = F.element_at(parts, -1)
+    return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(keep, F.array(F.lit("")))).otherwise(keep), "/"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
@@ -215,3 +215,26 @@ def identity_checks(filing: DataFrame, operands: DataFrame) -> DataFrame:
         return F.struct(F.lit(name).alias("name"), status.alias("status"))
 
     return out.select("accession", F.inline(F.array(finding("nci_split", "p", "n", "c"), finding("balance_sheet", "a", "l", "q"))))
+
+
+def first_reported(values: DataFrame) -> DataFrame:
+    """The earliest accepted value of each slot; one without an acceptance time cannot be it. values: cik, accession, accepted_at, metric, period_end, numeric."""
+    first = F.min(F.struct("accepted_at", "accession", "numeric")).alias("f")
+    return values.where("accepted_at is not null").groupBy("cik", "metric", "period_end").agg(first).select("cik", "metric", "period_end", "f.accession", "f.numeric")
+
+
+def latest_as_of(values: DataFrame, time: str) -> DataFrame:
+    """The last value of each slot that was accepted by a time, whether it had been reported before and whether it then had another value."""
+    slot = ["cik", "metric", "period_end"]
+    w = Window.partitionBy(*slot).orderBy("accepted_at", "accession")
+    known = values.where(F.col("accepted_at") <= F.lit(time).cast("timestamp"))
+    seen = known.withColumns({"before": F.lag("numeric").over(w), "place": F.row_number().over(w)})
+    last = seen.groupBy(*slot).agg(F.max_by(F.struct("accession", "numeric", "before"), "place").alias("l"), F.count("*").alias("n"))
+    return last.select(*slot, "l.accession", "l.numeric", (F.col("n") > 1).alias("reported_again"), F.coalesce(F.col("l.numeric") != F.col("l.before"), F.lit(False)).alias("value_changed"))
+
+
+def period_anchors(filing: DataFrame, periods: DataFrame) -> DataFrame:
+    """cik, period_end with the year and period focus that all filings of that end agree on, else unknown."""
+    ok = periods.where("period_status = 'ok'").join(filing.select("accession", "cik"), "accession")
+    one = F.count_distinct(F.struct("year_focus", "period_focus")) == 1
+    return ok.groupBy("cik", "period_end").agg(*[F.when(one, F.min(c)).otherwise("unknown").alias(c) for c in ("year_focus", "period_focus")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.functions import scalars as S
@@ -67,3 +67,84 @@ def sync_counts(mirror: DataFrame, source: DataFrame, key: str, digest: str) ->
     both = mirror.select(key, F.col(digest).alias("m")).join(source.select(key, F.col(digest).alias("s")), key, "full")
     kind = F.when(F.col("m").isNull(), "added").when(F.col("s").isNull(), "removed").when(F.col("m") == F.col("s"), "unchanged").otherwise("changed")
     return both.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def list_mappings(revisions: DataFrame, status: str | None = None, relation: str | None = None, metric: str | None = None, issuer: str | None = None, concept: str | None = None) -> DataFrame:
+    """Current heads that meet all filters given."""
+    out = current_heads(revisions)
+    for column, value in (("status", status), ("relation", relation), ("metric", metric), ("issuer_cik", issuer), ("concept", concept)):
+        out = out if value is None else out.where(F.col(column) == value)
+    return out
+
+
+def mapping_sort(mappings: DataFrame) -> DataFrame:
+    """By namespace, local name, scope, issuer, metric, relation and id; a global issuer scope comes first."""
+    ns, local = F.regexp_extract("concept", r"^\{(.*)\}", 1), F.regexp_extract("concept", r"\}(.*)$", 1)
+    return mappings.orderBy(ns, local, "scope_kind", F.asc_nulls_first("issuer_cik"), "metric", "relation", "id")
+
+
+def top_facts(affected: DataFrame, n: int = 25) -> DataFrame:
+    """affected_facts with rank: the first n facts of each mapping, by accession and fact. A window limit keeps a mapping's best n of each partition before the shuffle."""
+    w = Window.partitionBy("mapping_id").orderBy("accession", "fact_id")
+    return affected.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def apply_proposals(proposals: DataFrame, concepts: DataFrame, metrics: DataFrame, issuers: DataFrame) -> DataFrame:
+    """proposals with error: the first of unknown_concept, unknown_issuer, unknown_metric and metric_out_of_sync, or null for those that become candidates.
+
+    concepts(concept), metrics(metric, hash), issuers(cik)."""
+    known = lambda df, c, k: df.select(F.col(c).alias(k), F.lit(True).alias(f"has_{k}")).distinct()
+    out = proposals.join(known(concepts, "concept", "concept"), "concept", "left").join(known(issuers, "cik", "issuer_cik"), "issuer_cik", "left").join(metrics.select("metric", F.col("hash").alias("now")), "metric", "left")
+    error = (
+        F.when(F.col("has_concept").isNull(), "unknown_concept").when(F.col("issuer_cik").isNotNull() & F.col("has_issuer_cik").isNull(), "unknown_issuer")
+        .when(F.col("now").isNull(), "unknown_metric").when(F.col("now") != F.col("metric_hash"), "metric_out_of_sync")
+    )
+    return out.select(*proposals.columns, error.alias("error"))
+
+
+def apply_acceptances(revisions: DataFrame, reviews: DataFrame, metrics: DataFrame) -> DataFrame:
+    """mapping_id, error, successor_id: a review accepts a current candidate of an unchanged metric with a rationale and evidence, if its exact mapping conflicts neither with an accepted head nor with a
+    candidate of a smaller id in the batch that could be accepted. The successor's id is the mapping's and one more.
+
+    reviews(mapping_id, rationale, evidence, metric_hash), metrics(metric, hash)."""
+    heads = current_heads(revisions).select("id", F.lit(True).alias("current"))
+    rows = reviews.join(revisions.withColumnRenamed("id", "mapping_id"), "mapping_id", "left").join(heads.withColumnRenamed("id", "mapping_id"), "mapping_id", "left")
+    rows = rows.join(metrics.select("metric", F.col("hash").alias("now")), "metric", "left")
+    error = (
+        F.when(F.col("status").isNull(), "unknown_mapping").when(F.col("current").isNull(), "not_current").when(F.col("status") != "candidate", "not_a_candidate").when(~F.col("now").eqNullSafe(F.col("metric_hash")), "metric_changed")
+        .when(F.trim("rationale") == "", "no_rationale").when(F.col("evidence") < 1, "no_evidence")
+    )
+    rows = written(rows.withColumn("error", error), "ledger-reviews")
+    claim = ["concept", "scope_kind", "issuer_cik", "valid_from", "valid_to"]
+    fit = rows.where("error is null and relation = 'exact'").select("mapping_id", *claim)
+    other = current_heads(revisions).where("status = 'accepted' and relation = 'exact'").select(F.col("id").alias("other_id"), *claim, F.lit(False).alias("in_batch"))
+    other = other.unionByName(fit.select(F.col("mapping_id").alias("other_id"), *claim, F.lit(True).alias("in_batch")))
+    a, b = fit.alias("a"), other.alias("b")
+    meets = S.intervals_overlap(F.col("a.valid_from"), F.col("a.valid_to"), F.col("b.valid_from"), F.col("b.valid_to")) & F.coalesce(S.scopes_overlap(F.col("a.scope_kind"), F.col("a.issuer_cik"), F.col("b.scope_kind"), F.col("b.issuer_cik")), F.lit(True))
+    clash = a.join(b, (F.col("a.concept") == F.col("b.concept")) & meets & (~F.col("in_batch") | (F.col("b.other_id") < F.col("a.mapping_id"))), "left_semi").select("mapping_id", F.lit(True).alias("clash"))
+    out = rows.join(clash, "mapping_id", "left").withColumn("error", F.coalesce("error", F.when(F.col("clash"), "conflict")))
+    return out.select("mapping_id", "error", F.when(F.col("error").isNull(), F.col("mapping_id") + 1).alias("successor_id"))
+
+
+def apply_rejections(revisions: DataFrame, reviews: DataFrame) -> DataFrame:
+    """mapping_id, error: a current candidate or accepted mapping is rejected with a rationale; rejected ones stay so."""
+    heads = current_heads(revisions).select(F.col("id").alias("mapping_id"), F.lit(True).alias("current"))
+    rows = reviews.join(revisions.select(F.col("id").alias("mapping_id"), "status"), "mapping_id", "left").join(heads, "mapping_id", "left")
+    error = F.when(F.col("status").isNull(), "unknown_mapping").when(F.col("current").isNull(), "not_current").when(F.col("status") == "rejected", "is_rejected").when(F.trim("rationale") == "", "no_rationale")
+    return rows.select("mapping_id", error.alias("error"))
+
+
+def mapping_report(revisions: DataFrame, facts: DataFrame, metrics: DataFrame, mirror: DataFrame) -> DataFrame:
+    """A row per head: concept, metric, whether its metric changed since or is out of step with the mirror, its history and what it touches. metrics and mirror: (metric, hash)."""
+    heads = current_heads(revisions).select(F.col("id").alias("head"), "concept", "metric", "status")
+    touched = affected_summary(affected_facts(revisions, facts)).withColumnRenamed("mapping_id", "head")
+    out = heads.join(metrics.select("metric", F.col("hash").alias("now")), "metric", "left").join(mirror.select("metric", F.col("hash").alias("then")), "metric", "left")
+    out = out.join(mapping_history(revisions).drop("root"), "head", "left").join(touched, "head", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return out.select("head", "concept", "metric", "status", F.col("now").isNull().alias("metric_gone"), (~F.col("now").eqNullSafe(F.col("then"))).alias("out_of_sync"), "revisions", "history", zero("facts"), zero("accessions"), zero("issuers"))
+
+
+def removed_metrics(mirror: DataFrame, source: DataFrame, revisions: DataFrame) -> DataFrame:
+    """metric, blocked: metrics of the mirror that the source lacks; those that a head still names cannot go."""
+    used = current_heads(revisions).select("metric", F.lit(True).alias("used")).distinct()
+    return mirror.select("metric").subtract(source.select("metric")).join(used, "metric", "left").select("metric", F.coalesce("used", F.lit(False)).alias("blocked"))

@@ -14,7 +14,7 @@ from factloom.sources.bridge import text, view
 from factloom.sources.staging import written
 
 #: Views that are made of the wide facts; a query that reads more than one of them has those written once.
-OF_FACTS = ("fact", "concept", "context", "dimension", "unit_measure")
+OF_FACTS = ("fact", "concept", "context", "dimension", "unit_measure", "declared")
 
 
 class Model:
@@ -77,6 +77,13 @@ class Model:
         period = F.when(F.col("filing_id") % 6 != 0, F.make_date("fiscal_year", F.lit(12), F.lit(31)))
         return f.select("fact_id", "accession", "cik", S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("concept"), period.alias("period"))
 
+    def written_observations(self) -> DataFrame:
+        return self._once("observations", lambda: self.observations(True))
+
+    def dated_values(self) -> DataFrame:
+        values = self.observations().where("status = 'value'").select("accession", "metric", "period_end", "numeric")
+        return values.join(self.filing.select("accession", "cik", F.col("accepted_at").cast("timestamp").alias("accepted_at")), "accession")
+
     def mirror(self) -> DataFrame:
         """An older copy of the facts: before some were dropped, and without the filings that were not yet accepted."""
         return self.shared().fact_wide.join(self.filing.where("accepted_at is not null").select("accession"), "accession", "left_semi")

@@ -72,6 +72,41 @@ select 'd6', 'revenue', 'us-gaap', 'Revenues', '', 'exact', 'accepted', false, '
 select 'd7', 'revenue', 'issuer', 'Revenues', '0000000007', 'exact', 'accepted', false, '', '' union all
 select 'd8', 'assets', 'us-gaap', 'Liabilities', '', 'exact', 'accepted', true, '', '' union all
 select 'd9', 'equity', 'us-gaap', 'Assets', '', 'exact', 'candidate', false, '', ''""",
+    # the files of a filing, as its directory has them; and the same as a bundle recorded them: some lost, some of other bytes
+    "b_file": """
+select f.filing_id, f.accession, f.form, l.fact_id, case l_linenumber when 1 then concat(f.accession, case when l_suppkey % 2 = 0 then '.txt' else '-index.htm' end) when 2 then concat('R', cast(l_suppkey as string), '.htm')
+    when 3 then concat('abc-', cast(f.fiscal_year as string), case l_suppkey % 3 when 0 then '_pre.xml' when 1 then '_cal.xml' else '.xsd' end) when 4 then concat('form', cast(l_suppkey as string), '.htm')
+    when 5 then concat('img', cast(l_suppkey as string), '.JPG') when 6 then case when l_suppkey % 2 = 0 then 'MetaLinks.json' else 'report_viewer.css' end else concat('ex', cast(l_suppkey as string), '.pdf') end as path,
+  case when l_linenumber = 4 then f.form when l_linenumber = 7 then case when l_suppkey % 2 = 0 then 'EX-99' end end as doc_type, case when l_linenumber = 7 and l_suppkey % 4 = 1 then 'Graphic of the year' end as description,
+  l_linenumber = 4 as is_primary, cast(l_partkey as string) as digest, cast(floor(l_extendedprice) as bigint) as size
+from b_line l join b_filing f on f.filing_id = l.l_orderkey""",
+    "b_bundle_file": "select accession, path, case when fact_id % 13 = 0 then concat(digest, 'x') else digest end as digest, size, fact_id from b_file where fact_id % 17 <> 0",
+    "b_arc": """
+select l.fact_id, f.accession, l.local_name as source_name, case l_suppkey % 5 when 0 then 'Segment' when 1 then 'Assets' else case when l_linenumber % 2 = 0 then 'Revenues' else 'ProfitLoss' end end as target_name,
+  case l_linenumber when 1 then 'http://www.xbrl.org/2003/arcrole/parent-child' when 2 then 'http://www.xbrl.org/2003/arcrole/summation-item' when 3 then 'http://xbrl.org/int/dim/arcrole/domain-member'
+    when 4 then 'http://www.xbrl.org/2003/arcrole/concept-label' when 5 then 'http://www.xbrl.org/2003/arcrole/fact-footnote' when 6 then 'http://xbrl.org/arcrole/2008/element-label' else 'http://example.org/arcrole/own' end as arcrole,
+  case when l_suppkey % 2 = 0 then 'link:definitionLink' else 'link:presentationLink' end as link_tag
+from b_line l join b_filing f on f.filing_id = l.l_orderkey""",
+    "b_declared": "select distinct accession, namespace_uri, local_name, case when local_name in ('Assets', 'Liabilities') then 'debit' when local_name = 'Revenues' then 'credit' end as balance, period_kind as period_type from b_fact_wide where fact_id % 5 <> 0",
+    "b_issue": """
+select f.accession, case l_linenumber when 1 then 'xbrl' when 2 then 'html' else 'source' end as component, concat('E', cast(l_suppkey % 9 as string)) as code,
+  case when l_quantity = 3 then 'fatal' when l_quantity < 20 then 'warning' when l_quantity < 40 then 'info' else 'error' end as severity, cast(l_quantity as int) as occurrences, l.fact_id as id
+from b_line l join b_filing f on f.filing_id = l.l_orderkey where l_quantity % 2 = 1""",
+    # blocks of long documents: a supplier's lines, some of which open an item or a part, close the document or head its contents
+    "b_block": """
+select l_suppkey as doc_id, cast(row_number() over (partition by l_suppkey order by fact_id) - 1 as int) as ordinal,
+  case when l_quantity = 5 then concat('Item ', cast(l_partkey % 15 + 1 as string), case when l_linenumber = 1 then 'A' else '' end, '. Overview', case when l_linestatus = 'F' then ' 12' else '' end)
+    when l_quantity = 6 then concat('Item 7. Results Item ', cast(l_partkey % 15 + 1 as string), '. More') when l_quantity = 7 then concat('PART ', case l_partkey % 4 when 0 then 'I' when 1 then 'II' when 2 then 'III' else 'IV' end)
+    when l_quantity = 8 then 'SIGNATURES' when l_quantity = 9 and l_linenumber = 1 then 'Table of Contents' else concat('Text of line ', cast(fact_id as string)) end as text,
+  case when l_discount >= 0.08 then 2 end as heading_level, l_tax = 0.01 as is_bold, l_tax = 0.02 as has_anchor, cast(l_linenumber % 4 as int) as internal_links,
+  cast(l_partkey % 40 as int) as link_chars, cast(20 + l_partkey % 300 as int) as total_chars
+from b_line""",
+    # proposals, acceptances and rejections of mapping revisions, one batch of each
+    "b_proposal": """
+select s_suppkey as proposal_id, concat('{http://fasb.org/us-gaap/', cast(1990 + s_nationkey % 10 as string), '}', case s_suppkey % 3 when 0 then 'Assets' when 1 then 'Revenues' else 'Nothing' end) as concept,
+  case s_suppkey % 4 when 0 then 'assets' when 1 then 'revenue' when 2 then 'equity' else 'none' end as metric, case when s_suppkey % 5 = 0 then 'old' else 'h1' end as metric_hash,
+  case when s_suppkey % 6 = 1 then lpad(cast(s_suppkey * 40 as string), 10, '0') end as issuer_cik
+from supplier""",
     # chains of up to four revisions for each supplier and metric; the last may be rejected
     "b_mapping": """
 select s_suppkey * 100 + m.position * 10 + k as id, case when k > 0 then s_suppkey * 100 + m.position * 10 + k - 1 end as supersedes_id,
@@ -81,6 +116,8 @@ select s_suppkey * 100 + m.position * 10 + k as id, case when k > 0 then s_suppk
   case when k = s_suppkey % 4 and s_suppkey % 5 = 0 then 'rejected' when k > 0 then 'accepted' else 'candidate' end as status
 from supplier, (select 'assets' as metric, 'Assets' as name, 1 as position union all select 'revenue', 'Revenues', 2) m, (select 0 as k union all select 1 union all select 2 union all select 3) r
 where k <= s_suppkey % 4""",
+    "b_review": """
+select id as mapping_id, case when id % 7 = 0 then '' else 'reviewed' end as rationale, case when id % 11 = 0 then 0 else 1 end as evidence, case when id % 13 = 0 then 'old' else 'h1' end as metric_hash from b_mapping""",
 }
 
 

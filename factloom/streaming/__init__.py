@@ -1 +1 @@
-
+"""Filings and mapping revisions as streams."""
