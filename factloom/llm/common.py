@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of text in one Arrow batch: bounds a Python worker's memory whatever the length of the texts.
-TEXT_BATCH_ROWS = 512
+#: Rows and bytes of text in one Arrow batch: bound a Python worker's memory whatever the length of the texts. A longer text is a batch of its own.
+TEXT_BATCH_ROWS, TEXT_BATCH_BYTES = 256, 2 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -45,11 +49,25 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Bounds the rows of an Arrow batch, before texts go to Python; a smaller setting of the user's stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > TEXT_BATCH_ROWS:
-        spark.conf.set(key, str(TEXT_BATCH_ROWS))
+    """Bounds the rows and bytes of an Arrow batch in this session, from before texts go to Python; a smaller setting of the user's stays."""
+    for key, most in (("maxRecordsPerBatch", TEXT_BATCH_ROWS), ("maxBytesPerBatch", TEXT_BATCH_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the Python worker, which lives on, gives the memory back that its tables took."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return wrapped
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

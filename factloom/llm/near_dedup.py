@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small_side, staged, text_batches
+from .common import frugal, read, small_side, staged, text_batches
 from .components import components
 
 #: Bands and rows: two sets of similarity 0.8 share no band with probability 1e-7.
@@ -35,7 +35,7 @@ LONG_FROM, SHORT_BELOW, LEAST_PERCENT = 2048, 3072, 70
 BINS = 1 << COARSE_BIN_BITS
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT, SHINGLE_WORDS = 80, 5
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 MOST_BROADCAST = 2_000_000
 _MIX, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 
@@ -173,7 +173,7 @@ def signatures(docs: DataFrame, shingle_words: int) -> DataFrame:
             cols = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, _SKETCHES)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "class", "bands", "sketch"])
 
-    return docs.mapInArrow(run, f"doc_id long, n_shingles long, class binary, bands array<long>, sketch {SKETCHES}")
+    return docs.mapInArrow(frugal(run), f"doc_id long, n_shingles long, class binary, bands array<long>, sketch {SKETCHES}")
 
 
 def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
@@ -185,7 +185,7 @@ def shingle_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
             sets = [shingler(t).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return docs.mapInArrow(frugal(run), "doc_id long, shingles binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

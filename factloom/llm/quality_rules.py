@@ -31,7 +31,8 @@ RISK, CONFIDENCE_MISS = 0.06, 0.1
 #: Rejecting one good labelled document outweighs rejecting so many bad ones.
 GOOD_COSTS = 5
 LEAST_WORDS, MOST_REPEAT_PERCENT = 50, 50
-MOST_BROADCAST = 100_000
+#: Most rows of a broadcast: of cutoffs, and of ids.
+MOST_BROADCAST, MOST_IDS = 100_000, 1_000_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -156,8 +157,9 @@ def _measured(text: pd.Series) -> pd.DataFrame:
 def filter_documents(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence_miss: float = CONFIDENCE_MISS, stratum: str = "lang") -> DataFrame:
     """The rows of docs that quality_verdicts would keep, with all their columns, whatever these are called."""
     text_batches(docs.sparkSession)
-    labelled = small_side(labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("labelled_id")).distinct(), MOST_BROADCAST)
-    judged = docs.join(labelled, F.col("doc_id").cast("long") == F.col("labelled_id"), "left_semi")  # only these set the cutoffs
+    labelled = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").cast("long").alias("labelled_id")).distinct()
+    # Only labelled documents set the cutoffs. Where their ids are too many for a broadcast, all are measured, so that no text is shuffled.
+    judged = docs.join(F.broadcast(labelled), F.col("doc_id").cast("long") == F.col("labelled_id"), "left_semi") if labelled.count() <= MOST_IDS else docs
     chosen = staged(fit_cutoffs(measure(judged, stratum), labels, risk, confidence_miss), "quality-cutoffs")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), _measured(F.col("text").cast("string")).alias("m"))
     return judge(with_base(rows.select("doc", "stratum", "m.*")), chosen).where("kept").select("doc.*")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, staged, text_batches
+from .common import frugal, read, staged, text_batches
 
 #: The fixed patterns, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "crf")
@@ -32,7 +32,7 @@ LIKELY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[
 SAMPLE_LABELLED, SAMPLE_PLAIN, WINDOW, PLAIN_EVERY = 300, 3000, 64, 4
 LEAST_FOUND = 8
 #: Pieces whose features a worker keeps; a full table starts anew.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 100_000
 STEPS, RATE, PENALTY = 60, 0.2, 1e-4
 PIECE = re.compile(r"[^\W_]+|[^\w\s]|_")
 LENGTHS = (2, 4, 8, 12, 16, 20, 32, 40)
@@ -226,7 +226,7 @@ def training_windows(docs: DataFrame, labelled: int = SAMPLE_LABELLED, plain: in
             got = [w for h, t, only in zip(*(b.column(c).to_pylist() for c in ("h", "text", "only")), strict=True) for w in _windows(t, h % 1_000_003 * PLAIN_EVERY, only)]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary())], ["features", "tags"])
 
-    hits = staged(rows.where(F.col("text").rlike(LIKELY)).mapInArrow(places, "h long, w int").distinct(), "secret-windows")
+    hits = staged(rows.where(F.col("text").rlike(LIKELY)).mapInArrow(frugal(places), "h long, w int").distinct(), "secret-windows")
     some = hits.orderBy(F.xxhash64("h", "w"), "h", "w").limit(labelled).groupBy("h").agg(F.sort_array(F.collect_list("w")).alias("only"))
     others = rows.select("h").distinct().join(hits.select("h").distinct(), "h", "left_anti").orderBy("h").limit(plain)
     chosen = staged(some.unionByName(others.select("h", F.lit(None).cast("array<int>").alias("only"))), "secret-sample")
@@ -382,7 +382,7 @@ def scan_secrets(docs: DataFrame, model: ChainField | None) -> DataFrame:
             got = [[{"kind": k, "start": s, "end": e} for k, s, e in spans] for spans in all_spans(b.column("text").to_pylist(), m)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(got, _SPANS)], ["doc_id", "spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id long, spans {SPANS}")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(frugal(run), f"doc_id long, spans {SPANS}")
 
 
 def redacted_text(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
@@ -415,7 +415,7 @@ def redact_secrets(docs: DataFrame, model: ChainField | None, mark: str = "[secr
                 cols["n_chars"] = pa.array([len(t) if s else n for t, s, n in zip(new, spans, old.to_pylist(), strict=True)], old.type)
             yield pa.RecordBatch.from_arrays([cols[c] for c in names], names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
