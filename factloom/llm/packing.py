@@ -27,7 +27,7 @@ from .common import frugal, read, staged, text_batches
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
 #: Chunks between white space, and words, whose ids a task keeps; a full table starts anew. A worker that kept them from task to task took more memory and no less time.
-CACHE_CHUNKS, CACHE_WORDS = 120_000, 100_000
+CACHE_CHUNKS, CACHE_WORDS = 200_000, 150_000
 #: Chunks that are encoded at once, parted by the end-of-text string.
 AT_ONCE, PART = 2000, "<|endoftext|>"
 #: The vocabulary's rule for words, and the characters whose lower case and composed form are the same by any Unicode version.
