@@ -14,7 +14,7 @@ from factloom.sources.bridge import text, view
 from factloom.sources.staging import written
 
 #: Views that are made of the wide facts; a query that reads more than one of them has those written once.
-OF_FACTS = ("fact", "concept", "context", "dimension", "unit_measure", "declared")
+OF_FACTS = ("fact", "concept", "context", "dimension", "unit_measure", "declared", "duration")
 
 
 class Model:

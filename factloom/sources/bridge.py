@@ -118,6 +118,33 @@ from supplier, (select 'assets' as metric, 'Assets' as name, 1 as position union
 where k <= s_suppkey % 4""",
     "b_review": """
 select id as mapping_id, case when id % 7 = 0 then '' else 'reviewed' end as rationale, case when id % 11 = 0 then 0 else 1 end as evidence, case when id % 13 = 0 then 'old' else 'h1' end as metric_hash from b_mapping""",
+    # durations as quarterly and annual filings report them: the required one, three months in the second and third quarter, and those of the year before
+    "b_duration": """
+select fact_id, accession, cik, filing_date, metric, focus, make_date(y - years_back, case when focus = 'Q2' and fact_id % 2 = 0 then 4 when focus = 'Q3' and fact_id % 2 = 0 then 7 else 1 end, 1) as period_start,
+  make_date(y - years_back, m, case when m in (6, 9) then 30 else 31 end) as period_end, make_date(y, 1, 1) as required_start, make_date(y, m, case when m in (6, 9) then 30 else 31 end) as required_end, resolved_numeric as numeric, decimals
+from (
+  select w.*, f.filing_date, w.local_name as metric, w.fiscal_year as y, case when w.form in ('10-K', '10-K/A') then 'FY' when w.filing_id % 3 = 0 then 'Q1' when w.filing_id % 3 = 1 then 'Q2' else 'Q3' end as focus,
+    case when w.form in ('10-K', '10-K/A') then 12 when w.filing_id % 3 = 0 then 3 when w.filing_id % 3 = 1 then 6 else 9 end as m
+  from b_fact_wide w join b_filing f on f.filing_id = w.filing_id where period_kind = 'duration' and not has_dimensions and not is_nil and value_status = 'valid') x""",
+    # continued texts of a filing: some ids are there twice, some chains lead nowhere or into themselves
+    "b_continuation": """
+select f.accession, case when fact_id % 41 = 0 then fact_id - 1 else fact_id end as node,
+  case when l_quantity < 15 then null when l_quantity = 15 then l_orderkey * 1000 + 1 when l_quantity = 16 then -1 else fact_id + 1 end as next
+from b_line l join b_filing f on f.filing_id = l.l_orderkey""",
+    "b_continuation_root": """
+select f.accession, fact_id as root, case when l_linenumber = 3 then l_orderkey * 1000 + 2 else fact_id + 1 end as start from b_line l join b_filing f on f.filing_id = l.l_orderkey where l_linenumber in (1, 3, 5)""",
+    # contracts of metrics, some of them broken, and lists as texts
+    "b_contract": """
+select p_partkey as row_id, case when p_partkey % 19 = 0 then 'Bad Key' when p_partkey % 23 = 0 then concat('m', cast(p_partkey - 1 as string)) else concat('m', cast(p_partkey as string)) end as key, case when p_partkey % 29 = 0 then ' ' else p_name end as name,
+  case when p_partkey % 31 = 0 then 'derived' else 'reported' end as kind, case p_size % 5 when 0 then 'income_statement' when 1 then 'balance_sheet' when 2 then 'cash_flow' when 3 then 'per_share' else 'shares' end as statement,
+  case when p_size % 5 = 1 or (p_size % 5 = 4 and p_partkey % 2 = 0) or p_partkey % 37 = 0 then 'instant' else 'duration' end as period_type, 'numeric' as value_kind,
+  case when p_partkey % 17 = 0 then 'pure' when p_size % 5 = 3 then 'monetary_per_share' when p_size % 5 = 4 then 'shares' else 'monetary' end as unit_dimension, p_type as definition,
+  case when p_partkey % 13 = 0 then concat(lower(p_brand), ',', lower(p_brand)) else concat(lower(p_brand), ',all') end as includes, case when p_partkey % 11 = 0 then '' else 'none' end as excludes
+from part""",
+    "b_evidence": """
+select id, case id % 6 when 0 then 'metric_definition' when 1 then 'filing_fact' else 'note' end as kind, case when id % 4 = 0 then 'x' end as accession, case when id % 8 < 6 then 'line 1' end as locator,
+  case when id % 3 = 0 then concept else '' end as concept, case when id % 9 = 0 then 'as said' end as quote, cast(null as string) as artifact
+from b_mapping where id % 5 <> 0""",
 }
 
 
