@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factloom.operators import contracts as cx
+from factloom.operators import corpus as px
 from factloom.operators import facts as fx
 from factloom.operators import quarters as tx
 from factloom.plans.catalogue import _ALL, _FRAME, _PERIOD, _SCAN, Model, _sql
@@ -38,6 +39,9 @@ Q = {
     "metric_contract_checks": _contracts,
     "evidence_checks": lambda m: cx.evidence_checks(m.mapping, m.evidence),
     "quality_source": _source,
+    "bundle_structure": lambda m: px.bundle_structure(m.file, m.binding, m.file.where("is_primary").select("accession", F.concat(F.lit("u:"), "path").alias("uri")), px.payload_hash(m.bundle_file)),
+    "corpus_checks": lambda m: px.corpus_checks(m.member, m.identity),
+    "report_members": lambda m: px.report_members(m.submitted),
     "decision_applicable_slots": lambda m: cx.decision_applicable_slots(m.frame(), m.decision, m.shared().declared),
 }
 QUERIES = {k: (lambda f: lambda spark, sf_dir: f(Model(spark, sf_dir)))(f) for k, f in Q.items()}
@@ -87,6 +91,29 @@ ORACLES = {
           from (select accession, namespace_uri, local_name, true d from b_declared union all select accession, namespace_uri, local_name, false from b_fact where context_id not in (select context_id from b_dimension)) n
           join b_filing f using (accession) left join period p using (accession) group by all""", _PERIOD,
     ),
+    "bundle_structure": _sql(
+        ("b_file", "b_bundle_file", "b_binding"), """select accession, 'payload_hash' rule, h "name" from pb left join pf using (accession) where h is distinct from h2
+          union all select accession, 'path_twice', path from b_file group by accession, path having count(*) > 1 union all select accession, 'uri_twice', uri from b_binding group by accession, uri having count(*) > 1
+          union all select distinct accession, case when (accession, path) in (select accession, path from b_file) then 'other_bytes' else 'binding_without_file' end, uri from (select distinct accession, uri, path, digest from b_binding) where (accession, path, digest) not in (select accession, path, digest from b_file)
+          union all select accession, 'alias_twice', alias from b_binding where alias is not null group by accession, alias having count(*) > 1
+          union all select distinct accession, 'alias_is_address', alias from b_binding where (accession, alias) in (select accession, uri from b_binding)
+          union all select accession, 'report_unbound', 'u:' || path from b_file where is_primary and (accession, 'u:' || path) not in (select accession, uri from b_binding)""",
+        "pb as (select accession, sha256(string_agg(path || '|' || digest, chr(10) order by path || '|' || digest)) h from b_bundle_file group by 1)", "pf as (select accession, sha256(string_agg(path || '|' || digest, chr(10) order by path || '|' || digest)) h2 from b_file group by 1)",
+    ),
+    "corpus_checks": _sql(
+        ("b_member", "b_identity"), """select accession, 'DUPLICATE_ACCESSION' code from b_member qualify count(*) over (partition by accession) > 1 union all select accession, 'DUPLICATE_ROLE' from b_member qualify count(*) over (partition by "role") > 1
+          union all select accession, 'AMENDS_MISSING' from b_member where form like '%/A' and amends is null union all select accession, 'AMENDS_ON_ORIGINAL' from b_member where form not like '%/A' and amends is not null
+          union all select accession, 'AMENDS_UNKNOWN' from b_member where amends is not null and amends not in (select accession from b_member) union all select accession, 'BUNDLE_MISSING' from b_member where bundle_id not in (select bundle_id from b_identity)
+          union all select m.accession, unnest(list_filter([case when m.accession <> b.accession then 'ACCESSION_MISMATCH' end, case when m.cik <> b.cik then 'CIK_MISMATCH' end, case when m.form <> b.form then 'FORM_MISMATCH' end,
+            case when m.filed is not null and m.filed is distinct from b.filed then 'FILED_MISMATCH' end, case when m.policy <> b.policy then 'ACQUISITION_POLICY_MISMATCH' end], lambda x: x is not null)) from b_member m join b_identity b using (bundle_id)""",
+    ),
+    "report_members": _sql(
+        ("b_submitted",), """select accession, kind, case when error is null then row_number() over (partition by accession order by is_primary desc, path)::int end place, path, error
+          from (select s.accession, kind, path, error, is_primary from q join b_submitted s on s.accession = q.accession and q.error is null and case kind when 'inline' then is_inline and coalesce(doc_type, '') <> 'Ex-Filing Fees' else is_instance and doc_type = 'EX-101.INS' end
+            union all select accession, kind, null, error, false from q where error is not null)""",
+        """q as (select accession, case when bi then 'inline' else 'instance' end kind, case when np <> 1 then 'not_one_primary' when bi and fee then 'primary_not_in_set' when not bi and ni <> 1 then 'not_one_instance' end error
+          from (select accession, count_if(is_primary) np, bool_or(is_primary and is_inline) bi, bool_or(is_primary and coalesce(doc_type, '') = 'Ex-Filing Fees') fee, count_if(is_instance and coalesce(doc_type, '') = 'EX-101.INS') ni from b_submitted group by 1))""",
+    ),
     "decision_applicable_slots": _sql(
         (*_ALL, "b_issuer", "b_declared", "b_decision"), """select distinct ff.accession, d.metric from ff join b_declared k on k.accession = ff.accession and regexp_matches(k.namespace_uri, '^https?://(fasb[.]org|xbrl[.]us)/us-gaap/')
           join b_decision d on d.local_name = k.local_name and d.family = 'us-gaap' and d.status = 'accepted' and not d.stale and d.relation = 'exact'

@@ -145,6 +145,20 @@ from part""",
 select id, case id % 6 when 0 then 'metric_definition' when 1 then 'filing_fact' else 'note' end as kind, case when id % 4 = 0 then 'x' end as accession, case when id % 8 < 6 then 'line 1' end as locator,
   case when id % 3 = 0 then concept else '' end as concept, case when id % 9 = 0 then 'as said' end as quote, cast(null as string) as artifact
 from b_mapping where id % 5 <> 0""",
+    # the manifest of a corpus, what its bundles say of themselves, how they bind addresses to files, and what the filer submitted
+    "b_member": """
+select filing_id as bundle_id, case when filing_id % 59 = 0 then 'a-twice' else accession end as accession, cik, form, case when filing_id % 3 <> 0 then filing_date end as filed, case when filing_id % 43 = 0 then 'annual' else concat('role', cast(filing_id as string)) end as role,
+  case when form in ('10-K/A', '10-Q/A') and filing_id % 7 <> 0 then case when filing_id % 5 = 0 then 'none' else accession end when filing_id % 53 = 0 then accession end as amends, 'v1' as policy
+from b_filing""",
+    "b_identity": """
+select filing_id as bundle_id, accession, case when filing_id % 13 = 0 then '0000000000' else cik end as cik, case when filing_id % 17 = 0 then '8-K' else form end as form, case when filing_id % 19 = 0 then null else filing_date end as filed,
+  case when filing_id % 23 = 0 then 'v0' else 'v1' end as policy
+from b_filing where filing_id % 29 <> 0""",
+    "b_binding": "select accession, concat('u:', path) as uri, path, digest, case when fact_id % 10 = 0 then 'u:all' when fact_id % 19 = 0 then concat('u:', path) end as alias from b_bundle_file",
+    "b_submitted": """
+select f.accession, concat('d', cast(l.fact_id % 1000 * 7 % 10 as string), cast(l_suppkey as string), '.htm') as path, case l_linenumber when 2 then 'Ex-Filing Fees' when 3 then 'EX-101.INS' when 5 then null else f.form end as doc_type,
+  l.fact_id % 1000 = 1 as is_primary, l_quantity > 20 as is_inline, l_quantity <= 45 as is_instance
+from b_line l join b_filing f on f.filing_id = l.l_orderkey where l.fact_id % 31 <> 0""",
 }
 
 

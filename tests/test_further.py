@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from factloom.operators import contracts as cx
+from factloom.operators import corpus as px
 from factloom.operators import quarters as tx
 from factloom.plans import further
 from tests.oracle import compare, connect
@@ -76,3 +77,27 @@ def test_nothing_known_of_a_filing(spark):
     frame = spark.createDataFrame([("a", "1", "10-K", "unknown"), ("b", "1", "10-Q", "2020")], "accession string, cik string, form string, release string")
     decisions = spark.createDataFrame([("d", "m", "us-gaap", "x", "", "exact", "accepted", False, "", "")], "decision_id string, metric string, family string, local_name string, issuer_cik string, relation string, status string, stale boolean, exclude_ciks string, exclude_qnames string")
     assert cx.decision_applicable_slots(frame, decisions, names.withColumn("namespace_uri", F.lit("http://fasb.org/us-gaap/2020"))).count() == 0
+
+
+def test_report_members(spark):
+    files = [
+        ("a", "z.htm", "10-K", True, True, False), ("a", "b.htm", "EX-99", False, True, False), ("a", "fee.htm", "ex-filingfee", False, True, False), ("a", "c.htm", None, False, False, False),
+        ("b", "z.htm", "10-K", True, False, False), ("b", "i.xml", "EX-101.INS", False, False, True), ("b", "i_htm.xml", "EX-101.INS", False, False, True),
+        ("c", "z.htm", "10-K", True, None, None), ("d", "z.htm", "10-K", False, True, False), ("e", "z.htm", "EX-FILING FEES", True, True, False),
+    ]
+    df = spark.createDataFrame(files, "accession string, path string, doc_type string, is_primary boolean, is_inline boolean, is_instance boolean")
+    got = sorted((r.accession, r.kind, r.place or 0, r.path or r.error) for r in px.report_members(df).collect())
+    assert got == [
+        ("a", "inline", 1, "z.htm"), ("a", "inline", 2, "b.htm"), ("b", "instance", 1, "i.xml"), ("c", "instance", 0, "not_one_instance"), ("d", "instance", 0, "not_one_primary"),
+        ("e", "inline", 0, "primary_not_in_set"),
+    ]
+
+
+def test_bundles_and_corpora_without_rows(spark):
+    files = spark.createDataFrame([("a", "p", "1"), ("a", "p", None)], "accession string, path string, digest string")
+    bindings = spark.createDataFrame([("a", "u", "p", "1", None), ("a", "v", "q", "1", "u"), ("a", "w", "p", "2", None)], "accession string, uri string, path string, digest string, alias string")
+    reports = spark.createDataFrame([("a", "u"), ("b", "u")], "accession string, uri string")
+    got = {(r.accession, r.rule, r.name) for r in px.bundle_structure(files, bindings, reports, px.payload_hash(files)).collect()}
+    assert got == {("a", "path_twice", "p"), ("a", "binding_without_file", "v"), ("a", "other_bytes", "w"), ("a", "alias_is_address", "u"), ("b", "report_unbound", "u")}
+    none = spark.createDataFrame([], "bundle_id long, accession string, cik string, form string, filed date, role string, amends string, policy string")
+    assert px.corpus_checks(none, none).count() == 0
