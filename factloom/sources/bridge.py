@@ -8,6 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
+#: Items of a report in their order, with the part of each.
+_REPORT = {"annual": "1 1A 1B 1C 2 3 4/5 6 7 7A 8 9 9A 9B 9C/10 11 12 13 14/15 16", "quarterly": "1 2 3 4/1 1A 2 3 4 5 6"}
+_REPORT_ITEMS = " union all ".join(
+    f"select '{family}' as family, {100 * part + place} as k, {part} as part, '{item}' as item" for family, parts in _REPORT.items() for part, items in enumerate(parts.split("/"), 1) for place, item in enumerate(items.split(), 1)
+)
 
 VIEWS = {
     "b_filing": """
@@ -101,6 +106,23 @@ select l_suppkey as doc_id, cast(row_number() over (partition by l_suppkey order
   case when l_discount >= 0.08 then 2 end as heading_level, l_tax = 0.01 as is_bold, l_tax = 0.02 as has_anchor, cast(l_linenumber % 4 as int) as internal_links,
   cast(l_partkey % 40 as int) as link_chars, cast(20 + l_partkey % 300 as int) as total_chars
 from b_line""",
+    # reports made of documents: a contents table (even ids), parts and items in the form's order with their text, a closing marker. Some lack their part lines, open two items at once or have two places for the second part
+    "b_report": "select doc_id, text as body, case doc_id % 5 when 0 then '10-K' when 1 then '10-Q' when 2 then '10-K/A' when 3 then '10-Q/A' else '10-Q' end as form, case when doc_id % 5 in (0, 2) then 'annual' else 'quarterly' end as family from documents",
+    "b_report_item": f"""
+select r.doc_id, r.family, i.k, i.part, i.item, r.body from b_report r join ({_REPORT_ITEMS}) i on i.family = r.family where (r.doc_id * 31 + i.k) % 17 <> 0""",
+    "b_report_line": """
+select doc_id, k * 10 + 1000 as spot, case when doc_id % 11 = 0 and item = '7' then 'Item 7. Discussion and Item 8. Statements' else concat('Item ', item, '. Heading') end as text, true as heading, 0 as links from b_report_item union all
+select doc_id, k * 10 + 1001, case when item = '1' then body else concat('Text of item ', item) end, false, 0 from b_report_item union all
+select doc_id, k, concat('Item ', item, '. Heading ', cast(k as string)), false, 1 from b_report_item where doc_id % 2 = 0 union all
+select doc_id, 0, 'Table of Contents', false, 0 from b_report where doc_id % 2 = 0 union all
+select doc_id, n * 1000 + 1005, concat('PART ', case n when 1 then 'I' when 2 then 'II' when 3 then 'III' else 'IV' end), true, 0 from b_report, (select 1 as n union all select 2 union all select 3 union all select 4) p where doc_id % 7 <> n % 4 and (n < 3 or family = 'annual') union all
+select doc_id, 3065, 'Part II (continued)', true, 0 from b_report where doc_id % 13 = 3 union all
+select doc_id, 9000, 'SIGNATURES', doc_id % 3 = 0, 0 from b_report where doc_id % 9 <> 0 union all
+select doc_id, 9001, 'Signed.', false, 0 from b_report""",
+    "b_report_block": """
+select doc_id, cast(row_number() over (partition by doc_id order by spot) - 1 as int) as ordinal, text, cast(case when heading then 2 end as int) as heading_level, false as is_bold, false as has_anchor,
+  links as internal_links, cast(case when links > 0 then length(text) else 0 end as int) as link_chars, cast(length(text) as int) as total_chars
+from b_report_line""",
     # proposals, acceptances and rejections of mapping revisions, one batch of each
     "b_proposal": """
 select s_suppkey as proposal_id, concat('{http://fasb.org/us-gaap/', cast(1990 + s_nationkey % 10 as string), '}', case s_suppkey % 3 when 0 then 'Assets' when 1 then 'Revenues' else 'Nothing' end) as concept,
