@@ -72,9 +72,13 @@ def reporting_periods(filing: DataFrame, candidates: DataFrame) -> DataFrame:
     return out.select("accession", "period_status", ok("p.start_lexical").alias("period_start"), ok("p.end_lexical").alias("period_end"), ok("p.year_focus").alias("year_focus"), ok("p.period_focus").alias("period_focus"))
 
 
+def _listed(column: str) -> Column:
+    return F.split(F.coalesce(column, F.lit("")), ",")
+
+
 def decision_applies(cik: Column, family: Column) -> Column:
-    """Of the columns of a decision of that family: its issuer exclusions and its issuer scope."""
-    return ~F.array_contains(F.split("exclude_ciks", ","), cik) & ((family != "issuer") | (F.col("issuer_cik") == cik))
+    """Of the columns of a decision of that family: its issuer exclusions, of which a null list has none, and its issuer scope."""
+    return ~F.array_contains(_listed("exclude_ciks"), cik) & ((family != "issuer") | (F.col("issuer_cik") == cik))
 
 
 def active(decisions: DataFrame) -> DataFrame:
@@ -89,7 +93,7 @@ def supported(facts: DataFrame, decisions: DataFrame) -> DataFrame:
     f = facts.withColumn("rule_family", F.when(F.col("origin") == "issuer", "issuer").otherwise(F.col("family")))
     rules = active(decisions).select("metric", "decision_id", "relation", "issuer_cik", "exclude_ciks", "exclude_qnames", F.col("family").alias("rule_family"), F.col("local_name").alias("rule_name"))
     both = f.join(rules, (f["rule_family"] == rules["rule_family"]) & (F.col("local_name") == F.col("rule_name"))).drop(rules["rule_family"])
-    both = both.where(~F.array_contains(F.split("exclude_qnames", ","), F.col("source_qname")) & decision_applies(F.col("cik"), F.col("rule_family")))
+    both = both.where(~F.array_contains(_listed("exclude_qnames"), F.col("source_qname")) & decision_applies(F.col("cik"), F.col("rule_family")))
     return both.drop("rule_family", "rule_name", "issuer_cik", "exclude_ciks", "exclude_qnames")
 
 
@@ -135,7 +139,7 @@ def slot_grid(filing: DataFrame, metrics: DataFrame) -> DataFrame:
 def out_of_scope(grid: DataFrame, decisions: DataFrame) -> DataFrame:
     """grid with out_of_scope: whether exact decisions exist for the metric but none applies to the issuer. Decisions meet the grid by metric and issuer: those for all issuers are
     counted, and with them how many leave the issuer out."""
-    exact = active(decisions).where("relation = 'exact' and exclude_ciks is not null").select("decision_id", "metric", "family", "issuer_cik", F.array_distinct(F.split("exclude_ciks", ",")).alias("left_out"))
+    exact = active(decisions).where("relation = 'exact'").select("decision_id", "metric", "family", "issuer_cik", F.array_distinct(_listed("exclude_ciks")).alias("left_out"))
     wide = exact.where("family <> 'issuer'")
     counts = exact.groupBy("metric").agg(F.count_if(F.col("family") != "issuer").alias("n"))
     without = wide.select("metric", F.explode("left_out").alias("cik")).groupBy("metric", "cik").agg(F.count("*").alias("n_without"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.operators import sections as sx
+from factloom.sources import html as hx
 from factloom.sources.staging import written
 
 #: What opens an item or a part, closes a document, heads a contents table and ends in a page number.
@@ -278,3 +279,12 @@ def filing_sections(outcomes: DataFrame) -> DataFrame:
 def section_issues(outcomes: DataFrame) -> DataFrame:
     """doc_id, code, section_key, role, reason, candidates: warnings about sections, and incomplete: whether one makes the document's result incomplete (one that is merely not found, or an unclear closing marker, does not)."""
     return outcomes.where("code is not null").select("doc_id", "code", "section_key", "role", "reason", "candidates", ((F.col("code") != NOT_FOUND) & ~F.col("role").eqNullSafe(F.lit("terminal"))).alias("incomplete"))
+
+
+def document_projection(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """documents(doc_id, path, is_primary, form, html) -> blocks of every document whose path ends in .htm or .html, and section outcomes of the primary ones of annual and quarterly forms. Blocks are written once."""
+    eligible = documents.where(F.lower("path").rlike(r"\.html?$"))
+    blocks = written(hx.html_blocks(eligible.select("doc_id", "html")), "document-blocks")
+    primary = eligible.where("is_primary").select(F.col("doc_id").cast("long").alias("doc_id"), "form")
+    own = blocks.join(primary.select("doc_id"), "doc_id", "left_semi").withColumn("has_anchor", F.col("anchor_id").isNotNull())
+    return blocks, section_outcomes(own, primary)

@@ -102,28 +102,78 @@ def apply_proposals(proposals: DataFrame, concepts: DataFrame, metrics: DataFram
     return out.select(*proposals.columns, error.alias("error"))
 
 
+CLAIM = ["concept", "scope_kind", "issuer_cik", "valid_from", "valid_to"]
+
+
+def _meeting(claims: DataFrame, others: DataFrame) -> DataFrame:
+    """Claims (mapping_id and CLAIM) that overlap one of the others (CLAIM) of their concept: those of one issuer meet by issuer, and only claims on all issuers meet every other of the concept."""
+    o = others.select(*[F.col(c).alias(f"o_{c}") for c in CLAIM])
+    dates = S.intervals_overlap(F.col("valid_from"), F.col("valid_to"), F.col("o_valid_from"), F.col("o_valid_to"))
+    meet = (F.col("concept") == F.col("o_concept")) & dates
+    own, every = claims.where("scope_kind = 'issuer' and issuer_cik is not null"), claims.where("not (scope_kind = 'issuer' and issuer_cik is not null)")
+    o_own, o_every = o.where("o_scope_kind = 'issuer' and o_issuer_cik is not null"), o.where("not (o_scope_kind = 'issuer' and o_issuer_cik is not null)")
+    found = [own.join(o_own, meet & (F.col("issuer_cik") == F.col("o_issuer_cik")), "left_semi"), own.join(o_every, meet, "left_semi"), every.join(o, meet, "left_semi")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).select("mapping_id").distinct()
+
+
+def first_come(claims: DataFrame) -> DataFrame:
+    """mapping_id of the claims that are accepted when they are taken one by one in the order of their ids and each is refused that overlaps an accepted one.
+
+    In rounds: a claim with no smaller undecided one that it could meet is accepted (the smallest of its concept and issuer, if it is smaller than the smallest on all issuers, and the other way round), and what overlaps it
+    is refused. A round decides at least the smallest claim of each concept; each round's tables are written. claims(mapping_id, CLAIM): unique ids."""
+    left = written(claims.select("mapping_id", *CLAIM), "ledger-claims")
+    accepted: DataFrame | None = None
+    alone = F.coalesce((F.col("scope_kind") == "issuer") & F.col("issuer_cik").isNotNull(), F.lit(False))
+    while not left.isEmpty():
+        concept = Window.partitionBy("concept")
+        least = lambda c: F.min(F.when(c, F.col("mapping_id")))
+        by_issuer = left.groupBy("concept", F.when(alone, F.col("issuer_cik")).alias("issuer")).agg(F.min("mapping_id").alias("least"))
+        by_issuer = by_issuer.withColumns({"every": F.min(F.when(F.col("issuer").isNull(), F.col("least"))).over(concept), "any": F.min(F.when(F.col("issuer").isNotNull(), F.col("least"))).over(concept)})
+        rival = F.when(F.col("issuer").isNull(), F.col("any")).otherwise(F.col("every"))
+        now = by_issuer.where(rival.isNull() | (F.col("least") < rival)).select(F.col("least").alias("mapping_id"))
+        now = written(left.join(now, "mapping_id", "left_semi"), "ledger-accepted")
+        rest = left.join(now.select("mapping_id"), "mapping_id", "left_anti")
+        left = written(rest.join(_meeting(rest, now), "mapping_id", "left_anti"), "ledger-claims")
+        accepted = now if accepted is None else accepted.unionByName(now)
+    return (left if accepted is None else accepted).select("mapping_id")
+
+
+def with_successors(revisions: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """outcomes(mapping_id, error) with successor_id for those without an error: ids after the largest of the revisions, in the order of mapping_id. Places are counted within ranges of ids and the ranges' counts added up."""
+    last = revisions.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last"))
+    good = outcomes.where("error is null").select("mapping_id", F.floor(F.col("mapping_id") / 65536).alias("range"))
+    before = good.groupBy("range").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("range")) - F.col("n")).drop("n")
+    placed = good.join(before, "range").withColumn("place", F.col("before") + F.row_number().over(Window.partitionBy("range").orderBy("mapping_id")))
+    placed = placed.crossJoin(F.broadcast(last)).select("mapping_id", (F.col("last") + F.col("place")).alias("successor_id"))
+    return outcomes.join(placed, "mapping_id", "left")
+
+
 def apply_acceptances(revisions: DataFrame, reviews: DataFrame, metrics: DataFrame) -> DataFrame:
     """mapping_id, error, successor_id: a review accepts a current candidate of an unchanged metric with a rationale and evidence, if its exact mapping conflicts neither with an accepted head nor with a
-    candidate of a smaller id in the batch that could be accepted. The successor's id is the mapping's and one more.
+    candidate of a smaller id that the batch accepts; one that the batch refuses stands in nobody's way. Successors get new ids.
 
     reviews(mapping_id, rationale, evidence, metric_hash), metrics(metric, hash)."""
     heads = current_heads(revisions).select("id", F.lit(True).alias("current"))
-    rows = reviews.join(revisions.withColumnRenamed("id", "mapping_id"), "mapping_id", "left").join(heads.withColumnRenamed("id", "mapping_id"), "mapping_id", "left")
+    rows = reviews.join(revisions.drop(*[c for c in reviews.columns if c != "mapping_id"]).withColumnRenamed("id", "mapping_id"), "mapping_id", "left").join(heads.withColumnRenamed("id", "mapping_id"), "mapping_id", "left")
     rows = rows.join(metrics.select("metric", F.col("hash").alias("now")), "metric", "left")
     error = (
         F.when(F.col("status").isNull(), "unknown_mapping").when(F.col("current").isNull(), "not_current").when(F.col("status") != "candidate", "not_a_candidate").when(~F.col("now").eqNullSafe(F.col("metric_hash")), "metric_changed")
-        .when(F.trim("rationale") == "", "no_rationale").when(F.col("evidence") < 1, "no_evidence")
+        .when(F.coalesce(F.trim("rationale"), F.lit("")) == "", "no_rationale").when(F.coalesce("evidence", F.lit(0)) < 1, "no_evidence")
     )
     rows = written(rows.withColumn("error", error), "ledger-reviews")
-    claim = ["concept", "scope_kind", "issuer_cik", "valid_from", "valid_to"]
-    fit = rows.where("error is null and relation = 'exact'").select("mapping_id", *claim)
-    other = current_heads(revisions).where("status = 'accepted' and relation = 'exact'").select(F.col("id").alias("other_id"), *claim, F.lit(False).alias("in_batch"))
-    other = other.unionByName(fit.select(F.col("mapping_id").alias("other_id"), *claim, F.lit(True).alias("in_batch")))
-    a, b = fit.alias("a"), other.alias("b")
-    meets = S.intervals_overlap(F.col("a.valid_from"), F.col("a.valid_to"), F.col("b.valid_from"), F.col("b.valid_to")) & F.coalesce(S.scopes_overlap(F.col("a.scope_kind"), F.col("a.issuer_cik"), F.col("b.scope_kind"), F.col("b.issuer_cik")), F.lit(True))
-    clash = a.join(b, (F.col("a.concept") == F.col("b.concept")) & meets & (~F.col("in_batch") | (F.col("b.other_id") < F.col("a.mapping_id"))), "left_semi").select("mapping_id", F.lit(True).alias("clash"))
-    out = rows.join(clash, "mapping_id", "left").withColumn("error", F.coalesce("error", F.when(F.col("clash"), "conflict")))
-    return out.select("mapping_id", "error", F.when(F.col("error").isNull(), F.col("mapping_id") + 1).alias("successor_id"))
+    fit = rows.where("error is null and relation = 'exact'").select("mapping_id", *CLAIM)
+    taken = _meeting(fit, current_heads(revisions).where("status = 'accepted' and relation = 'exact'"))
+    free = written(fit.join(taken, "mapping_id", "left_anti"), "ledger-free")
+    clash = fit.join(first_come(free), "mapping_id", "left_anti").select("mapping_id", F.lit(True).alias("clash"))
+    out = rows.join(clash, "mapping_id", "left").select("mapping_id", F.coalesce("error", F.when(F.col("clash"), "conflict")).alias("error"))
+    return with_successors(revisions, written(out, "ledger-outcomes"))
+
+
+def successors(revisions: DataFrame, outcomes: DataFrame, reviews: DataFrame, status: str) -> DataFrame:
+    """The revisions that decisions append: each is a copy of its mapping's claim with its own id, supersedes_id, status and rationale. outcomes(mapping_id, error, successor_id)."""
+    decided = outcomes.where("error is null").select("mapping_id", "successor_id").join(reviews.select("mapping_id", "rationale"), "mapping_id")
+    old = revisions.drop("supersedes_id", "status", "rationale").withColumnRenamed("id", "supersedes_id")
+    return old.join(decided.withColumnRenamed("mapping_id", "supersedes_id"), "supersedes_id").withColumnRenamed("successor_id", "id").withColumn("status", F.lit(status))
 
 
 def apply_rejections(revisions: DataFrame, reviews: DataFrame) -> DataFrame:

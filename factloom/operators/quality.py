@@ -14,13 +14,16 @@ def single_or_mixed(values: Column, fallback: Column) -> Column:
     return F.when(low.isNull(), fallback).when(low == high, low).otherwise("mixed")
 
 
-def filing_frame(filing: DataFrame, facts: DataFrame, issuers: DataFrame) -> DataFrame:
-    """accession, cik, form, fiscal_year, industry, release: one row per filing. facts: accession, namespace_uri, end_lexical."""
+def filing_frame(filing: DataFrame, facts: DataFrame, issuers: DataFrame, periods: DataFrame) -> DataFrame:
+    """accession, cik, form, fiscal_year, industry, release: one row per filing. The year is that of the filing's observations, which is their reporting period's, else the report's own: where its period ends, or the filing date.
+
+    filing: accession, cik, form, filing_date; facts: accession, namespace_uri; periods: accession, year_focus, period_end."""
     us_gaap = F.when(S.namespace_family(F.col("namespace_uri")) == "us-gaap", S.release_token(F.col("namespace_uri")))
-    agg = facts.groupBy("accession").agg(single_or_mixed(us_gaap, F.lit(None).cast("string")).alias("release"), single_or_mixed(F.substring("end_lexical", 1, 4), F.lit(None).cast("string")).alias("year"))
-    out = filing.join(agg, "accession", "left").join(issuers.select("cik", "industry"), "cik", "left")
+    agg = facts.groupBy("accession").agg(single_or_mixed(us_gaap, F.lit(None).cast("string")).alias("release"))
+    years = periods.select("accession", F.coalesce(F.nullif("year_focus", F.lit("")), F.substring("period_end", 1, 4)).alias("year"))
+    out = filing.join(agg, "accession", "left").join(years, "accession", "left").join(issuers.select("cik", "industry"), "cik", "left")
     none = F.lit("unknown")
-    return out.select("accession", "cik", "form", F.coalesce("year", none).alias("fiscal_year"), F.coalesce("industry", none).alias("industry"), F.coalesce("release", none).alias("release"))
+    return out.select("accession", "cik", "form", F.coalesce(F.col("year"), F.year("filing_date").cast("string"), none).alias("fiscal_year"), F.coalesce("industry", none).alias("industry"), F.coalesce("release", none).alias("release"))
 
 
 def quality_cells(observations: DataFrame, frame: DataFrame, identities: DataFrame) -> DataFrame:
@@ -53,8 +56,20 @@ def name_reuse(facts: DataFrame) -> DataFrame:
 
 
 def gold_join(gold: DataFrame, observations: DataFrame) -> DataFrame:
-    """accession, metric, outcome of each gold assertion: ok, or what differs; 'absent' where the build has no such slot."""
-    o = observations.select("accession", "metric", F.col("status").alias("got_status"), F.col("numeric").alias("got"))
-    both = gold.join(o, ["accession", "metric"], "left")
-    outcome = F.when(F.col("got_status").isNull(), "absent").when(F.col("status") != F.col("got_status"), "status").when(~F.col("numeric").eqNullSafe(F.col("got")), "numeric").otherwise("ok")
+    """accession, metric, outcome of each gold assertion on a filing of the build: ok, or the first that differs of status, period, numeric and reason; absent where the build has no such slot, unknown_status
+    where gold states a status that is none of value, missing and unsupported. Assertions on filings outside the build are skipped.
+
+    gold: accession, metric, kind (duration, instant), period_start, period_end, status, numeric, reason. A value is compared by period and numeric; a missing one must have the period, no numeric and the same reason, as must an unsupported
+    one, but for one of the wrong form, of which the reason alone counts."""
+    o = observations.select("accession", "metric", *[F.col(c).alias(f"got_{c}") for c in ("status", "reason", "numeric", "period_start", "period_end")])
+    both = gold.join(observations.select("accession").distinct(), "accession", "left_semi").join(o, ["accession", "metric"], "left")
+    start = F.when(F.col("kind") == "duration", F.col("period_start"))
+    period = start.eqNullSafe(F.col("got_period_start")) & F.col("period_end").eqNullSafe(F.col("got_period_end"))
+    same_reason = F.nullif("reason", F.lit("")).eqNullSafe(F.nullif("got_reason", F.lit("")))
+    numeric = F.when(F.col("status") == "value", F.col("numeric").eqNullSafe(F.col("got_numeric"))).otherwise(F.col("got_numeric").isNull())
+    wrong_form = F.coalesce((F.col("status") == "unsupported") & (F.col("reason") == "wrong_form"), F.lit(False))
+    outcome = (
+        F.when(F.col("got_status").isNull(), "absent").when(~F.col("status").eqNullSafe(F.col("got_status")), "status").when(~F.col("status").isin("value", "missing", "unsupported"), "unknown_status")
+        .when(~wrong_form & ~period, "period").when(~wrong_form & ~numeric, "numeric").when((F.col("status") != "value") & ~same_reason, "reason").otherwise("ok")
+    )
     return both.select("accession", "metric", outcome.alias("outcome"))

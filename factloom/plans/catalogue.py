@@ -67,7 +67,7 @@ class Model:
         return fx.identity_checks(self.filing, self.operands(again))
 
     def frame(self, again: bool = False) -> DataFrame:
-        return qx.filing_frame(self.filing.select("accession", "cik", "form"), self.scan(again).select("accession", "namespace_uri", "end_lexical"), self.issuer)
+        return qx.filing_frame(self.filing.select("accession", "cik", "form", "filing_date"), self.scan(again).select("accession", "namespace_uri"), self.issuer, self.periods(again))
 
     def cells(self) -> DataFrame:
         return qx.quality_cells(self.observations(True), self.frame(True), self.identities(True))
@@ -89,11 +89,18 @@ class Model:
         return self.shared().fact_wide.join(self.filing.where("accepted_at is not null").select("accession"), "accession", "left_semi")
 
     def gold(self) -> DataFrame:
-        """Assertions on every filing's slots: values of 20000, a conflict for each seventh filing, and a metric that the build lacks for each eleventh."""
-        grid = fx.slot_grid(self.filing, self.metric).join(self.filing.select("accession", "filing_id"), "accession")
-        metric = F.when((F.col("filing_id") % 11 == 0) & (F.col("metric") == "revenue"), "deferred_revenue").otherwise(F.col("metric"))
-        conflict = F.col("filing_id") % 7 == 0
-        return grid.select("accession", metric.alias("metric"), F.when(conflict, "conflict").otherwise("value").alias("status"), F.when(~conflict, F.lit("20000").cast("decimal(28,10)")).alias("numeric"))
+        """Assertions on every filing's slots: values of 20000, missing ones for each fifth filing, the wrong form for quarterly ones, a status that gold does not know for each seventh; some of another period or reason, on a metric that
+        the build lacks, and on filings that it lacks."""
+        grid = fx.slot_grid(self.filing, self.metric).join(self.filing.select("accession", "filing_id", "fiscal_year"), "accession")
+        by = lambda n: F.col("filing_id") % n == 0
+        annual = F.col("form").isin("10-K", "10-K/A")
+        status = F.when(~annual, "unsupported").when(by(7), "conflict").when(by(5), "missing").otherwise("value")
+        year = (F.col("fiscal_year") - F.when(by(13), 1).otherwise(0)).cast("string")
+        return grid.select(
+            F.when(by(17), F.concat("accession", F.lit("x"))).otherwise(F.col("accession")).alias("accession"), F.when(by(11) & (F.col("metric") == "revenue"), "deferred_revenue").otherwise(F.col("metric")).alias("metric"),
+            F.col("period_type").alias("kind"), F.concat(year, F.lit("-01-01")).alias("period_start"), F.concat(year, F.lit("-12-31")).alias("period_end"), status.alias("status"),
+            F.when(status == "value", F.lit("20000").cast("decimal(28,10)")).alias("numeric"), F.when(~annual, F.when(by(4), "decision_scope").otherwise("wrong_form")).when(by(10), "broader_only").alias("reason"),
+        )
 
 
 def _scalars(m: Model) -> DataFrame:
@@ -245,7 +252,7 @@ idn as (
 _FRAME = """
 ff as (
   select f.accession, f.cik, f.form,
-    coalesce((select case when count(distinct left(end_lexical, 4)) > 1 then 'mixed' else min(left(end_lexical, 4)) end from s where s.accession = f.accession), 'unknown') fiscal_year, coalesce(i.industry, 'unknown') industry,
+    coalesce((select coalesce(p.year_focus, left(p.period_end, 4)) from period p where p.accession = f.accession), year(f.filing_date)::varchar) fiscal_year, coalesce(i.industry, 'unknown') industry,
     coalesce((select case when count(distinct split_part(namespace_uri, '/', 5)) > 1 then 'mixed' else min(split_part(namespace_uri, '/', 5)) end from s where s.accession = f.accession and s.family = 'us-gaap'), 'unknown') release
   from b_filing f left join b_issuer i on i.cik = f.cik)"""
 _CELLS = """
@@ -299,16 +306,20 @@ ORACLES = {
     "select_observations": _sql((*_ALL, "b_dei", "b_decision", "b_metric"), "select * from obs", _SCAN, _PERIOD, _SUPPORT, _OBS),
     "operand_intervals": _sql((*_ALL, "b_dei"), "select * from opi", _SCAN, _PERIOD, _SLOT, _OPERAND),
     "identity_checks": _sql((*_ALL, "b_dei"), "select * from idn", _SCAN, _PERIOD, _SLOT, _OPERAND, _IDENT),
-    "filing_frame": _sql((*_ALL, "b_issuer"), "select * from ff", _SCAN, _FRAME),
+    "filing_frame": _sql((*_ALL, "b_issuer", "b_dei"), "select * from ff", _SCAN, _PERIOD, _FRAME),
     "quality_cells": _sql((*_ALL, "b_dei", "b_decision", "b_metric", "b_issuer"), "select *, round(\"value\"::double / nullif(eligible, 0), 6) publication_rate from cells", _SCAN, _PERIOD, _SUPPORT, _OBS, _SLOT, _OPERAND, _IDENT, _FRAME, _CELLS),
     "partition_assertions": _sql((*_ALL, "b_dei", "b_decision", "b_metric", "b_issuer"), "select *, round(\"value\"::double / nullif(eligible, 0), 6) publication_rate from cells where eligible <> \"value\" + missing + conflict + unsupported", _SCAN, _PERIOD, _SUPPORT, _OBS, _SLOT, _OPERAND, _IDENT, _FRAME, _CELLS),
     "qname_census": _sql(("b_fact",), "select '{' || namespace_uri || '}' || local_name qname, count(distinct accession) accessions from b_fact group by 1"),
     "name_reuse_aggregate": _sql(("b_fact",), f"select {_FAMILY.format('namespace_uri')} family, string_split(namespace_uri, '/')[-1] release, local_name, count(distinct accession) accessions from b_fact group by all"),
     "gold_join": _sql(
         (*_ALL, "b_dei", "b_decision", "b_metric"),
-        """select g.accession, g.metric, case when o.status is null then 'absent' when o.status <> g.status then 'status' when o."numeric" is distinct from g."numeric" then 'numeric' else 'ok' end outcome
-          from (select accession, case when filing_id % 11 = 0 and metric = 'revenue' then 'deferred_revenue' else metric end metric, case when filing_id % 7 = 0 then 'conflict' else 'value' end status,
-              case when filing_id % 7 <> 0 then 20000 end "numeric" from b_filing cross join b_metric) g
+        """select g.accession, g.metric, case when o.accession is null then 'absent' when o.status <> g.status then 'status' when g.status = 'conflict' then 'unknown_status'
+            when g.reason = 'wrong_form' then case when o.reason is distinct from 'wrong_form' then 'reason' else 'ok' end
+            when o.period_end is distinct from y || '-12-31' or o.period_start is distinct from case when period_type = 'duration' then y || '-01-01' end then 'period'
+            when case when g.status = 'value' then o."numeric" is distinct from 20000 else o."numeric" is not null end then 'numeric' when g.status <> 'value' and o.reason is distinct from g.reason then 'reason' else 'ok' end outcome
+          from (select accession, case when filing_id % 11 = 0 and metric = 'revenue' then 'deferred_revenue' else metric end metric, period_type, (fiscal_year - case when filing_id % 13 = 0 then 1 else 0 end)::varchar y,
+              case when form not in ('10-K', '10-K/A') then 'unsupported' when filing_id % 7 = 0 then 'conflict' when filing_id % 5 = 0 then 'missing' else 'value' end status,
+              case when form not in ('10-K', '10-K/A') then case when filing_id % 4 = 0 then 'decision_scope' else 'wrong_form' end when filing_id % 10 = 0 then 'broader_only' end reason from b_filing cross join b_metric where filing_id % 17 <> 0) g
           left join obs o on o.accession = g.accession and o.metric = g.metric""",
         _SCAN, _PERIOD, _SUPPORT, _OBS,
     ),

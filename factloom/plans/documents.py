@@ -30,7 +30,19 @@ def _cutoffs(m: Model) -> DataFrame:
     return fs.part_cutoffs(items, parts).select("doc_id", "ordinal", "place", "token", "part")
 
 
+def _projection(m: Model) -> DataFrame:
+    """Blocks, sections and issues of every page, each third of which is its filing's primary document; forms by page."""
+    pages = m._at[0].read.parquet(f"{m._at[1]}/pages.parquet")
+    form = F.element_at(F.array(*[F.lit(f) for f in fs.FAMILIES]), (F.col("page_id") % 4 + 1).cast("int"))
+    documents = pages.select(F.col("page_id").alias("doc_id"), F.concat(F.lit("p"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 7 == 0, ".HTML").when(F.col("page_id") % 11 == 0, ".txt").otherwise(".htm")).alias("path"), (F.col("page_id") % 3 == 0).alias("is_primary"), form.alias("form"), "html")
+    blocks, outcomes = fs.document_projection(documents)
+    per = blocks.groupBy("doc_id").agg(F.count("*").alias("blocks"), F.count("text").alias("texts"))
+    found = outcomes.groupBy(F.col("doc_id").alias("of_doc")).agg(F.count_if(F.col("code").isNull()).alias("sections"), F.count("code").alias("issues"))
+    return per.join(found, F.col("doc_id") == F.col("of_doc"), "left").select("doc_id", "blocks", "texts", F.coalesce("sections", F.lit(0)).alias("sections"), F.coalesce("issues", F.lit(0)).alias("issues"))
+
+
 Q = {
+    "document_projection": _projection,
     "contents_marks": lambda m: _marks(m).select("doc_id", "ordinal", "kind", "score", "contents"),
     "part_cutoffs": _cutoffs,
     "filing_sections": lambda m: fs.filing_sections(_outcomes(m)),

@@ -12,13 +12,24 @@ from factloom.operators import facts as fx
 from factloom.operators import ledger as lx
 from factloom.operators import sections as sx
 from factloom.plans.catalogue import _AFFECTED, _ALL, _HEADS, _OBS, _PERIOD, _SCAN, _SUPPORT, Model, _sql
+from factloom.sources import html as hx
 from factloom.sources import records as rx
+from factloom.sources.staging import written
 
 #: Hashes of the metrics as they are, and as a mirror of them was.
 NOW = {"assets": "h1", "revenue": "h1", "equity": "h1", "liabilities": "h2"}
 MIRROR = {"assets": "h1", "revenue": "h0", "equity": "h1", "old_metric": "h1", "net_income": "h1"}
 
 
+def _successors(m: Model) -> DataFrame:
+    """What a batch of acceptances and then one of rejections append to the ledger."""
+    accepted = lx.successors(m.mapping, lx.apply_acceptances(m.mapping, m.review, _hashes(m, NOW)), m.review, "accepted").select("id", "supersedes_id", "concept", "metric", "relation", "status", "rationale")
+    grown = m.mapping.select("id", "supersedes_id", "concept", "metric", "relation", "status").unionByName(accepted.drop("rationale"))
+    grown = written(grown, "ledger-grown")
+    rejected = lx.successors(grown, lx.with_successors(grown, lx.apply_rejections(grown, m.review)), m.review, "rejected")
+    return accepted.unionByName(rejected.select(*accepted.columns))
+
+
 def _hashes(m: Model, values: dict[str, str]) -> DataFrame:
     return m._at[0].createDataFrame(list(values.items()), "metric string, hash string")
 
@@ -177,6 +188,7 @@ Q = {
     "apply_proposals": lambda m: lx.apply_proposals(m.proposal, _concepts(m), _hashes(m, NOW), m.issuer).select("proposal_id", "error"),
     "apply_acceptances": lambda m: lx.apply_acceptances(m.mapping, m.review, _hashes(m, NOW)),
     "apply_rejections": lambda m: lx.apply_rejections(m.mapping, m.review),
+    "ledger_successors": lambda m: _successors(m),
     "mapping_report": lambda m: lx.mapping_report(m.mapping, m.dated_facts(), _hashes(m, NOW), _hashes(m, MIRROR)),
     "removed_metrics": lambda m: lx.removed_metrics(_hashes(m, MIRROR), _hashes(m, NOW), m.mapping.withColumn("metric", F.when(F.col("relation") == "broader", "net_income").otherwise(F.col("metric")))),
     "marker_candidates": _markers,
@@ -225,7 +237,7 @@ Q = {
     "upsert_concepts": lambda m: ax.upsert_concepts(m.shared().concept, m.fact, m.declared),
     "upsert_issuers": lambda m: ax.upsert_issuers(m.issuer.where("industry is not null").withColumn("name", F.when(F.col("industry") != "building", F.col("name"))), m.issuer.withColumn("name", F.concat(F.lit("New "), "name"))),
     "catalog_filings": lambda m: ax.catalog_filings(m.filing.where("accepted_at is not null"), _arrivals(m), ["cik", "form", "filing_date"]),
-    "html_blocks": lambda m: rx.html_blocks(_pages(m).select(F.col("page_id").alias("doc_id"), "html")),
+    "html_blocks": lambda m: hx.html_blocks(_pages(m).select(F.col("page_id").alias("doc_id"), "html")),
     "normalize_uri": lambda m: _pages(m).select("page_id", S.normalize_uri(F.col("url")).alias("uri")),
     "submissions_records": lambda m: rx.submissions_records(_submissions(m)),
     "index_entries": lambda m: rx.index_entries(_indexes(m)),
@@ -279,11 +291,18 @@ rv as (
   select r.mapping_id, m.*, case when m.id is null then 'unknown_mapping' when m.id not in (select id from heads) then 'not_current' when m.status <> 'candidate' then 'not_a_candidate'
       when mh.hash is distinct from r.metric_hash then 'metric_changed' when trim(r.rationale) = '' then 'no_rationale' when r.evidence < 1 then 'no_evidence' end why
   from b_review r left join b_mapping m on m.id = r.mapping_id left join mh on mh.metric = m.metric),
-ot as (select id, concept, scope_kind, issuer_cik, valid_from, valid_to, false batch from heads where status = 'accepted' and relation = 'exact' union all select id, concept, scope_kind, issuer_cik, valid_from, valid_to, true from rv where why is null and relation = 'exact'),
-ac as (
-  select mapping_id, coalesce(why, case when rv.relation = 'exact' and exists (
-    select 1 from ot where ot.concept = rv.concept and (not batch or ot.id < rv.id) and coalesce(ot.valid_from, date '0001-01-01') <= coalesce(rv.valid_to, date '9999-12-31') and coalesce(rv.valid_from, date '0001-01-01') <= coalesce(ot.valid_to, date '9999-12-31')
-      and not (ot.scope_kind = 'issuer' and rv.scope_kind = 'issuer' and ot.issuer_cik <> rv.issuer_cik)) then 'conflict' end) error from rv)"""
+he as (select * from heads where status = 'accepted' and relation = 'exact'),
+fr as (
+  select rv.*, why is null and relation = 'exact' and exists (select 1 from he where he.concept = rv.concept and coalesce(he.valid_from, date '0001-01-01') <= coalesce(rv.valid_to, date '9999-12-31') and coalesce(rv.valid_from, date '0001-01-01') <= coalesce(he.valid_to, date '9999-12-31')
+    and not (he.scope_kind = 'issuer' and rv.scope_kind = 'issuer' and he.issuer_cik <> rv.issuer_cik)) taken from rv),
+cd as (
+  select concept, row_number() over (partition by concept order by id) k, {{'i': id, 'a': coalesce(valid_from, date '0001-01-01'), 'b': coalesce(valid_to, date '9999-12-31'), 's': scope_kind, 'c': issuer_cik}} x from fr where why is null and relation = 'exact' and not taken),
+gr(concept, k, acc) as (
+  select concept, 1, [x] from cd where k = 1 union all
+  select gr.concept, gr.k + 1, case when len(list_filter(acc, lambda o: o.a <= x.b and x.a <= o.b and not (o.s = 'issuer' and x.s = 'issuer' and o.c <> x.c))) = 0 then list_append(acc, x) else acc end from gr join cd on cd.concept = gr.concept and cd.k = gr.k + 1),
+wn as (select unnest(acc).i id from gr where k = (select max(k) from cd where cd.concept = gr.concept)),
+ac as (select mapping_id, coalesce(why, case when taken or (relation = 'exact' and id not in (select id from wn)) then 'conflict' end) error from fr),
+su as (select mapping_id, error, case when error is null then (select max(id) from b_mapping) + row_number() over (partition by error is null order by mapping_id) end successor_id from ac)"""
 _CHAIN = "c(id, root, revision, status) as (select id, id, 1, status from b_mapping where supersedes_id is null union all select m.id, c.root, c.revision + 1, m.status from b_mapping m join c on m.supersedes_id = c.id)"
 _USED = "us as (select accession, local_name from b_fact where value_status = 'valid' union select accession, source_name from b_arc union select accession, target_name from b_arc), kp as (select d.* from b_declared d where (accession, local_name) in (select accession, local_name from us) or not regexp_matches(namespace_uri, '^https?://(fasb[.]org|xbrl[.]us|xbrl[.]sec[.]gov)(:|/|$)'))"
 _BAD = {
@@ -315,8 +334,13 @@ ORACLES = {
         ("b_proposal", "b_concept", "b_issuer"), """select proposal_id, case when concept not in (select '{' || namespace_uri || '}' || local_name from b_concept) then 'unknown_concept' when issuer_cik is not null and issuer_cik not in (select cik from b_issuer) then 'unknown_issuer'
           when mh.metric is null then 'unknown_metric' when mh.hash <> metric_hash then 'metric_out_of_sync' end error from b_proposal p left join mh on mh.metric = p.metric""", _values(NOW, "mh"),
     ),
-    "apply_acceptances": _sql(("b_mapping", "b_review"), "select mapping_id, error, case when error is null then mapping_id + 1 end successor_id from ac", _REVIEW),
+    "apply_acceptances": _sql(("b_mapping", "b_review"), "select * from su", _REVIEW, recursive=True),
     "apply_rejections": _sql(("b_mapping", "b_review"), "select mapping_id, case when m.id is null then 'unknown_mapping' when m.id not in (select id from heads) then 'not_current' when m.status = 'rejected' then 'is_rejected' when trim(rationale) = '' then 'no_rationale' end error from b_review left join b_mapping m on m.id = mapping_id", _HEADS),
+    "ledger_successors": _sql(
+        ("b_mapping", "b_review"), """select s.successor_id id, s.mapping_id supersedes_id, concept, metric, relation, 'accepted' status, rationale from su s join b_mapping m on m.id = s.mapping_id join b_review r on r.mapping_id = s.mapping_id where s.error is null
+          union all select (select max(successor_id) from su) + row_number() over (order by m.id), m.id, concept, metric, relation, 'rejected', rationale from b_mapping m join b_review r on r.mapping_id = m.id
+          where m.id in (select id from heads) and m.id not in (select mapping_id from su where error is null) and status <> 'rejected' and trim(rationale) <> ''""", _REVIEW, recursive=True,
+    ),
     "mapping_report": _sql(
         ("b_mapping", "b_fact_wide"), """select h.id head, h.concept, h.metric, h.status, mh.hash is null metric_gone, mh.hash is distinct from mi.hash out_of_sync, hi.revisions, hi.history, coalesce(t.facts, 0) facts, coalesce(t.accessions, 0) accessions, coalesce(t.issuers, 0) issuers
           from heads h left join mh on mh.metric = h.metric left join mi on mi.metric = h.metric left join (select max(id) head, count(*) revisions, string_agg(id || ':' || status, ',' order by revision) history from c group by root) hi on hi.head = h.id

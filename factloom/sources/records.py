@@ -1,15 +1,12 @@
-"""Readers of the JSON and HTML records that come with filings."""
+"""Readers of the JSON, HTML and header records that come with filings."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.sources import html as hx
+
 _RECENT = ("accessionNumber", "form", "filingDate", "acceptanceDateTime", "primaryDocument")
 SUBMISSIONS = "struct<cik:string,filings:struct<recent:struct<" + ",".join(f"{c}:array<string>" for c in _RECENT) + ">>>"
 
@@ -47,106 +44,9 @@ def sgml_documents(texts: DataFrame) -> DataFrame:
     return out.where("type <> '' and filename <> ''")
 
 
-#: Elements that open a block, that hold none of the visible text, and that hold nothing.
-BLOCKS = {"p": "paragraph", "div": "paragraph", "ul": "list", "ol": "list", "li": "list_item", "table": "table", "body": "paragraph", "section": "paragraph"} | {f"h{i}": "heading" for i in range(1, 7)}
-SILENT = {"script", "style", "noscript", "head", "title", "ix:header", "ix:hidden"}
-VOID = {"br", "wbr", "img", "hr", "input", "meta", "link", "col"}
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
-_SPACE = re.compile(r"[\s\u00a0\u2007\u202f]+")
-
-
-class _Blocks(HTMLParser):
-    """Visible text as (type, level, links, link characters, text). A table is one block, of rows whose cells are parted by ' | '."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.out, self.text, self.kinds, self.silent, self.table, self.link = [], [], ["paragraph"], [], 0, 0
-        self.links, self.link_chars, self.rows, self.cells = 0, 0, [], []
-
-    def _close(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.text)).strip()
-        if text and not self.table:
-            kind = self.kinds[-1]
-            self.out.append((kind.partition(":")[0], int(kind.partition(":")[2] or 0), self.links, self.link_chars, text))
-        if not self.table:
-            self.text, self.links, self.link_chars = [], 0, 0
-
-    def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        if tag in ("br", "wbr"):
-            self.text += [" "] if tag == "br" else []
-        if tag in VOID:
-            return
-        if self.silent or tag in SILENT or "hidden" in a or _HIDDEN.search(a.get("style") or ""):
-            self.silent.append(tag)
-            return
-        if tag == "a" and (a.get("href") or "").startswith("#"):
-            self.link, self.links = 1, self.links + 1
-        if tag in BLOCKS and not self.table:
-            self._close()
-            self.kinds.append(BLOCKS[tag] + (f":{tag[1]}" if BLOCKS[tag] == "heading" else ""))
-        if tag == "table":
-            self.table += 1
-            if self.table == 1:
-                self.rows, self.cells, self.text = [], [], []
-
-    def _cell(self) -> None:
-        text = _SPACE.sub(" ", "".join(self.text)).strip()
-        self.cells += [text] if text else []
-        self.text = []
-
-    def handle_endtag(self, tag):
-        if self.silent:
-            if tag in self.silent:
-                while self.silent.pop() != tag:
-                    pass
-            return
-        if tag == "a":
-            self.link = 0
-        if self.table and tag in ("td", "th"):
-            self._cell()
-        if self.table and tag == "tr":
-            self._cell()
-            self.rows += [" | ".join(self.cells)] if self.cells else []
-            self.cells = []
-        if tag == "table" and self.table:
-            self.table -= 1
-            if not self.table:
-                self._cell()
-                self.rows += [" | ".join(self.cells)] if self.cells else []
-                self.text = ["\n".join(self.rows)]
-                if self.rows:
-                    self.out.append(("table", 0, self.links, self.link_chars, "\n".join(self.rows)))
-                self.text, self.links, self.link_chars = [], 0, 0
-        if tag in BLOCKS and not self.table:
-            self._close()
-            if len(self.kinds) > 1:
-                self.kinds.pop()
-
-    def handle_data(self, data):
-        if not self.silent:
-            self.text.append(data)
-            self.link_chars += self.link * len(data)
-
-    def blocks(self, html: str) -> list[tuple]:
-        self.feed(html)
-        self.close()
-        self.table = 0
-        self._close()
-        return self.out
-
-
-BLOCK = "doc_id long, ordinal int, block_type string, heading_level int, internal_links int, link_chars int, text string"
-
-
 def html_blocks(pages: DataFrame) -> DataFrame:
-    """pages(doc_id, html) -> the visible text as ordered blocks with their signals, a page by itself; null and empty pages have none, and broken markup is read as far as it goes."""
+    """pages(doc_id, html) -> the blocks that hold a text of their own: lists are left out, and their items keep their ordinals."""
+    return hx.html_blocks(pages).where("text is not null")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(doc, i, kind, level or None, links, chars, text) for doc, html in zip(b.column("doc_id").to_pylist(), b.column("html").to_pylist(), strict=True) for i, (kind, level, links, chars, text) in enumerate(_Blocks().blocks(html or ""))]
-            cols = list(zip(*rows, strict=True)) or [()] * 7
-            types = [pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "ordinal", "block_type", "heading_level", "internal_links", "link_chars", "text"])
 
-    return pages.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, BLOCK)
+__all__ = ["html_blocks", "index_entries", "metalinks", "sgml_documents", "submissions_records"]
