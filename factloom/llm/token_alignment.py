@@ -14,12 +14,11 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
-from operator import not_
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,8 +107,24 @@ class Table(dict):
 
     def missing(self, keys: set) -> set:
         """Those of keys that neither table has; the older one's are brought back."""
-        self.update({k: self.older[k] for k in keys if k in self.older})
-        return keys.difference(self)
+        absent = [k for k in keys if k not in self]
+        self.update({k: self.older[k] for k in absent if k in self.older})
+        return {k for k in absent if k not in self}
+
+
+def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """low, low + 1 and so on, size of them, one range after the other."""
+    return np.repeat(low - (size.cumsum() - size), size) + np.arange(size.sum())
+
+
+def _gathered(values: tuple[bytes, ...], used: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The values (of 32-bit words) that are used, joined from each end to the next."""
+    size = np.array([len(v) // 4 for v in values], dtype=np.int64)
+    words = np.frombuffer(b"".join(values), "<u4")
+    start, n = size.cumsum() - size, size[used]
+    raw = words[_ranges(start[used], n)].tobytes()
+    at = (4 * np.concatenate([[0], n.cumsum()])[ends]).tolist()
+    return [raw[i:j] for i, j in zip(at, at[1:], strict=False)]
 
 
 class Whole:
@@ -179,28 +194,32 @@ class Whole:
         return {c: (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes(), self._same(a, b, b" " + c.encode())) for c, a, b in ids}
 
     def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
-        """A and B ids of each text, little-endian with 32 bits; None if it is empty, or if either's joined bytes are not those of a space and the text."""
+        """A and B ids of each text, little-endian with 32 bits; None if it is empty, or if either's joined bytes are not those of a space and the text. A part is looked up once, however many texts of the list have it."""
         self.chunks.turn()
-        get = self.chunks.get
-        parts = [t.split(" ") if t else [] for t in texts]
-        found = [list(map(get, p)) for p in parts]
-        fresh = set().union(*[compress(p, map(not_, f)) for p, f in zip(parts, found, strict=True) if None in f])
-        self.learn(fresh)
+        parts = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), " ")
+        ends, coded = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
+        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        self.learn(set(distinct))
+        a, b, same = zip(*map(self.chunks.__getitem__, distinct), strict=True)
+        faulty = np.logical_not(same)[used]
+        faults = np.concatenate([[0], faulty.cumsum()])[ends]
+        ids = [_gathered(x, used, ends) for x in (a, b)]
         out: list[tuple[bytes, bytes] | None] = []
-        for t, p, f in zip(texts, parts, found, strict=True):
+        for n, t in enumerate(texts):
             if not t:
                 out.append(None)
-                continue
-            if None in f:
-                f = list(map(get, p))
-            a, b, same = zip(*f, strict=True)
-            if not all(same) and UNCLEAN in f:
-                p = PARTS.split(t)
-                odd = self._odd([c for c in set(p) if get(c, UNCLEAN) is UNCLEAN])
-                a, b, same = zip(*[odd.get(c) or self.chunks[c] for c in p], strict=True)
-            ids = b"".join(a), b"".join(b)
-            out.append(ids if all(same) or self._spelled(ids, t) else None)
-        for c in fresh:
+            elif faults[n] == faults[n + 1]:
+                out.append((ids[0][n], ids[1][n]))
+            else:
+                own = [distinct[i] for i in used[ends[n] : ends[n + 1]].tolist()]
+                found = ids[0][n], ids[1][n]
+                if any(self.chunks[c] is UNCLEAN for c in own):
+                    own = PARTS.split(t)
+                    odd = self._odd([c for c in set(own) if self.chunks.get(c, UNCLEAN) is UNCLEAN])
+                    x, y, _ = zip(*[odd.get(c) or self.chunks[c] for c in own], strict=True)
+                    found = b"".join(x), b"".join(y)
+                out.append(found if self._spelled(found, t) else None)
+        for c in distinct:
             if len(c) > LONGEST_CHUNK:
                 self.chunks.pop(c, None)
         return out
@@ -229,32 +248,64 @@ class Aligner:
         self.base = len(b.bytes)
         #: Ids as text with what follows them: another id of the group and side, or the end of the side.
         self.text = [f"{i}{end}" for v, ends in ((a, ",|"), (b, ",;")) for end in ends for i in range(len(v.bytes))]
-        self.known = Table(CACHE_WINDOWS)  # by the A and B ids
-
-    def cut(self, a: bytes, b: bytes) -> list[tuple[bytes, bytes]]:
-        """The windows' ids of a document whose A and B ids (little-endian, 32 bits) spell the same bytes."""
-        ends, anchors = [], []
-        for raw, v in ((a, self.a), (b, self.b)):
-            ids = np.frombuffer(raw, "<u4")
-            end = v.sizes[ids].cumsum()
-            ends.append(end)
-            anchors.append(end[:-1][v.marked[ids[1:]]])
-        shared = np.intersect1d(*anchors, assume_unique=True)
-        at_a, at_b = ((4 * (np.searchsorted(e, shared) + 1)).tolist() for e in ends)
-        return [(a[i:j], b[k:m]) for i, j, k, m in zip([0, *at_a], [*at_a, len(a)], [0, *at_b], [*at_b, len(b)], strict=True)]
-
-    def align(self, documents: list[tuple[bytes, bytes]]) -> list[list[Window]]:
-        """The windows of each document; those that are not remembered are worked out together."""
+        self.known = Table(CACHE_WINDOWS)  # by the A and B ids, with a word that is no id between them
+
+    def align(self, documents: list[tuple[bytes, bytes]]) -> list[tuple[int, int, str, np.ndarray, np.ndarray]]:
+        """Groups, links and digest of each document, given as A and B ids (little-endian, 32 bits) that spell the same bytes; its distinct pairs and how often each is linked.
+
+        The documents lie one after the other: each begins with a space in both, so its start is an anchor too. A window is looked up once, however often they hold it; those that are not remembered are worked out together."""
+        if not documents:
+            return []
         self.known.turn()
-        get = self.known.get
-        cut = [self.cut(a, b) for a, b in documents]
-        out = [list(map(get, keys)) for keys in cut]
-        fresh = self.known.missing(set().union(*[compress(keys, map(not_, w)) for keys, w in zip(cut, out, strict=True) if None in w]))
-        self.known.update(self.solve(list(fresh)))
-        out = [list(map(get, keys)) if None in w else w for keys, w in zip(cut, out, strict=True)]
-        for key in fresh:
-            if len(key[0]) > 4 * LONGEST_WINDOW or len(key[1]) > 4 * LONGEST_WINDOW:
-                del self.known[key]
+        a, b = (np.frombuffer(b"".join(x), "<u4") for x in zip(*documents, strict=True))
+        end_a, end_b = self.a.sizes[a].cumsum(), self.b.sizes[b].cumsum()
+        shared = np.intersect1d(end_a[:-1][self.a.marked[a[1:]]], end_b[:-1][self.b.marked[b[1:]]], assume_unique=True)
+        ends = np.append(shared, end_a[-1])
+        to_a, to_b = np.searchsorted(end_a, ends) + 1, np.searchsorted(end_b, ends) + 1
+        size_a, size_b = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        # a window as bytes: A ids, a word that is no id, B ids
+        place = np.arange(len(ends))
+        words = np.full(len(a) + len(b) + len(ends), 0xFFFFFFFF, dtype="<u4")
+        words[np.arange(len(a)) + np.repeat(place + to_b - size_b, size_a)] = a
+        words[np.arange(len(b)) + np.repeat(place + 1 + to_a, size_b)] = b
+        offsets = np.concatenate([[0], 4 * (size_a + size_b + 1).cumsum()])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(words.tobytes())]).dictionary_encode()
+        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        fresh = self.known.missing(set(distinct))
+        if fresh:
+            first = np.zeros(len(distinct), dtype=np.int64)
+            first[used[::-1]] = place[::-1]
+            cut = {k: 4 * n for k, n in zip(distinct, size_a[first].tolist(), strict=True) if k in fresh}
+            solved = self.solve([(k[:n], k[n + 4 :]) for k, n in cut.items()])
+            self.known.update({k: solved[k[:n], k[n + 4 :]] for k, n in cut.items()})
+        texts, groups, links, raw, many = zip(*map(self.known.__getitem__, distinct), strict=True)
+        for k in fresh:
+            if len(k) > 8 * LONGEST_WINDOW:
+                del self.known[k]
+        last = np.searchsorted(ends, end_a[np.cumsum([len(x) // 4 for x, _ in documents]) - 1])  # each document's last window
+        to = np.concatenate([[0], last + 1])
+        sums = [np.concatenate([[0], np.array(x, dtype=np.int64)[used].cumsum()])[to] for x in (groups, links)]
+        counted = self._counted(raw, many, used, to)
+        out, used = [], used.tolist()
+        for n, (i, j) in enumerate(zip(to.tolist(), to[1:].tolist(), strict=False)):
+            digest = hashlib.sha256(";".join([texts[w] for w in used[i:j]]).encode()).hexdigest()
+            out.append((int(sums[0][n + 1] - sums[0][n]), int(sums[1][n + 1] - sums[1][n]), digest, *counted[n]))
+        return out
+
+    def _counted(self, raw: tuple[bytes, ...], many: tuple, used: np.ndarray, to: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Each document's distinct pairs, and how often they are linked, from those of its windows."""
+        size = np.array([len(r) // 8 for r in raw], dtype=np.int64)
+        start, n = size.cumsum() - size, size[used]
+        pairs = np.frombuffer(b"".join(raw), np.int64)[_ranges(start[used], n)]
+        ends = np.concatenate([[0], n.cumsum()])[to].tolist()
+        large, out = {i for i, m in enumerate(many) if m is not None}, []
+        for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)):
+            own, times = np.unique(pairs[i:j], return_counts=True)
+            big = [many[w] for w in used[to[k] : to[k + 1]].tolist() if w in large] if large else []
+            if big:
+                every, at = np.unique(np.concatenate([own, *[p for p, _ in big]]), return_inverse=True)
+                own, times = every, np.bincount(at, weights=np.concatenate([times, *[t for _, t in big]])).astype(np.int64)
+            out.append((own, times))
         return out
 
     def solve(self, keys: list[tuple[bytes, bytes]]) -> dict[tuple[bytes, bytes], Window]:
@@ -301,19 +352,6 @@ class Aligner:
         return np.concatenate(pairs), np.concatenate(times)
 
 
-def _document(windows: list[Window]) -> tuple[int, int, str, np.ndarray, np.ndarray]:
-    """Groups, links and digest of a document; its distinct pairs and how often each is linked."""
-    texts, groups, links, raw, many = zip(*windows, strict=True)
-    pairs = np.frombuffer(b"".join(raw), np.int64)
-    big = [m for m in many if m is not None]
-    times = np.concatenate([np.ones(len(pairs), np.int64), *[t for _, t in big]])
-    pairs = np.concatenate([pairs, *[p for p, _ in big]])
-    order = np.argsort(pairs, kind="stable")
-    pairs, times = pairs[order], times[order]
-    first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-    return sum(groups), sum(links), hashlib.sha256(";".join(texts).encode()).hexdigest(), pairs[first], np.add.reduceat(times, first)
-
-
 def linked_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """docs(doc_id, text) -> a row per document: its counts, its groups' digest, its distinct pairs (A id * size of B + B id) and their occurrences."""
     text_batches(docs.sparkSession)
@@ -336,7 +374,7 @@ def linked_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     pairs.append(none)
                     times.append(none)
                     continue
-                groups, links, digest, p, n = _document(next(aligned))
+                groups, links, digest, p, n = next(aligned)
                 rows.append((doc, len(ids[0]) // 4, len(ids[1]) // 4, groups, links, digest))
                 pairs.append(p)
                 times.append(n)
