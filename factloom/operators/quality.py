@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,60 @@ def partition_faults(cells: DataFrame) -> DataFrame:
     return cells.where(~sums)
 
 
+CELL = ("metric", "fiscal_year", "release", "industry")
+IDENTITY = {"pass": "identity_pass", "fail": "identity_fail", "not_applicable": "identity_na"}
+ORACLE = ("agree", "differ", "absent", "ambiguous", "na")
+
+
+def quality_slots(observations: DataFrame, frame: DataFrame, applicable: DataFrame, labels: DataFrame) -> DataFrame:
+    """accession, metric, status, reason, eligible (of an annual form), applicable (a decision applies), label and the cell's fiscal_year, release and industry: a row per observation.
+
+    A filing without a frame has the form '' and unknown year, release and industry; a slot without a label is na. frame, applicable(accession, metric) and labels(accession, metric, label) have one row a key; repeated rows of applicable count once."""
+    slot = ["accession", "metric"]
+    rows = observations.select(*slot, "status", "reason").join(frame.select("accession", "form", "fiscal_year", "release", "industry"), "accession", "left")
+    rows = rows.join(applicable.select(*slot).distinct().withColumn("applicable", F.lit(True)), slot, "left").join(labels.select(*slot, "label"), slot, "left")
+    known = lambda c: F.coalesce(F.col(c), F.lit("unknown")).alias(c)
+    no = F.lit(False)
+    return rows.select(
+        *slot, "status", "reason", F.coalesce(F.col("form").isin(*S.ANNUAL_FORMS), no).alias("eligible"), F.coalesce("applicable", no).alias("applicable"), F.coalesce("label", F.lit("na")).alias("label"), *[known(c) for c in CELL[1:]]
+    )
+
+
+def quality_report(slots: DataFrame, identities: DataFrame) -> DataFrame:
+    """All counters and both rates of each cell. slots: of quality_slots; identities(accession, status).
+
+    The statuses divide the eligible slots (any other status counts as a conflict), the reasons the unsupported ones, the labels all slots. Identity findings count once per filing of a cell. A rate without a denominator is null.
+    Slots are summed per filing before the findings are joined, and a filing's sums per cell after, so a cell that holds most filings is summed before its shuffle."""
+    status, ok = F.coalesce("status", F.lit("")), F.col("eligible")
+    scope = F.coalesce(F.col("reason") == "decision_scope", F.lit(False))
+    counts = {
+        "n_slots": F.lit(True), "n_slot_eligible": ok, "n_ineligible_wrong_form": ~ok, **{f"n_{s}": ok & (status == s) for s in ("value", "missing", "unsupported")}, "n_conflict": ok & ~status.isin("value", "missing", "unsupported"),
+        "n_reason_decision_scope": ok & (status == "unsupported") & scope, "n_reason_other_unsupported": ok & (status == "unsupported") & ~scope, "n_decision_applicable": F.col("applicable"), **{f"oracle_{s}": F.col("label") == s for s in ORACLE},
+    }
+    per_filing = slots.groupBy("accession", *CELL).agg(*[F.count_if(c).alias(n) for n, c in counts.items()])
+    findings = identities.groupBy("accession").agg(*[F.count_if(F.col("status") == s).alias(n) for s, n in IDENTITY.items()])
+    total = lambda n: F.coalesce(F.sum(n), F.lit(0)).alias(n)
+    cells = per_filing.join(findings, "accession", "left").groupBy(*CELL).agg(*[total(n) for n in (*counts, *IDENTITY.values())])
+    rate = lambda n: F.round(F.try_divide(F.col("n_value").cast("double"), F.col(n).cast("double")), 6)
+    return cells.withColumns({"n_no_applicable_decision": F.col("n_slot_eligible") - F.col("n_decision_applicable"), "publication_rate": rate("n_slot_eligible"), "selector_yield": rate("n_decision_applicable")})
+
+
+def report_faults(cells: DataFrame) -> DataFrame:
+    """A cell's key and code for each rule that its counters break: statuses, forms, labels and reasons that do not add up, bounds (applicable within eligible within all), and more values than applicable decisions."""
+    total = lambda *names: reduce(Column.__add__, [F.col(n) for n in names])
+    must = {
+        "statuses": total("n_value", "n_missing", "n_unsupported", "n_conflict") == F.col("n_slot_eligible"), "forms": total("n_ineligible_wrong_form", "n_slot_eligible") == F.col("n_slots"), "labels": total(*[f"oracle_{s}" for s in ORACLE]) == F.col("n_slots"),
+        "reasons": total("n_reason_decision_scope", "n_reason_other_unsupported") == F.col("n_unsupported"), "bounds": (F.col("n_decision_applicable") <= F.col("n_slot_eligible")) & (F.col("n_slot_eligible") <= F.col("n_slots")),
+        "values_over_decisions": F.col("n_value") <= F.col("n_decision_applicable"),
+    }
+    return cells.select(*CELL, F.explode(F.array_compact(F.array(*[F.when(~c, F.lit(n)) for n, c in must.items()]))).alias("code"))
+
+
+def value_without_decision(slots: DataFrame) -> DataFrame:
+    """accession, metric of published values to which no decision applies; none may stand in a report."""
+    return slots.where("status = 'value' and not applicable").select("accession", "metric")
+
+
 def qname_census(facts: DataFrame) -> DataFrame:
     """Distinct filings per expanded name; summed per name and filing first, so that a common name is no hot key."""
     return facts.groupBy(S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("qname")).agg(F.count_distinct("accession").alias("accessions"))

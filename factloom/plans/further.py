@@ -58,6 +58,10 @@ _BROKEN = {
     "kind": "kind <> 'reported'", "empty_list": "excludes = ''", "repeated_entry": "len(list_distinct(string_split(includes, ','))) < len(string_split(includes, ','))",
 }
 
+APPLICABLE = """select distinct ff.accession, d.metric from ff join b_declared k on k.accession = ff.accession and regexp_matches(k.namespace_uri, '^https?://(fasb[.]org|xbrl[.]us)/us-gaap/')
+  join b_decision d on d.local_name = k.local_name and d.family = 'us-gaap' and d.status = 'accepted' and not d.stale and d.relation = 'exact'
+  where ff.form in ('10-K', '10-K/A') and ff.release <> 'unknown' and (ff.release = 'mixed' or ff.release = string_split(k.namespace_uri, '/')[-1])
+    and not list_contains(string_split(d.exclude_ciks, ','), ff.cik) and not list_contains(string_split(d.exclude_qnames, ','), '{' || k.namespace_uri || '}' || k.local_name)"""
 ORACLES = {
     "period_roles": _sql(("b_duration",), 'select fact_id, "role" from ro', _ROLE),
     "derived_fourth_quarter": _sql(
@@ -114,10 +118,5 @@ ORACLES = {
         """q as (select accession, case when bi then 'inline' else 'instance' end kind, case when np <> 1 then 'not_one_primary' when bi and fee then 'primary_not_in_set' when not bi and ni <> 1 then 'not_one_instance' end error
           from (select accession, count_if(is_primary) np, bool_or(is_primary and is_inline) bi, bool_or(is_primary and coalesce(doc_type, '') = 'Ex-Filing Fees') fee, count_if(is_instance and coalesce(doc_type, '') = 'EX-101.INS') ni from b_submitted group by 1))""",
     ),
-    "decision_applicable_slots": _sql(
-        (*_ALL, "b_issuer", "b_declared", "b_decision", "b_dei"), """select distinct ff.accession, d.metric from ff join b_declared k on k.accession = ff.accession and regexp_matches(k.namespace_uri, '^https?://(fasb[.]org|xbrl[.]us)/us-gaap/')
-          join b_decision d on d.local_name = k.local_name and d.family = 'us-gaap' and d.status = 'accepted' and not d.stale and d.relation = 'exact'
-          where ff.form in ('10-K', '10-K/A') and ff.release <> 'unknown' and (ff.release = 'mixed' or ff.release = string_split(k.namespace_uri, '/')[-1])
-            and not list_contains(string_split(d.exclude_ciks, ','), ff.cik) and not list_contains(string_split(d.exclude_qnames, ','), '{' || k.namespace_uri || '}' || k.local_name)""", _SCAN, _PERIOD, _FRAME,
-    ),
+    "decision_applicable_slots": _sql((*_ALL, "b_issuer", "b_declared", "b_decision", "b_dei"), APPLICABLE, _SCAN, _PERIOD, _FRAME),
 }

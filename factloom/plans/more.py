@@ -46,27 +46,31 @@ def _concepts(m: Model) -> DataFrame:
     return m.concept.select(S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("concept"))
 
 
-def _payloads(m: Model) -> DataFrame:
-    """JSON documents of points, one an issuer, as an external source has them: some points lack, some are of another value, some are there twice."""
+def payloads(m: Model) -> DataFrame:
+    """cik, json: documents of points, one an issuer, as an external source has them: some points lack, some are of another value, some are there twice."""
     f = m.shared().fact_wide.where("not has_dimensions and namespace_uri like '%us-gaap%' and local_name <> 'Liabilities'")
     year = (F.col("fiscal_year") - F.col("years_back")).cast("string")
     start = F.when(F.col("period_kind") == "duration", F.concat(year, F.lit("-01-01")))
     value = F.when(F.col("fact_id") % 9 == 0, F.col("resolved_numeric") + 1).otherwise(F.col("resolved_numeric")).cast("decimal(28,10)")
     by_name = f.groupBy("cik", "local_name").agg(F.collect_list(F.struct(F.col("accession").alias("accn"), start.alias("start"), F.concat(year, F.lit("-12-31")).alias("end"), value.alias("val"))).alias("p"))
     names = by_name.groupBy("cik").agg(F.map_from_entries(F.collect_list(F.struct("local_name", F.struct(F.create_map(F.lit("USD"), F.col("p")).alias("units"))))).alias("names"))
-    return names.select(F.to_json(F.struct(F.col("cik").cast("long").cast("string").alias("cik"), F.create_map(F.lit("us-gaap"), F.col("names")).alias("facts"))).alias("json"))
+    return names.select("cik", F.to_json(F.struct(F.col("cik").cast("long").cast("string").alias("cik"), F.create_map(F.lit("us-gaap"), F.col("names")).alias("facts"))).alias("json"))
 
 
 def _points(m: Model) -> DataFrame:
-    return ex.companyfacts_points(_payloads(m))
+    return ex.companyfacts_points(payloads(m))
 
 
-def _oracle(m: Model) -> DataFrame:
+def eligible_values(m: Model) -> DataFrame:
+    """accession, metric, fact_id, family, local_name, cik, value: the facts of each published value that may be held against points."""
     scan = m.scan()
-    held = m.written_observations()
-    ids = held.where("status = 'value'").select("accession", "metric", F.explode(F.split("fact_ids", ",")).alias("fact_id")).withColumn("fact_id", F.col("fact_id").cast("long"))
+    ids = m.written_observations().where("status = 'value'").select("accession", "metric", F.explode(F.split("fact_ids", ",")).alias("fact_id")).withColumn("fact_id", F.col("fact_id").cast("long"))
     facts = scan.where(ex.oracle_eligible()).select("fact_id", "family", "local_name", "cik", F.col("resolved_numeric").alias("value"))
-    return ex.oracle_join(held, ids.join(facts, "fact_id"), _points(m))
+    return ids.join(facts, "fact_id")
+
+
+def _oracle(m: Model) -> DataFrame:
+    return ex.oracle_join(m.written_observations(), eligible_values(m), _points(m))
 
 
 def _markers(m: Model) -> DataFrame:
@@ -316,16 +320,29 @@ _VALUES = """
 dv as (select f.cik, f.accession, f.accepted_at, o.metric, o.period_end, o."numeric" from obs o join b_filing f on f.accession = o.accession where o.status = 'value')"""
 _OBSERVED = ((*_ALL, "b_dei", "b_decision", "b_metric"), (_SCAN, _PERIOD, _SUPPORT, _OBS))
 
+
+def _kept(cte: str, name: str) -> str:
+    """The CTE, computed once however often it is named."""
+    return cte.replace(f"\n{name} as (", f"\n{name} as materialized (", 1)
+
+
+OBSERVED_ONCE = (_kept(_SCAN, "s"), _PERIOD, _SUPPORT, _kept(_OBS, "obs"))
+#: Points are matched on keys that are prepared once: the smallest eligible fact of each value.
+LABELS = f"""
+fc as materialized (
+  select o.accession, o.metric, o."numeric", o.period_start, o.period_end, min({{'id': s.fact_id, 'family': s.family, 'local_name': s.local_name, 'cik': s.cik}}) f
+  from (select *, unnest(string_split(fact_ids, ','))::bigint fact_id from obs where status = 'value') o join s on s.fact_id = o.fact_id and s.resolved_numeric = o."numeric" where {_ELIGIBLE} group by all),
+ag as (select cik, family, local_name, accession, "start", "end", min("value") lo, max("value") hi, array_to_string(list_transform(list_sort(list(distinct "value")), lambda v: regexp_replace(v::varchar, '[.]?0+$', '')), ',') held from pt group by all),
+lb as (
+  select o.accession, o.metric, case when fc.f is null then 'na' when lo is null then 'absent' when lo <> hi then 'ambiguous' when lo = o."numeric" then 'agree' else 'differ' end label, fc.f.family family, fc.f.local_name local_name,
+    case when fc.f is not null then regexp_replace(o."numeric"::varchar, '[.]?0+$', '') end observation, held oracle_values
+  from obs o left join fc on fc.accession = o.accession and fc.metric = o.metric
+  left join ag on ag.cik = fc.f.cik and ag.family = fc.f.family and ag.local_name = fc.f.local_name and ag.accession = o.accession and ag."end" = o.period_end and ag."start" is not distinct from o.period_start)"""
+
 ORACLES = {
     "companyfacts_points": _sql(("b_fact_wide",), "select * from pt", _POINTS),
     "oracle_eligible": _sql(_ALL, f"select fact_id from s where {_ELIGIBLE}", _SCAN),
-    "oracle_join": _sql(
-        (*_OBSERVED[0], "b_fact_wide"), """select accession, metric, case when f.fact_id is null then 'na' when lo is null then 'absent' when lo <> hi then 'ambiguous' when lo = "numeric" then 'agree' else 'differ' end label
-          from obs left join fc f using (accession, metric) left join ag using (accession, metric)""", *_OBSERVED[1], _POINTS,
-        f"""fc as (select o.accession, o.metric, min(s.fact_id) fact_id from (select accession, metric, "numeric", unnest(string_split(fact_ids, ','))::bigint fact_id from obs where status = 'value') o join s on s.fact_id = o.fact_id and s.resolved_numeric = o."numeric" where {_ELIGIBLE} group by all),
-        ag as (select o.accession, o.metric, min(p."value") lo, max(p."value") hi from obs o join fc using (accession, metric) join s on s.fact_id = fc.fact_id
-          join pt p on p.cik = s.cik and p.family = s.family and p.local_name = s.local_name and p.accession = s.accession and p."end" = o.period_end and p."start" is not distinct from o.period_start group by all)""",
-    ),
+    "oracle_join": _sql((*_OBSERVED[0], "b_fact_wide"), "select accession, metric, label from lb", *OBSERVED_ONCE, _POINTS, LABELS),
     "list_mappings": _sql(("b_mapping",), "select id, concept, scope_kind from heads where status = 'accepted' and relation = 'exact' and metric = 'assets'", _HEADS),
     "mapping_sort": _sql(("b_mapping",), "select id, concept, metric, relation from heads", _HEADS),
     "top_n_facts_per_mapping": _sql(("b_mapping", "b_fact_wide"), 'select mapping_id, fact_id, r "rank" from (select *, row_number() over (partition by mapping_id order by accession, fact_id) r from af) where r <= 25', _AFFECTED),

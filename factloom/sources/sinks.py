@@ -35,8 +35,8 @@ def write_manifest(filing: DataFrame, rules: DataFrame, path: str, version: str,
     whole.crossJoin(F.broadcast(hashes)).withColumns({"version": F.lit(version), "built_at": F.lit(built_at)}).write.mode("errorifexists").json(path)  # one row each
 
 
-def publish_build(parts: dict[str, DataFrame], path: str) -> None:
-    """Writes all parts beside the target and moves them there at once; an existing target is refused and stays as it is."""
+def publish_build(parts: dict[str, DataFrame], path: str, form: str = "parquet") -> None:
+    """Writes all parts, in the form named, beside the target and moves them there at once; an existing target is refused and stays as it is."""
     spark = next(iter(parts.values())).sparkSession
     files = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = files.Path(path)
@@ -45,11 +45,18 @@ def publish_build(parts: dict[str, DataFrame], path: str) -> None:
         raise FileExistsError(path)
     beside = files.Path(f"{path.rstrip('/')}.partial")
     for name, df in parts.items():
-        df.write.mode("overwrite").parquet(f"{beside.toString()}/{name}")
+        df.write.format(form).mode("overwrite").save(f"{beside.toString()}/{name}")
     if not system.rename(beside, target):
         raise OSError(f"cannot move to {path}")
 
 
+def write_quality_report(cells: DataFrame, findings: DataFrame, sources: DataFrame, by_qname: DataFrame, name_reuse: DataFrame, path: str) -> None:
+    """The parts of a quality report as JSON, a row per cell, oracle finding, source and name, each part in its order; published as a whole. sources(kind, key, pin): what the report was made from, by digest or release."""
+    pinned = sources.orderBy("kind", "key")
+    parts = {"cells": cells.orderBy("metric", "fiscal_year", "release", "industry"), "oracle_findings": findings.orderBy("accession", "metric", "status"), "sources": pinned, "by_qname": by_qname.orderBy("qname"), "name_reuse": name_reuse.orderBy("family", "release", "local_name")}
+    publish_build(parts, path, "json")
+
+
 def export_mappings(report: DataFrame, path: str) -> None:
     """A JSON document a head, ordered by concept and head."""
     report.orderBy("concept", "head").select(F.to_json(F.struct(*sorted(report.columns)), {"ignoreNullFields": "false"})).write.mode("errorifexists").text(path)
