@@ -198,3 +198,24 @@ def removed_metrics(mirror: DataFrame, source: DataFrame, revisions: DataFrame)
     """metric, blocked: metrics of the mirror that the source lacks; those that a head still names cannot go."""
     used = current_heads(revisions).select("metric", F.lit(True).alias("used")).distinct()
     return mirror.select("metric").subtract(source.select("metric")).join(used, "metric", "left").select("metric", F.coalesce("used", F.lit(False)).alias("blocked"))
+
+
+def sync_metrics(mirror: DataFrame, source: DataFrame, revisions: DataFrame) -> DataFrame:
+    """metric, action, hash: what a sync does with each metric of the mirror or the source: added, changed, unchanged, removed, or blocked, where the source lacks it and some revision, current or not, names it. hash: the one it has
+    afterwards, null for a removed one. mirror and source: (metric, hash), one row a metric; revisions: metric."""
+    both = mirror.select("metric", F.col("hash").alias("old"), F.lit(True).alias("had")).join(source.select("metric", F.col("hash").alias("new"), F.lit(True).alias("has")), "metric", "full")
+    used = revisions.select("metric").distinct().withColumn("used", F.lit(True))
+    action = F.when(F.col("had").isNull(), "added").when(F.col("has") & F.col("old").eqNullSafe(F.col("new")), "unchanged").when(F.col("has"), "changed").when(F.col("used"), "blocked").otherwise("removed")
+    out = both.join(used, "metric", "left").withColumn("action", action)
+    return out.select("metric", "action", F.when(F.col("action") == "blocked", F.col("old")).otherwise(F.col("new")).alias("hash"))
+
+
+class BlockedRemoval(Exception):
+    """A metric that revisions name cannot be removed."""
+
+
+def synced_mirror(actions: DataFrame) -> DataFrame:
+    """The mirror (metric, hash) after a sync, of the actions of sync_metrics. One blocked metric refuses the whole sync: BlockedRemoval, naming up to 20 of them."""
+    if blocked := actions.where("action = 'blocked'").select("metric").orderBy("metric").limit(20).collect():
+        raise BlockedRemoval(", ".join(r.metric for r in blocked))
+    return actions.where("action <> 'removed'").select("metric", "hash")

@@ -176,6 +176,16 @@ from b_filing""",
 select filing_id as bundle_id, accession, case when filing_id % 13 = 0 then '0000000000' else cik end as cik, case when filing_id % 17 = 0 then '8-K' else form end as form, case when filing_id % 19 = 0 then null else filing_date end as filed,
   case when filing_id % 23 = 0 then 'v0' else 'v1' end as policy
 from b_filing where filing_id % 29 <> 0""",
+    # what an extraction stored of a filing, and what its receipt states of it: some of other inputs, versions, forms or times, some with settings lost
+    "b_receipt": """
+select f.filing_id, f.accession, f.cik, f.form, f.filing_date, f.accepted_at, case when f.filing_id % 11 = 0 then concat(f.accession, 'x') else f.accession end as input_accession, case when f.filing_id % 13 = 0 then 'e0' else 'e1' end as extractor,
+  case when f.filing_id % 17 = 0 then 'v8' else 'v9' end as engine, case when f.filing_id % 43 = 0 then null when f.filing_id % 47 = 0 then 2 when f.filing_id % 53 = 0 then 0 else 1 end as n_inputs, case when f.filing_id % 19 = 0 then '8-K' else f.form end as receipt_form, f.filing_id % 23 = 0 as other_time, f.filing_id % 29 = 0 as setting_lost,
+  f.filing_id % 31 = 0 as other_digest, f.filing_id % 37 = 0 as other_key, f.filing_id % 41 = 0 as cut_off, f.filing_id % 59 = 0 as no_filing
+from b_filing f""",
+    # metrics as a source and its mirror have them, and revisions that name some
+    "b_metric_source": "select concat('m', cast(p_partkey as string)) as metric, p_name as hash from part where p_partkey % 7 <> 0",
+    "b_metric_mirror": "select concat('m', cast(p_partkey as string)) as metric, case when p_partkey % 5 = 0 then p_brand else p_name end as hash from part where p_partkey % 11 <> 0",
+    "b_metric_use": "select concat('m', cast(l_partkey as string)) as metric from lineitem where l_partkey % 3 = 0",
     "b_binding": "select accession, concat('u:', path) as uri, path, digest, case when fact_id % 10 = 0 then 'u:all' when fact_id % 19 = 0 then concat('u:', path) end as alias from b_bundle_file",
     "b_submitted": """
 select f.accession, concat('d', cast(l.fact_id % 1000 * 7 % 10 as string), cast(l_suppkey as string), '.htm') as path, case l_linenumber when 2 then 'Ex-Filing Fees' when 3 then 'EX-101.INS' when 5 then null else f.form end as doc_type,
