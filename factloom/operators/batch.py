@@ -84,7 +84,7 @@ def receipt_checks(rows: DataFrame, settings: tuple[str, ...]) -> DataFrame:
     report_key (recomputed), extractor_version, engine_version, no_manifest_inputs, not_once (the input stands in the manifest not once), no_manifest_filing, filing (identity, filing date, or time of acceptance as an instant).
 
     rows: report_key, accession, cik, form, filed (date), accepted_at (timestamp), report_input (accession, inputs, kind), extractor_version, engine_version, receipt (JSON). Inputs are compared in any order; settings' values are taken as texts."""
-    r = rows.withColumn("_r", F.from_json("receipt", RECEIPT))
+    r = rows.withColumn("_r", F.explode(F.array(F.from_json("receipt", RECEIPT))))  # a row each; a plain column would be parsed anew for every rule
     plain = lambda i: F.struct(i["accession"].alias("a"), F.sort_array(i["inputs"]).alias("i"), i["kind"].alias("k"))
     of, manifest, config = F.col("_r.report_input"), F.col("_r.manifest"), F.col("_r.semantic_config")
     same = lambda a, b: a.eqNullSafe(b)
