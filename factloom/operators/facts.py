@@ -242,3 +242,14 @@ def period_anchors(filing: DataFrame, periods: DataFrame) -> DataFrame:
     ok = periods.where("period_status = 'ok'").join(filing.select("accession", "cik"), "accession")
     one = F.count_distinct(F.struct("year_focus", "period_focus")) == 1
     return ok.groupBy("cik", "period_end").agg(*[F.when(one, F.min(c)).otherwise("unknown").alias(c) for c in ("year_focus", "period_focus")])
+
+
+def fact_context_join(facts: DataFrame, filing: DataFrame, contexts: DataFrame, documents: DataFrame) -> DataFrame:
+    """Every occurrence of each concept: fact_id, concept, accession, cik, report_period_end, value and unit, its context's period, and the path of its document, null where it has none. Facts without their filing or context are left out.
+
+    facts: with document_id; filing(accession, cik, report_period_end); contexts: b_context's columns; documents(document_id, path), one row an id."""
+    period = contexts.select("context_id", "period_kind", "instant_lexical", "start_lexical", "end_lexical")
+    rows = facts.join(filing.select("accession", "cik", "report_period_end"), "accession").join(period, "context_id").join(documents.select("document_id", F.col("path").alias("document")), "document_id", "left")
+    return rows.select(
+        "fact_id", S.clark_name(F.col("namespace_uri"), F.col("local_name")).alias("concept"), "accession", "cik", "report_period_end", "resolved_numeric", "is_nil", "unit_id", "context_id", "period_kind", "instant_lexical", "start_lexical", "end_lexical", "document"
+    )

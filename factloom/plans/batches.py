@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.functions import scalars as S
 from factloom.operators import audits as ax
 from factloom.operators import batch as bx
+from factloom.operators import facts as fx
 from factloom.operators import integrity as ix
 from factloom.operators import ledger as lx
 from factloom.plans.catalogue import Model, _sql
@@ -81,7 +82,15 @@ def acceptance_job(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
     return gates
 
 
+def _occurrences(m: Model) -> DataFrame:
+    """A fact's document is the file of its line that states a type."""
+    filing = m.filing.select("accession", "cik", F.concat(F.col("fiscal_year").cast("string"), F.lit("-12-31")).alias("report_period_end"))
+    documents = m.file.where("doc_type is not null").select(F.col("fact_id").alias("document_id"), "path")
+    return fx.fact_context_join(m.shared().fact.withColumn("document_id", F.col("fact_id")), filing, m.context, documents)
+
+
 Q = {
+    "fact_context_join_full": _occurrences,
     "batch_extract": lambda m: _outcomes(m).select("accession", "success", *bx.COUNTS, "failure_class"),
     "receipt_checks": lambda m: bx.receipt_checks(_receipts(m), SETTINGS).select("accession", "code"),
     "sync_metrics": lambda m: lx.sync_metrics(m.metric_mirror, m.metric_source, m.metric_use),
@@ -106,6 +115,10 @@ ai as (
 _OF = ("b_filing", "b_fact", "b_fact_wide", "b_file", "b_bundle_file")
 
 ORACLES = {
+    "fact_context_join_full": _sql(
+        ("b_fact", "b_filing", "b_context", "b_file"), """select f.fact_id, '{' || f.namespace_uri || '}' || f.local_name concept, f.accession, b.cik, b.fiscal_year::varchar || '-12-31' report_period_end, f.resolved_numeric, f.is_nil, f.unit_id, f.context_id, c.period_kind, c.instant_lexical, c.start_lexical,
+          c.end_lexical, d.path "document" from b_fact f join b_filing b on b.accession = f.accession join b_context c on c.context_id = f.context_id left join (select fact_id, path from b_file where doc_type is not null) d on d.fact_id = f.fact_id""",
+    ),
     "batch_extract": _sql(
         ("b_filing", "b_fact", "b_declared", "b_arc"), """select accession, w is null success, case when w is null then coalesce(a, 0) end fact_count, case when w is null then coalesce(b, 0) end declaration_count, case when w is null then coalesce(c, 0) end relationship_count, w failure_class
           from (select accession, case when filing_id % 17 = 0 then 'NoContent' when filing_id % 13 = 0 then 'ExpatError' end w from b_filing) left join (select accession, count(*) a from b_fact group by 1) using (accession)
