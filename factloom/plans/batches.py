@@ -65,7 +65,7 @@ def _issues(m: Model) -> DataFrame:
     raw, stored = m.fact_wide, m.fact
     inventory = ax.inventory_equality(m.file, m.bundle_file, ["accession", "fact_id"], ["digest"])
     counts = m.filing.select("accession").join(stored.groupBy("accession").agg(F.count("*").alias("n")), "accession", "left").select("accession", F.coalesce("n", F.lit(0)).alias("n_facts"))
-    return bx.acceptance_issues(outcomes, ix.fact_completeness(m.filing, raw, stored).select("accession"), inventory, _state(raw), _state(stored), counts, LEAST)
+    return bx.acceptance_issues(outcomes, ix.fact_completeness(m.filing, raw, stored).select("accession"), inventory, _state(raw), _state(stored), counts, LEAST, each=True)
 
 
 def _corpus(m: Model) -> DataFrame:
