@@ -37,6 +37,11 @@ FIRST_PART_ORDER = ("1", "2", "3", "4")
 NOT_FOUND, AMBIGUOUS, CONTENTS_ONLY, UNRESOLVED = "SECTION_NOT_FOUND", "SECTION_AMBIGUOUS", "TOC_ONLY_SECTION_MATCH", "SECTION_BOUNDARY_UNRESOLVED"
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """A table with rows for every document, joined by its sorted keys. Its files are so small against its rows that Spark, which goes by files, would send it whole to the driver and to all executors."""
+    return df.hint("merge")
+
+
 def boundaries(family: str) -> list[tuple[int, str]]:
     """(part, item) in the order of the form."""
     return [(part, item) for part, items in ORDER[family].items() for item in items.split()]
@@ -57,7 +62,7 @@ def markers(blocks: DataFrame) -> DataFrame:
 
     blocks: doc_id, ordinal, text, heading_level, is_bold, has_anchor, internal_links, link_chars, total_chars. Blank and null texts mark nothing."""
     n = blocks.groupBy("doc_id").agg(F.count("*").alias("blocks"))
-    b = blocks.withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", "")).where("text <> ''").join(n, "doc_id")
+    b = blocks.withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", "")).where("text <> ''").join(_merged(n), "doc_id")
     count = lambda c, x: F.when(c, x).otherwise(0)
     heavy = F.coalesce((F.col("internal_links") >= 1) & (F.col("total_chars") > 0) & (F.col("link_chars") * 2 >= F.col("total_chars")), F.lit(False))
     bold, anchor = F.coalesce("is_bold", F.lit(False)), F.coalesce("has_anchor", F.lit(False))
@@ -93,9 +98,9 @@ def contents_marks(blocks: DataFrame, marks: DataFrame) -> DataFrame:
     listed = both.where(~F.col("head") & F.col("reached") & entry).select("doc_id", "ordinal").distinct()
     spans = sx.toc_spans(blocks, sx.toc_clusters(listed), heads)
     others = marks.where("kind <> 'item'").select("doc_id", "ordinal").distinct()
-    inside = others.join(spans.withColumnRenamed("doc_id", "of_doc"), (F.col("doc_id") == F.col("of_doc")) & F.col("ordinal").between(F.col("first"), F.col("last")), "left_semi")
+    inside = others.join(_merged(spans.withColumnRenamed("doc_id", "of_doc")), (F.col("doc_id") == F.col("of_doc")) & F.col("ordinal").between(F.col("first"), F.col("last")), "left_semi")
     flagged = listed.unionByName(inside).distinct().withColumn("contents", F.lit(True))
-    out = marks.join(flagged, ["doc_id", "ordinal"], "left").withColumn("contents", F.coalesce("contents", F.lit(False)))
+    out = marks.join(_merged(flagged), ["doc_id", "ordinal"], "left").withColumn("contents", F.coalesce("contents", F.lit(False)))
     return out.withColumn("score", F.col("score") - F.when(F.col("contents"), CONTENTS_PENALTY).otherwise(0)).drop("heavy", "suffix", "strong")
 
 
@@ -177,7 +182,7 @@ def part_cutoffs(items: DataFrame, parts: DataFrame) -> DataFrame:
     that it does not have, or one before an item seen already) or that lies at or after the earliest place where the second part may begin.
     parts(doc_id, part_1, part_2, part_2_ambiguous, part_2_earliest); documents without a row there have nothing settled."""
     rank = F.try_element_at(_lookup({t: i for i, t in enumerate(FIRST_PART_ORDER)}), F.col("token"))
-    j = items.join(parts, "doc_id", "left").withColumn("open", F.col("part_1").isNotNull() & F.col("part_2").isNull() & (F.col("ordinal") >= F.col("part_1")))
+    j = items.join(_merged(parts), "doc_id", "left").withColumn("open", F.col("part_1").isNotNull() & F.col("part_2").isNull() & (F.col("ordinal") >= F.col("part_1")))
     w = Window.partitionBy("doc_id").orderBy("ordinal", "place")
     seen = F.max(F.when(F.col("open"), rank)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     late = F.col("part_2_ambiguous") & (F.col("ordinal") >= F.col("part_2_earliest"))
@@ -191,7 +196,7 @@ def closing_markers(marks: DataFrame, after: DataFrame) -> DataFrame:
     """doc_id, terminal, candidates: the best scored closing marker of the body after the last settled boundary, the earlier of equal ones; null with both candidates if the second best is within the gap.
 
     Markers under the baseline count only where a document has no other. after(doc_id, last)."""
-    t = marks.where("kind = 'terminal' and not contents").join(after, "doc_id", "left").where("last is null or ordinal > last").withColumn("weak", F.col("score") <= sx.BASELINE)
+    t = marks.where("kind = 'terminal' and not contents").join(_merged(after), "doc_id", "left").where("last is null or ordinal > last").withColumn("weak", F.col("score") <= sx.BASELINE)
     ranked = t.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy("weak", F.desc("score"), "ordinal"))).where("rank <= 2")
     of = lambda r, c: F.max(F.when(F.col("rank") == r, F.col(c)))
     close = F.coalesce((of(1, "weak") == of(2, "weak")) & (of(1, "score") - of(2, "score") <= sx.GAP), F.lit(False))
@@ -212,7 +217,7 @@ def section_outcomes(blocks: DataFrame, forms: DataFrame) -> DataFrame:
     ambiguous, part unresolved, in the contents alone, not found (amendments may leave it out and have no row then). Its end is the next settled boundary or the closing marker, whichever comes first,
     and unresolved if a later boundary of the form has a shared block, an ambiguous candidate or an unresolved item before it."""
     forms = forms.select(F.col("doc_id").cast("long").alias("doc_id"), "form", F.try_element_at(_lookup(FAMILIES), F.upper(F.trim("form"))).alias("family")).where("family is not null")
-    marks = written(contents_marks(blocks, written(markers(blocks), "section-markers")).join(forms.select("doc_id", "family"), "doc_id"), "section-marks")
+    marks = written(contents_marks(blocks, written(markers(blocks), "section-markers")).join(_merged(forms.select("doc_id", "family")), "doc_id"), "section-marks")
     items = marks.where("kind = 'item'").select("doc_id", "family", "ordinal", "score", "contents", F.posexplode("tokens").alias("place", "token"))
     quarterly = part_cutoffs(items.where("family = 'quarterly'"), quarterly_parts(marks.where("family = 'quarterly'")))
     default = _lookup({i: p for p, i in boundaries("annual")})
@@ -221,7 +226,7 @@ def section_outcomes(blocks: DataFrame, forms: DataFrame) -> DataFrame:
     placed = items.where("part is not null").withColumn("boundary", _boundary(F.col("family"), F.col("part"), F.col("token"))).where("boundary is not null")
     body = placed.where("not contents").select("doc_id", "boundary", "ordinal", "score")
     shared = body.withColumn("keys", F.size(F.collect_set("boundary").over(Window.partitionBy("doc_id", "ordinal")))).where("keys > 1").select("doc_id", "boundary", "ordinal").distinct()
-    free = body.where(f"score > {sx.BASELINE}").join(shared, ["doc_id", "boundary"], "left_anti")
+    free = body.where(f"score > {sx.BASELINE}").join(_merged(shared), ["doc_id", "boundary"], "left_anti")
     settled = written(sequence_choice(free.select("doc_id", "boundary", "ordinal", (F.col("score") - sx.BASELINE).alias("gain")), max(len(boundaries(f)) for f in ORDER)), "section-sequence")
     unresolved = items.where("family = 'quarterly' and part is null").withColumn("part", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("boundary", _boundary(F.col("family"), F.col("part"), F.col("token"))).where("boundary is not null").select("doc_id", "boundary", "ordinal").distinct()
     starts = settled.where("ordinal is not null").select("doc_id", "boundary", F.col("ordinal").alias("start"))
@@ -236,21 +241,21 @@ def section_outcomes(blocks: DataFrame, forms: DataFrame) -> DataFrame:
     in_body = body.select("doc_id", "boundary", F.lit(True).alias("in_body")).distinct()
     score = free.groupBy("doc_id", "boundary", F.col("ordinal").alias("start")).agg(F.max("score").alias("score"))
     mine = blockers.groupBy("doc_id", "boundary").agg(F.min(F.struct("kind", "at")).alias("b")).select("doc_id", "boundary", "b.kind", "b.at")
-    rows = _published(forms).join(starts, ["doc_id", "boundary"], "left").join(score, ["doc_id", "boundary", "start"], "left").join(mine, ["doc_id", "boundary"], "left")
-    rows = rows.join(in_contents, ["doc_id", "token"], "left").join(in_body, ["doc_id", "boundary"], "left")
+    rows = _published(forms).join(_merged(starts), ["doc_id", "boundary"], "left").join(_merged(score), ["doc_id", "boundary", "start"], "left").join(_merged(mine), ["doc_id", "boundary"], "left")
+    rows = rows.join(_merged(in_contents), ["doc_id", "token"], "left").join(_merged(in_body), ["doc_id", "boundary"], "left")
 
     later = starts.select(F.col("doc_id").alias("of_doc"), F.col("start").alias("next"))
-    follow = rows.where("start is not null").select("doc_id", "boundary", "start").join(later, (F.col("doc_id") == F.col("of_doc")) & (F.col("next") > F.col("start")), "left").groupBy("doc_id", "boundary", "start").agg(F.min("next").alias("next"))
-    follow = follow.join(closing.select("doc_id", "terminal"), "doc_id", "left").withColumn("terminal", F.when(F.col("terminal") > F.col("start"), F.col("terminal"))).withColumn("limit", F.coalesce("next", "terminal"))
+    follow = rows.where("start is not null").select("doc_id", "boundary", "start").join(_merged(later), (F.col("doc_id") == F.col("of_doc")) & (F.col("next") > F.col("start")), "left").groupBy("doc_id", "boundary", "start").agg(F.min("next").alias("next"))
+    follow = follow.join(_merged(closing.select("doc_id", "terminal")), "doc_id", "left").withColumn("terminal", F.when(F.col("terminal") > F.col("start"), F.col("terminal"))).withColumn("limit", F.coalesce("next", "terminal"))
     theirs = blockers.select(F.col("doc_id").alias("of_doc"), F.col("boundary").alias("other"), F.col("kind").alias("end_kind"), "at")
-    met = follow.join(theirs, (F.col("doc_id") == F.col("of_doc")) & (F.col("other") > F.col("boundary")))
+    met = follow.join(_merged(theirs), (F.col("doc_id") == F.col("of_doc")) & (F.col("other") > F.col("boundary")))
     met = met.withColumn("inside", F.filter("at", lambda o: (o > F.col("start")) & (F.col("limit").isNull() | (o < F.col("limit"))))).where("size(inside) > 0")
     # the first kind; of ambiguous ones the first boundary's ordinals, of others the first ordinal
     order = F.struct("end_kind", F.when(F.col("end_kind") == 2, F.col("other")).otherwise(F.col("inside")[0]).alias("first"), F.when(F.col("end_kind") == 2, F.col("inside")).otherwise(F.slice("inside", 1, 1)).alias("inside"))
     met = met.groupBy("doc_id", "boundary").agg(F.min(order).alias("m")).select("doc_id", "boundary", "m.end_kind", "m.inside")
-    ends = follow.join(met, ["doc_id", "boundary"], "left").select("doc_id", "boundary", "end_kind", "inside", F.when(F.col("end_kind").isNull(), F.least("next", "terminal")).alias("end"))
+    ends = follow.join(_merged(met), ["doc_id", "boundary"], "left").select("doc_id", "boundary", "end_kind", "inside", F.when(F.col("end_kind").isNull(), F.least("next", "terminal")).alias("end"))
 
-    rows = rows.join(ends, ["doc_id", "boundary"], "left")
+    rows = rows.join(_merged(ends), ["doc_id", "boundary"], "left")
     reason = lambda kind: F.when(kind == 1, "same_ordinal_collapse").when(kind == 3, "part_context_unresolved")
     found, only_listed = F.col("start").isNotNull(), F.col("listed").isNotNull() & F.col("in_body").isNull()
     code = (
@@ -286,5 +291,5 @@ def document_projection(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     eligible = documents.where(F.lower("path").rlike(r"\.html?$"))
     blocks = written(hx.html_blocks(eligible.select("doc_id", "html")), "document-blocks")
     primary = eligible.where("is_primary").select(F.col("doc_id").cast("long").alias("doc_id"), "form")
-    own = blocks.join(primary.select("doc_id"), "doc_id", "left_semi").withColumn("has_anchor", F.col("anchor_id").isNotNull())
+    own = blocks.join(_merged(primary.select("doc_id")), "doc_id", "left_semi").withColumn("has_anchor", F.col("anchor_id").isNotNull())
     return blocks, section_outcomes(own, primary)

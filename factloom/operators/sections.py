@@ -64,7 +64,7 @@ def toc_spans(blocks: DataFrame, clusters: DataFrame, headings: DataFrame | None
     """doc_id, cluster, first, last: a cluster's range, pulled back to the nearest contents heading within 15 blocks before it. headings(doc_id, ordinal): these instead of the blocks that are one by themselves."""
     span = clusters.groupBy("doc_id", "cluster").agg(F.min("ordinal").alias("low"), F.max("ordinal").alias("last"))
     heads = (blocks.where(F.trim("text").rlike(CONTENTS)) if headings is None else headings).select(F.col("doc_id").alias("of_doc"), F.col("ordinal").alias("head"))
-    both = span.join(heads, (F.col("doc_id") == F.col("of_doc")) & F.col("head").between(F.col("low") - HEADING_REACH, F.col("low")), "left")
+    both = span.join(heads.hint("merge"), (F.col("doc_id") == F.col("of_doc")) & F.col("head").between(F.col("low") - HEADING_REACH, F.col("low")), "left")
     return both.groupBy("doc_id", "cluster", "last").agg(F.min(F.coalesce("head", "low")).alias("any"), F.max("head").alias("nearest"), F.min("low").alias("low")).select("doc_id", "cluster", F.coalesce("nearest", "low").alias("first"), "last")
 
 
