@@ -69,8 +69,19 @@ def claimed_facts(heads: DataFrame, facts: DataFrame) -> DataFrame:
     claims = written(heads.where("mapping_id = claim").drop("mapping_id"), "ledger-distinct-claims")
     keyed = facts.withColumn("issuer", F.explode(F.array(F.lit("*"), F.concat(F.lit("="), "cik"))))
     inside = S.interval_contains(F.col("valid_from"), F.col("valid_to"), F.col("period"))
-    scope = (F.col("scope_kind") == "global") | (F.col("issuer_cik") == F.col("cik"))
-    return facts.join(heads.select(F.col("id").alias("mapping_id"), "concept", "scope_kind", "issuer_cik", "valid_from", "valid_to"), "concept").where(inside & scope).select("mapping_id", "fact_id", "accession", "cik")
+    return keyed.join(claims, ["concept", "issuer"]).where(inside).select("claim", "fact_id", "accession", "cik")
+
+
+def summary_by_head(heads: DataFrame, facts: DataFrame, shown: int = 25) -> DataFrame:
+    """affected_summary of the heads, summed once a claim, so that neither heads nor facts are paired."""
+    by_claim = affected_summary(claimed_facts(heads, facts).withColumnRenamed("claim", "mapping_id"), shown).withColumnRenamed("mapping_id", "claim")
+    return heads.select("mapping_id", "claim").join(by_claim, "claim").drop("claim")
+
+
+def top_by_head(heads: DataFrame, facts: DataFrame, n: int = 25) -> DataFrame:
+    """mapping_id, fact_id, rank: top_facts of the heads, ranked once a claim."""
+    top = written(top_facts(claimed_facts(heads, facts).withColumnRenamed("claim", "mapping_id"), n).select(F.col("mapping_id").alias("claim"), "fact_id", "rank"), "ledger-top")
+    return heads.select("mapping_id", "claim").join(top, "claim").select("mapping_id", "fact_id", "rank")
 
 
 def affected_summary(affected: DataFrame, shown: int = 25) -> DataFrame:
@@ -203,7 +214,7 @@ def apply_rejections(revisions: DataFrame, reviews: DataFrame) -> DataFrame:
 def mapping_report(revisions: DataFrame, facts: DataFrame, metrics: DataFrame, mirror: DataFrame) -> DataFrame:
     """A row per head: concept, metric, whether its metric changed since or is out of step with the mirror, its history and what it touches. metrics and mirror: (metric, hash)."""
     heads = current_heads(revisions).select(F.col("id").alias("head"), "concept", "metric", "status")
-    touched = affected_summary(affected_facts(revisions, facts)).withColumnRenamed("mapping_id", "head")
+    touched = summary_by_head(claimed_heads(revisions), facts).withColumnRenamed("mapping_id", "head")
     out = heads.join(metrics.select("metric", F.col("hash").alias("now")), "metric", "left").join(mirror.select("metric", F.col("hash").alias("then")), "metric", "left")
     out = out.join(mapping_history(revisions).drop("root"), "head", "left").join(touched, "head", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
