@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from factloom.operators import contracts, ledger
+from factloom.operators import audits, contracts, corpus, ledger
 from factloom.operators import filing_sections as fs
 from factloom.sources import staging
 
@@ -52,3 +52,19 @@ def test_a_cycle_takes_no_more_rounds_than_its_document_needs(spark, monkeypatch
     out = contracts.continuation_check(spark.createDataFrame(rows, "doc string, node long, next long"), spark.createDataFrame(roots, "doc string, root long, start long"))
     assert {tuple(r)[1:] for r in out.collect()} == {(4, "cycle")} and out.count() == 200
     assert sizes == [1200, 1000, 800, 400]  # none is open but the cycles after three rounds
+
+
+def test_differences_count_both_sides_in_one_pass(spark):
+    t = lambda rows: spark.createDataFrame(rows, "k string, v int")
+    out = audits.symmetric_difference(t([("a", 1), ("a", 1), ("a", 1), ("b", None), ("c", 2)]), t([("a", 1), ("b", None), ("d", None), ("d", None)]))
+    assert sorted(tuple(r) for r in out.select("k", "side").collect()) == [("a", "left"), ("a", "left"), ("c", "left"), ("d", "right"), ("d", "right")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+
+
+def test_rows_that_amend_nothing_do_not_meet_in_a_join(spark):
+    members = spark.createDataFrame([(1, "a", "1", "10-K", None, "r1", None, "v"), (2, "b", "1", "10-K/A", None, "r2", "a", "v"), (3, "c", "1", "10-K/A", None, "r3", "x", "v")], "bundle_id long, accession string, cik string, form string, filed date, role string, amends string, policy string")
+    bundles = members.drop("role", "amends")
+    out = corpus.corpus_checks(members, bundles)
+    assert [tuple(r) for r in out.collect()] == [("c", "AMENDS_UNKNOWN")]
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line and "amends" in line]
+    assert len(joins) == 1 and "LeftAnti" in joins[0]
