@@ -12,7 +12,7 @@ from factloom.plans.catalogue import _FRAME, _IDENT, _OPERAND, _SLOT, Model, _sq
 from factloom.plans.further import APPLICABLE
 from factloom.plans.more import _OBSERVED, _POINTS, LABELS, OBSERVED_ONCE, eligible_values, payloads
 from factloom.sources import sinks
-from factloom.sources.staging import written
+from factloom.sources.staging import written, written_by
 
 
 class QualityFault(Exception):
@@ -25,12 +25,12 @@ class Report:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.model = m = Model(spark, sf_dir)
         self.observations = m.written_observations()
-        self.frame = written(m.frame(True), "report-frame")
+        self.frame = written_by(m.frame(True), "report-frame", "accession")
         #: Every ninth issuer's document is cut off, so that its values cannot be held against anything.
-        self.payloads = payloads(m).withColumn("json", F.when(F.col("cik").cast("long") % 9 == 0, F.substring("json", 1, 20)).otherwise(F.col("json")))
+        self.payloads = written(payloads(m).withColumn("json", F.when(F.col("cik").cast("long") % 9 == 0, F.substring("json", 1, 20)).otherwise(F.col("json"))), "report-payloads")
         points = ex.companyfacts_points(self.payloads)
         covered = self.payloads.where(F.get_json_object("json", "$.facts").isNotNull()).select("cik")
-        self.comparisons = written(ex.oracle_comparisons(self.observations, eligible_values(m), points, covered), "report-comparisons")
+        self.comparisons = written_by(ex.oracle_comparisons(self.observations, eligible_values(m), points, covered), "report-comparisons", "accession")
         self.applicable = cx.decision_applicable_slots(self.frame, m.decision, m.declared)
 
     def slots(self) -> DataFrame:
