@@ -85,8 +85,8 @@ def acceptance_job(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
 def _occurrences(m: Model) -> DataFrame:
     """A fact's document is the file of its line that states a type."""
     filing = m.filing.select("accession", "cik", F.concat(F.col("fiscal_year").cast("string"), F.lit("-12-31")).alias("report_period_end"))
-    documents = m.file.where("doc_type is not null").select(F.col("fact_id").alias("document_id"), "path")
-    return fx.fact_context_join(m.shared().fact.withColumn("document_id", F.col("fact_id")), filing, m.context, documents)
+    documents = m.file.where("doc_type is not null").select("accession", F.col("fact_id").alias("document_id"), "path")
+    return fx.fact_context_join(m.shared().fact.withColumn("document_id", F.col("fact_id")), filing, m.context, documents, own=("accession",))
 
 
 Q = {
