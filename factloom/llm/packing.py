@@ -17,7 +17,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,13 +25,16 @@ from .common import frugal, read, staged, text_batches
 
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks between white space, and words, whose ids a task keeps; a full table starts anew. A worker that kept them from task to task took more memory and no less time.
-CACHE_CHUNKS, CACHE_WORDS = 200_000, 150_000
-#: Chunks that are encoded at once, parted by the end-of-text string.
-AT_ONCE, PART = 2000, "<|endoftext|>"
-#: The vocabulary's rule for words, and the characters whose lower case and composed form are the same by any Unicode version.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
-PLAIN_CHUNK = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]*")
+#: Chunks between white space, and words, whose ids a task's table takes before it becomes the older one, which is kept too: some 100 MB at most. A job whose workers hold much
+#: else takes small tables, which cost time alone. A worker that kept them from task to task took more memory and no less time.
+TABLE_CHUNKS, SMALL_TABLE_CHUNKS = 400_000, 60_000
+#: Texts whose chunks are held at once; chunks that are encoded at once, parted by the end-of-text string.
+TEXTS_AT_ONCE, AT_ONCE, PART = 64, 2000, "<|endoftext|>"
+#: The characters whose lower case and composed form are the same by any Unicode version, lines of them, the letters and numbers among them, and the vocabulary's rule for words of them.
+PLAIN = "!-~\u00a1-\u012f\u0131-\u017f"
+PLAIN_LINES = re.compile(f"^[{PLAIN}]*+$", re.MULTILINE)
+LETTERS, NUMBERS = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+WORDS = re.compile(f"[{LETTERS}]+|\n|[{NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{LETTERS}{NUMBERS}\n]+")
 SPECIAL = "<|"
 #: Parts chunks among ids, of which none is so large.
 CUT = b"\xff" * 4
@@ -51,45 +53,62 @@ class ChunkTokenizer:
 
     The vocabulary's pre-tokenizer drops white space, and no token, composed character or special string reaches across it, so a
     text's ids are its chunks' ids in order; each chunk is encoded once. Only spaces, tabs and line ends part chunks. A chunk of Latin letters and
-    signs is parted into words here, which go to the vocabulary's merges one by one; all others take the library's whole way.
+    signs is parted into words here, which go to the vocabulary's merges one by one; all others take the library's whole way. A word is its own chunk, so
+    chunks and words share a table; from the older one entries come back when asked for.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, table_chunks: int = TABLE_CHUNKS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.part_id = self.tokenizer.token_to_id(PART)
+        self.most = table_chunks
         self.ids: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.four = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        return [ids for at in range(0, len(texts), TEXTS_AT_ONCE) for ids in self._encode_few(texts[at : at + TEXTS_AT_ONCE])]
+
+    def _encode_few(self, texts: list[str | None]) -> list[bytes]:
         parts = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") if t else [] for t in texts]
-        if len(self.ids) > CACHE_CHUNKS:
-            self.ids.clear()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if fresh := set().union(*parts).difference(self.ids):
-            plain = [c for c in fresh if PLAIN_CHUNK.fullmatch(c) and SPECIAL not in c]
-            if plain:
-                self.ids.update(zip(plain, self._plain(plain), strict=True))
-            rest = sorted(fresh.difference(plain))
+        if len(self.ids) > self.most:
+            self.older, self.ids = self.ids, {}
+        known = [list(map(self.ids.get, p)) for p in parts]
+        if fresh := self._older({c for p, k in zip(parts, known, strict=True) if None in k for c, ids in zip(p, k, strict=True) if ids is None}):
+            words = {c for c in fresh if c.isascii() and c.isalpha() and c.islower()}
+            others = list(fresh.difference(words))
+            joined = "\n".join(others)
+            plain = PLAIN_LINES.findall(joined) if others else []
+            if SPECIAL in joined:
+                plain = [c for c in plain if SPECIAL not in c]
+            self._learn(words, plain)
+            rest = sorted(set(others).difference(plain))
             odd = [c for c in rest if PART in c]
             rest = [c for c in rest if PART not in c]
             for group in [[c] for c in odd] + [rest[i : i + AT_ONCE] for i in range(0, len(rest), AT_ONCE)]:
                 self.ids.update(zip(group, self._encoded(group), strict=True))
         get = self.ids.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
-
-    def _plain(self, chunks: list[str]) -> list[bytes]:
-        words, found = self.words, WORDS.findall("\n".join(chunks).lower())
-        tokenize, letters, four = self.model.tokenize, self.letters, self.four
-        for w in set(found).difference(words):
-            words[w] = b"".join([four[t.id] for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(letters))])
-        words["\n"] = CUT
-        return b"".join(map(words.__getitem__, found)).split(CUT)
+        return [b"".join([get(c) if ids is None else ids for c, ids in zip(p, k, strict=True)] if None in k else k) for p, k in zip(parts, known, strict=True)]
+
+    def _older(self, chunks: set[str]) -> set[str]:
+        """Those of chunks, which the table has not, that the older one has not either; that one's are brought back."""
+        back = chunks & self.older.keys()
+        self.ids.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        return chunks - back if back else chunks
+
+    def _learn(self, words: set[str], chunks: list[str]) -> None:
+        """words: chunks that are words as they are; chunks: of plain characters."""
+        found = WORDS.findall("\n".join(chunks).lower())
+        ids, tokenize, letters, four = self.ids, self.model.tokenize, self.letters, self.four
+        for w in words | self._older(set(found).difference(ids, "\n")):
+            ids[w] = b"".join([four[t.id] for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(letters))])
+        if chunks:
+            ids["\n"] = CUT
+            ids.update(zip(chunks, b"".join(map(ids.__getitem__, found)).split(CUT), strict=True))
+            del ids["\n"]
 
     def _encoded(self, chunks: list[str]) -> list[bytes]:
         ids = np.array(self.tokenizer.encode_batch_fast([PART.join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -99,14 +118,14 @@ class ChunkTokenizer:
         return [ids[a:b].tobytes() for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True)]
 
 
-def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, table_chunks: int = TABLE_CHUNKS) -> DataFrame:
     """docs(doc_id, text) -> a row per piece, with its task's number and its rank among the task's pieces of its length."""
     text_batches(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder, task, seen = ChunkTokenizer(tokenizer_path), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
+        coder, task, seen = ChunkTokenizer(tokenizer_path, table_chunks), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for b in batches:
             rows = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), coder.encode(b.column("text").to_pylist()), strict=True):
@@ -233,14 +252,14 @@ def places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, table_chunks: int = TABLE_CHUNKS) -> DataFrame:
     """docs(doc_id, text) -> doc_id, piece, start, length, ids_crc32, sequence_id, offset; a row per piece.
 
     Null and empty text is the end id alone. Repeated rows and null ids are documents of their own. Empty tables give no rows;
     other columns are left out. Only the histogram of lengths, capacity entries at most, reaches the driver, and only the plan made of it is broadcast.
     """
     spark = docs.sparkSession
-    pieces = staged(tokenized_pieces(docs, tokenizer_path, capacity, end_id), "packing-pieces")
+    pieces = staged(tokenized_pieces(docs, tokenizer_path, capacity, end_id, table_chunks), "packing-pieces")
     by_task = staged(pieces.groupBy("length", "task").agg(F.count("*").alias("n")), "packing-counts")
     counts = {r.length: r.n for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = spark.createDataFrame(places(plan_patterns(counts, capacity)), "length long, first long, end long, sequence long, offset long")
