@@ -14,6 +14,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -107,9 +108,10 @@ class Table(dict):
 
     def missing(self, keys: set) -> set:
         """Those of keys that neither table has; the older one's are brought back."""
-        absent = [k for k in keys if k not in self]
-        self.update({k: self.older[k] for k in absent if k in self.older})
-        return {k for k in absent if k not in self}
+        absent = set(filterfalse(self.__contains__, keys))
+        back = absent & self.older.keys()
+        self.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        return absent - back
 
 
 def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -119,7 +121,7 @@ def _ranges(low: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _gathered(values: tuple[bytes, ...], used: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """The values (of 32-bit words) that are used, joined from each end to the next."""
-    size = np.array([len(v) // 4 for v in values], dtype=np.int64)
+    size = np.fromiter(map(len, values), np.int64, len(values)) // 4
     words = np.frombuffer(b"".join(values), "<u4")
     start, n = size.cumsum() - size, size[used]
     raw = words[_ranges(start[used], n)].tobytes()
@@ -198,7 +200,7 @@ class Whole:
         self.chunks.turn()
         parts = pc.split_pattern(pa.array([t or "" for t in texts], pa.large_string()), " ")
         ends, coded = parts.offsets.to_numpy(), parts.flatten().dictionary_encode()
-        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         self.learn(set(distinct))
         a, b, same = zip(*map(self.chunks.__getitem__, distinct), strict=True)
         faulty = np.logical_not(same)[used]
@@ -270,7 +272,7 @@ class Aligner:
         words[np.arange(len(b)) + np.repeat(place + 1 + to_a, size_b)] = b
         offsets = np.concatenate([[0], 4 * (size_a + size_b + 1).cumsum()])
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(words.tobytes())]).dictionary_encode()
-        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        used, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         fresh = self.known.missing(set(distinct))
         if fresh:
             first = np.zeros(len(distinct), dtype=np.int64)
@@ -294,7 +296,7 @@ class Aligner:
 
     def _counted(self, raw: tuple[bytes, ...], many: tuple, used: np.ndarray, to: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Each document's distinct pairs, and how often they are linked, from those of its windows."""
-        size = np.array([len(r) // 8 for r in raw], dtype=np.int64)
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
         start, n = size.cumsum() - size, size[used]
         pairs = np.frombuffer(b"".join(raw), np.int64)[_ranges(start[used], n)]
         ends = np.concatenate([[0], n.cumsum()])[to].tolist()
