@@ -16,6 +16,8 @@ from factloom.sources import sinks
 from factloom.sources.staging import written
 
 VERSION, SETTINGS, LEAST = "e1", ("cache", "mode"), {"n_facts": 2}
+#: Columns of lines and filings that facts, declarations, arcs and files are made of.
+OF_LINES = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "l_returnflag", "l_linestatus", "local_name", "period_kind", "years_back", "form", "fiscal_year")
 
 
 def _documents(m: Model) -> DataFrame:
@@ -25,15 +27,18 @@ def _documents(m: Model) -> DataFrame:
     facts = m.fact.select("accession", line("<g:", name, ' contextRef="c', F.col("context_id").cast("string"), '">', F.coalesce(F.col("resolved_numeric").cast("string"), F.lit("")), "</g:", name, ">"))
     declared = m.declared.select("accession", line('<d:element name="', name, '"/>'))
     arcs = m.arc.select("accession", line('<g:arc x:type="arc" x:arcrole="', F.col("arcrole"), '"/>'))
-    lines = facts.unionByName(declared).unionByName(arcs).groupBy("accession").agg(F.array_join(F.collect_list("line"), "").alias("body"))
+    rows = m.filing.select("accession", "filing_id")
+    parts = {"facts": facts, "declared": declared, "arcs": arcs}
+    for part, lines in parts.items():  # each lies by accession; their union would be shuffled
+        rows = rows.join(lines.groupBy("accession").agg(F.array_join(F.collect_list("line"), "").alias(part)), "accession", "left")
     head = '<g:xbrl xmlns:g="http://example.org/g" xmlns:d="http://www.w3.org/2001/XMLSchema" xmlns:x="http://www.w3.org/1999/xlink">'
-    whole = F.concat(F.lit(head), F.coalesce("body", F.lit("")), F.lit("</g:xbrl>"))
+    whole = F.concat(F.lit(head), *[F.coalesce(part, F.lit("")) for part in parts], F.lit("</g:xbrl>"))
     content = F.when(F.col("filing_id") % 17 == 0, None).when(F.col("filing_id") % 13 == 0, F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
-    return m.filing.select("accession", "filing_id").join(lines, "accession", "left").select("accession", content.cast("binary").alias("content"))
+    return rows.select("accession", content.cast("binary").alias("content"))
 
 
 def _outcomes(m: Model) -> DataFrame:
-    return bx.batch_extract(_documents(m.shared()), VERSION)
+    return bx.batch_extract(_documents(m.lined(*OF_LINES)), VERSION)
 
 
 def _receipts(m: Model) -> DataFrame:
@@ -61,7 +66,7 @@ def _state(facts: DataFrame) -> DataFrame:
 
 
 def _issues(m: Model) -> DataFrame:
-    outcomes = written(_outcomes(m), "batch-outcomes").select("accession", "success")
+    outcomes = written(_outcomes(m).select("accession", "success"), "batch-outcomes")
     raw, stored = m.fact_wide, m.fact
     inventory = ax.inventory_equality(m.file, m.bundle_file, ["accession", "fact_id"], ["digest"])
     counts = m.filing.select("accession").join(stored.groupBy("accession").agg(F.count("*").alias("n")), "accession", "left").select("accession", F.coalesce("n", F.lit(0)).alias("n_facts"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from factloom.operators import contracts as cx
-from factloom.plans import further
+from factloom.plans import batches, further
 from factloom.plans.catalogue import Model
 from factloom.sources import staging
 from tests.test_filing_shuffles import SF, shuffles
@@ -33,7 +33,15 @@ def test_chains_are_written_by_document(spark, monkeypatch):
     assert not shuffles(out)
 
 
-@pytest.mark.parametrize("name", ["continuation_check"])
+def test_issues_shuffle_filings_alone(spark):
+    """Documents are made of lines that lie by accession: one shuffle of the filings, none of facts, declarations or arcs."""
+    m = Model(spark, SF)
+    issues = batches.Q["acceptance_issues"](m)
+    assert [s for s in shuffles(batches._documents(m)) if not s.startswith("accession#") or "," in s.removesuffix(", 8")] == [] and len(shuffles(batches._documents(m))) <= 1
+    assert not [s for s in shuffles(issues) if any(c in s for c in ("l_orderkey", "fact_id", "context_id", "local_name"))]
+
+
+@pytest.mark.parametrize("name", ["continuation_check", "batch_extract"])
 def test_repeated_accessions_against_sql(spark, folder, name):  # noqa: F811
     held(spark, folder, name)
 
