@@ -22,18 +22,20 @@ def bundle_structure(artifacts: DataFrame, bindings: DataFrame, reports: DataFra
     that several bindings have or that are an address themselves.
 
     artifacts(accession, path, digest), bindings(accession, uri, path, digest, alias), reports(accession, uri), stored(accession, payload_hash)."""
-    rule = lambda df, code, name: df.select("accession", F.lit(code).alias("rule"), F.col(name).cast("string").alias("name"))
-    twice = lambda df, *keys: df.groupBy("accession", *keys).agg(F.count("*").alias("n")).where("n > 1")
+    rule = lambda df, code, name: df.select("accession", code.alias("rule"), F.col(name).cast("string").alias("name"))
+    times = lambda df, key, n: df.groupBy("accession", F.col(key).alias("address")).agg(F.count("*").alias(n))
     again = stored.join(payload_hash(artifacts).withColumnRenamed("payload_hash", "now"), "accession", "left").where(~F.col("now").eqNullSafe(F.col("payload_hash")))
     files = artifacts.select("accession", "path", F.col("digest").alias("held")).distinct()
     bound = bindings.join(files, ["accession", "path"], "left")
     matched = bound.groupBy("accession", "uri", "path", "digest").agg(F.max(F.col("held").eqNullSafe(F.col("digest"))).alias("same"), F.count("held").alias("n_held"))
-    uris = bindings.select("accession", "uri").distinct()
-    aliases = bindings.where("alias is not null").select("accession", "alias", "uri")
+    unlike = F.when(F.col("n_held") == 0, "binding_without_file").when(~F.col("same"), "other_bytes")
+    # an address that is a binding's or an alias is one row with how often it is either; rows of a full join lie nowhere, so reports are met apart
+    addresses = times(bindings, "uri", "n_uri").join(times(bindings.where("alias is not null"), "alias", "n_alias"), ["accession", "address"], "full")
+    found = {"uri_twice": F.col("n_uri") > 1, "alias_twice": F.col("n_alias") > 1, "alias_is_address": F.col("n_alias").isNotNull() & F.col("n_uri").isNotNull()}
     parts = [
-        rule(again, "payload_hash", "payload_hash"), rule(twice(artifacts, "path"), "path_twice", "path"), rule(twice(bindings, "uri"), "uri_twice", "uri"),
-        rule(matched.where("n_held = 0"), "binding_without_file", "uri"), rule(matched.where("n_held > 0 and not same"), "other_bytes", "uri"), rule(twice(aliases, "alias"), "alias_twice", "alias"),
-        rule(aliases.select("accession", F.col("alias").alias("uri")).distinct().join(uris, ["accession", "uri"], "left_semi"), "alias_is_address", "uri"), rule(reports.join(uris, ["accession", "uri"], "left_anti"), "report_unbound", "uri"),
+        rule(again, F.lit("payload_hash"), "payload_hash"), rule(artifacts.groupBy("accession", "path").agg(F.count("*").alias("n")).where("n > 1"), F.lit("path_twice"), "path"), rule(matched.withColumn("rule", unlike).where("rule is not null"), F.col("rule"), "uri").distinct(),
+        rule(addresses.withColumn("rule", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(code)) for code, c in found.items()])))), F.col("rule"), "address"),
+        rule(reports.join(bindings.select("accession", "uri"), ["accession", "uri"], "left_anti"), F.lit("report_unbound"), "uri"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

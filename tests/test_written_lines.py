@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from factloom.operators import contracts as cx
+from factloom.operators import corpus as px
 from factloom.plans import batches, further
 from factloom.plans.catalogue import Model
 from factloom.sources import staging
@@ -41,11 +42,24 @@ def test_issues_shuffle_filings_alone(spark):
     assert not [s for s in shuffles(issues) if any(c in s for c in ("l_orderkey", "fact_id", "context_id", "local_name"))]
 
 
-@pytest.mark.parametrize("name", ["continuation_check", "batch_extract"])
+@pytest.mark.parametrize("name", ["continuation_check", "batch_extract", "bundle_structure"])
 def test_repeated_accessions_against_sql(spark, folder, name):  # noqa: F811
     held(spark, folder, name)
 
 
+def test_bundles_are_not_shuffled(spark):
+    assert not shuffles(further.Q["bundle_structure"](Model(spark, SF)))
+
+
+def test_addresses_of_bundles(spark):
+    """Each report without a binding is a row, also a repeated one; an alias may be repeated and an address at once."""
+    files = spark.createDataFrame([("a", "p", "1"), ("a", "q", "2")], "accession string, path string, digest string")
+    bindings = spark.createDataFrame([("a", "u:p", "p", "1", "u:q"), ("a", "u:q", "q", "2", "u:q"), ("a", "u:q", "q", "2", None), ("b", "u:q", "q", "2", "u:x")], "accession string, uri string, path string, digest string, alias string")
+    reports = spark.createDataFrame([("a", "u:p"), ("a", "u:z"), ("a", "u:z"), ("b", "u:x"), ("b", None)], "accession string, uri string")
+    got = sorted((r.accession, r.rule, r.name or "") for r in px.bundle_structure(files, bindings, reports, px.payload_hash(files)).collect())
+    assert got == [("a", "alias_is_address", "u:q"), ("a", "alias_twice", "u:q"), ("a", "report_unbound", "u:z"), ("a", "report_unbound", "u:z"), ("a", "uri_twice", "u:q"), ("b", "binding_without_file", "u:q"), ("b", "report_unbound", ""), ("b", "report_unbound", "u:x")]
+
+
 def test_chains_of_documents_without_a_name(spark):
     """A null document or node is nobody's target; a document that ends where another begins shares nothing with it."""
     nodes = spark.createDataFrame([(None, 1, None), ("x", None, None), ("x", 1, 2), ("x", 2, 3), ("y", 3, None)], "doc string, node long, next long")
